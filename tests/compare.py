@@ -1,0 +1,35 @@
+"""Spark results against DuckDB's, whatever the row order."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+
+
+def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for file in Path(folder).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return con
+
+
+def _plain(value):
+    return round(value, 6) if isinstance(value, float) and not math.isnan(value) else value
+
+
+def normal(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    named = sorted(columns)
+    return named, sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
+
+
+def spark_result(df):
+    return normal(df.columns, df.collect())
+
+
+def oracle_result(con, sql):
+    cursor = con.execute(sql)
+    return normal([d[0] for d in cursor.description], cursor.fetchall())
