@@ -22,7 +22,7 @@ from tillstream.sinks.topics import start_topic_files
 from tillstream.sources.lookups import lookup_rows, point_get
 from tillstream.sources.topics import file_topic, table_stream
 from tillstream.streaming.cdc import start_cdc_canal, start_cdc_maxwell
-from tillstream.streaming.daily_active import start_dau as run_dau
+from tillstream.streaming.daily_active import start_dau as run_dau, start_first_seen
 from tillstream.streaming.dims import start_dim_province as run_dim_province, start_dim_user as run_dim_user
 from tillstream.streaming.logs import start_log_landing, start_log_split
 from tillstream.streaming.orders import start_order_wide as run_order_wide
@@ -389,7 +389,9 @@ def start_dau(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "start_dau")
     seen = KeyedTable(f"{path}/seen", schemas.FIRST_SEEN, ("mid",))
     records = fx.start_log_records(t.stream("events"))
-    finished(run_dau(records, f"{path}/index", f"{path}/rejects", f"{path}/checkpoint", seen, trigger=ONCE))
+    finished(run_dau(records, f"{path}/index", f"{path}/rejects", f"{path}/checkpoint", trigger=ONCE))
+    written = batches.day_index_stream(t.spark, f"{path}/index", schemas.DAU)
+    finished(start_first_seen(written, seen, f"{path}/checkpoint_seen", trigger=ONCE))
     index = batches.read_day_index(t.spark, f"{path}/index", schemas.DAU)
     # Which of a day's logs arrives first is open; these columns do not depend on it.
     return index.join(seen.read(t.spark), "mid", "left").select("dt", "mid", "uid", "ar", "vc", "mi", "first_dt")

@@ -20,6 +20,11 @@ def is_dir(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
+def delete_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _open(spark, path)
+    fs.delete(p, True)
+
+
 def complete_batches(spark: SparkSession, root: str) -> list[int]:
     """Ids of the `batch_id=<n>` folders under root whose write job committed, ascending."""
     fs, p = _open(spark, root)

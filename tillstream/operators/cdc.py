@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillstream.operators.records import REJECTS_TOPIC, is_json_object
+from tillstream.operators.records import REJECTS_TOPIC, is_json_object, parse_once
 
 TOPIC_PREFIX = "ods_"
 
@@ -18,7 +18,7 @@ DIM_TABLES = ["base_province", "user_info", "sku_info", "base_trademark", "base_
 
 def _envelope(records: DataFrame, data_type: str) -> DataFrame:
     return (
-        records.withColumn("_v", F.try_parse_json("value"))
+        parse_once(records, F.try_parse_json("value"), "_v")
         .withColumn("_ok", is_json_object(F.col("value"), F.col("_v")))
         .withColumns({
             "_type": F.try_variant_get("_v", "$.type", "string"),
@@ -62,17 +62,17 @@ def maxwell_route(records: DataFrame, drop_deletes: bool = False) -> DataFrame:
     `drop_deletes`. Empty or absent data is dropped. Unreadable messages, and data without a
     table, go to the rejects topic.
     """
-    filled = F.col("_fields").isNotNull() & (F.size("_fields") > 0)
+    filled = F.startswith("_text", F.lit("{")) & (F.col("_text") != "{}")
     bad = ~F.col("_ok") | (filled & F.col("_table").isNull())
     dim = F.col("_table").isin(DIM_TABLES)
     if drop_deletes:
         dim = dim & ~F.col("_type").eqNullSafe("delete")
     passed = filled & (dim | (F.col("_table").isin(FACT_TABLES) & F.col("_type").eqNullSafe("insert")))
-    kept = (
+    rows = F.when(F.col("_bad"), F.array("value")).when(passed, F.array("_text"))
+    exploded = (
         _envelope(records, "variant")
-        .withColumn("_fields", F.try_variant_get("_v", "$.data", "map<string,variant>"))
-        .withColumn("_bad", bad)
-        .filter(F.col("_bad") | passed)
-        .withColumn("_out", F.when(F.col("_bad"), F.col("value")).otherwise(F.to_json("_data")))
+        .withColumn("_text", F.to_json("_data"))
+        .withColumn("_bad", F.coalesce(bad, F.lit(False)))
+        .withColumn("_out", F.explode(rows))
     )
-    return _routed(kept, F.col("_bad"))
+    return _routed(exploded, F.col("_bad"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.times import day_of_millis, hour_of_millis, valid_millis
 from tillstream.operators.keyed import first_per_key
-from tillstream.operators.records import REJECTS_TOPIC
+from tillstream.operators.records import REJECTS_TOPIC, parse_once
 from tillstream.schemas import APP_LOG_JSON
 
 START_TOPIC = "log_start"
@@ -17,7 +17,7 @@ RECORD = ["topic", "partition", "offset", "timestamp", "value"]
 
 def parse_app_log(records: DataFrame) -> DataFrame:
     """Topic records -> `ts`, the `common` fields, `start` (JSON text, null if absent) and `reason`."""
-    parsed = records.select(*RECORD, F.from_json("value", APP_LOG_JSON).alias("_j"))
+    parsed = parse_once(records.select(*RECORD), F.from_json("value", APP_LOG_JSON), "_j")
     fields = parsed.select(
         *RECORD,
         F.col("_j.ts").try_cast("bigint").alias("ts"),
@@ -51,7 +51,7 @@ def route_app_log(records: DataFrame) -> DataFrame:
         .when(F.col("_j.start").isNotNull(), START_TOPIC)
         .otherwise(EVENT_TOPIC)
     )
-    return records.withColumn("_j", start).withColumn("topic", topic).drop("_j")
+    return parse_once(records, start, "_j").withColumn("topic", topic).drop("_j")
 
 
 def dau_first_open(logs: DataFrame, tie_break: list[str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.operators.joins import MAX_BROADCAST_ROWS
 from tillstream.operators.keyed import overlay
 
 
@@ -42,7 +43,10 @@ def resume(records: DataFrame, saved: DataFrame, starting: str = "latest") -> Da
     reads everything and `latest` nothing. A partition new since the save is read from its start.
     """
     known = saved.select("partition", F.col("until_offset").alias("_from"))
-    if known.isEmpty():
+    partitions = known.count()
+    if partitions == 0:
         return records if starting == "earliest" else records.limit(0)
+    if partitions <= MAX_BROADCAST_ROWS:
+        known = F.broadcast(known)
     joined = records.join(known, "partition", "left")
     return joined.filter(F.col("offset") >= F.coalesce("_from", F.lit(0))).drop("_from").select(*records.columns)

@@ -10,6 +10,15 @@ REJECTS_TOPIC = "rejects"
 CARRIED = ["topic", "partition", "offset", "timestamp", "value"]
 
 
+def parse_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Add a parsed document as a column that is computed exactly once per row.
+
+    A generator of one element: the optimizer moves filters on the document's fields below a
+    plain projection, and would parse the text again for every field tested there.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def parse_typed(
     records: DataFrame, fields: Mapping[str, str], required: Sequence[str], keep: Sequence[str] = CARRIED
 ) -> DataFrame:
@@ -19,7 +28,7 @@ def parse_typed(
     for a good row, else `bad_json` or `missing:<field>`.
     """
     schema = ", ".join(f"{name} STRING" for name in fields) + ", _corrupt_record STRING"
-    parsed = records.select(*keep, F.from_json("value", schema).alias("_j"))
+    parsed = parse_once(records.select(*keep), F.from_json("value", schema), "_j")
     typed = parsed.select(
         *[F.col(c) for c in keep if c not in fields],
         *[F.col(f"_j.{name}").try_cast(kind).alias(name) for name, kind in fields.items()],
@@ -31,6 +40,11 @@ def parse_typed(
     return typed.withColumn("reason", reason).drop("_bad")
 
 
+def text_of_rejects_only(df: DataFrame) -> DataFrame:
+    """Drop the message text of good rows, before they are kept or shuffled."""
+    return df.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+
+
 def accepted(df: DataFrame) -> DataFrame:
     return df.filter(F.col("reason").isNull()).drop("reason")
 

@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillstream import fs
 from tillstream.operators.keyed import latest_per_key
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     """Write to `root/batch_id=<n>/`, replacing that folder.
 
     The rebalance hint sizes output files at run time: few for a small batch, and a big or
     lopsided batch is split.
     """
-    writer = rows.hint("rebalance", *partition_by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/batch_id={batch_id}")
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+
+def read_batch(spark: SparkSession, root: str, schema: str, batch_id: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{root}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
@@ -62,6 +61,12 @@ def read_day_index(
     return docs.select(*columns)
 
 
+def day_index_stream(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """Documents of the index as they are written."""
+    columns = spark.createDataFrame([], schema).columns
+    return spark.readStream.schema(f"{schema}, batch_id BIGINT").parquet(root).select(*columns)
+
+
 def preview(rows: DataFrame, n: int = 1000) -> DataFrame:
     """First rows of a batch, for printing."""
     return rows.limit(n)

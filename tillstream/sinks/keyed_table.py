@@ -63,7 +63,16 @@ class KeyedTable:
         columns = rows.sparkSession.createDataFrame([], self.schema).columns
         write_batch(latest.select(*columns), self._changes, batch_id)
 
-    def snapshot(self, spark: SparkSession, as_of: int) -> None:
-        """Write the whole table as of a batch; later reads start from it."""
+    def snapshot(self, spark: SparkSession, as_of: int, keep: int = 2) -> None:
+        """Write the whole table as of a batch; later reads start from it.
+
+        The newest `keep` snapshots stay, with all changes since the oldest of them, so readers and
+        a repeated batch still find what they need. What is older goes.
+        """
         if as_of not in fs.complete_batches(spark, self._snapshots):
             write_batch(self.read(spark, before=as_of + 1), self._snapshots, as_of)
+        kept = fs.complete_batches(spark, self._snapshots)[-keep:]
+        for folder in (self._snapshots, self._changes):
+            for batch in fs.complete_batches(spark, folder):
+                if batch < kept[0] or (batch == kept[0] and folder == self._changes):
+                    fs.delete_dir(spark, f"{folder}/batch_id={batch}")

@@ -4,13 +4,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.logs import dau_record, derive_dt_hr, parse_app_log
-from tillstream.operators.records import REJECTS_TOPIC, rejected
+from tillstream.operators.records import REJECTS_TOPIC, rejected, text_of_rejects_only
 from tillstream.operators.serving import first_seen
-from tillstream.schemas import DAU_COLUMNS
 from tillstream.sinks.batches import counted, write_batch, write_day_index
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
+EVERY_10_MINUTES = {"processingTime": "10 minutes"}
+
 
 def collapse_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Drop repeats of a key inside each Arrow batch, before the shuffle.
@@ -36,9 +37,8 @@ def first_opens(start_records: DataFrame, keep_for: str = "1 day") -> DataFrame:
     (the topic's own) rather than device time drives it, so a device with a wrong clock neither
     expires the state of others nor makes their logs late. Rejects pass under a key of their own.
     """
-    logs = derive_dt_hr(parse_app_log(start_records).withColumn(
-        "ts", F.when(F.col("reason").isNull(), F.col("ts"))
-    ))
+    parsed = text_of_rejects_only(parse_app_log(start_records))
+    logs = derive_dt_hr(parsed.withColumn("ts", F.when(F.col("reason").isNull(), F.col("ts"))))
     good = F.col("reason").isNull()
     keyed = logs.withColumns({
         "_day": F.when(good, F.col("dt")).otherwise(REJECTS_TOPIC),
@@ -64,23 +64,16 @@ def start_dau(
     index_path: str,
     rejects_path: str,
     checkpoint: str,
-    seen: KeyedTable | None = None,
     keep_for: str = "1 day",
-    snapshot_every: int = 200,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Maintain the daily-active index, a folder per day of the log, and optionally the first-seen table."""
+    """Maintain the daily-active index, a folder per day of the log."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist()
         try:
             opens = dau_record(batch.filter(F.col("reason").isNull()))
             write_day_index(counted(opens, "dau_index"), index_path, batch_id)
             write_batch(rejected(batch), rejects_path, batch_id)
-            if seen is not None:
-                if batch_id and batch_id % snapshot_every == 0:
-                    seen.snapshot(spark, as_of=batch_id - 1)
-                seen.upsert(new_devices(opens.select(*DAU_COLUMNS), seen.read(spark, before=batch_id)), batch_id)
         finally:
             batch.unpersist()
 
@@ -90,3 +83,25 @@ def start_dau(
         .trigger(**(trigger or EVERY_5_SECONDS))
         .start()
     )
+
+
+def start_first_seen(
+    opens: DataFrame, seen: KeyedTable, checkpoint: str, snapshot_every: int = 20, trigger: dict | None = None
+) -> StreamingQuery:
+    """Maintain the first-seen table from a stream of daily-active records.
+
+    Every batch looks its devices up in the whole table, so batches are larger and rarer than
+    those of the index.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id and batch_id % snapshot_every == 0:
+            seen.snapshot(spark, as_of=batch_id - 1)
+        seen.upsert(new_devices(batch, seen.read(spark, before=batch_id)), batch_id)
+
+    return (
+        opens.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or EVERY_10_MINUTES))
+        .start()
+    )

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.dims import enrich_users, parse_provinces, parse_users
-from tillstream.operators.records import accepted, rejected
+from tillstream.operators.records import accepted, rejected, text_of_rejects_only
 from tillstream.sinks.batches import write_batch
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
@@ -15,7 +15,7 @@ ARRIVAL = ["timestamp", "partition", "offset"]
 
 def _start(records, parse, enrich, table, rejects_path, checkpoint, snapshot_every, trigger) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse(batch).persist()
+        parsed = text_of_rejects_only(parse(batch)).persist()
         try:
             if batch_id and batch_id % snapshot_every == 0:
                 table.snapshot(batch.sparkSession, as_of=batch_id - 1)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.orders import filter_first_orders, parse_orders
-from tillstream.operators.records import accepted, rejected
+from tillstream.operators.records import accepted, rejected, text_of_rejects_only
 from tillstream.plans.order_wide import order_wide
-from tillstream.schemas import ORDER_WIDE_COLUMNS
-from tillstream.sinks.batches import counted, write_batch
+from tillstream.schemas import ORDER_WIDE, ORDER_WIDE_COLUMNS
+from tillstream.sinks.batches import counted, read_batch, write_batch
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -31,24 +31,24 @@ def start_order_wide(
     """Maintain the wide order table and the user status table.
 
     Dimensions are opened anew for every batch. A batch sees only the status of earlier batches,
-    so running it again gives the same flags.
+    so running it again gives the same flags. A batch spans few days as a rule, so its files'
+    statistics prune by date; a replay of years would shatter into a folder per day and batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch_id and batch_id % snapshot_every == 0:
             status.snapshot(spark, as_of=batch_id - 1)
-        parsed = parse_orders(batch).persist()
-        wide = order_wide(
-            accepted(parsed), status.read(spark, before=batch_id), provinces(spark), users(spark), tie_break=ROW_KEY
-        ).persist()
+        parsed = text_of_rejects_only(parse_orders(batch)).persist()
         try:
-            write_batch(
-                counted(wide.select(*ORDER_WIDE_COLUMNS), "order_wide"), wide_path, batch_id, ["create_date"]
+            wide = order_wide(
+                accepted(parsed), status.read(spark, before=batch_id), provinces(spark), users(spark), tie_break=ROW_KEY
             )
-            status.upsert(filter_first_orders(wide), batch_id)
+            write_batch(counted(wide.select(*ORDER_WIDE_COLUMNS), "order_wide"), wide_path, batch_id)
+            # Read back what was written: three columns, and the joins are not run again.
+            written = read_batch(spark, wide_path, ORDER_WIDE, batch_id)
+            status.upsert(filter_first_orders(written), batch_id)
             write_batch(rejected(parsed), rejects_path, batch_id)
         finally:
-            wide.unpersist()
             parsed.unpersist()
 
     return (
