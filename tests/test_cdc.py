@@ -1,0 +1,61 @@
+import json
+
+import pytest
+
+from tillstream.operators.cdc import canal_route, maxwell_route
+
+
+def message(kind="INSERT", table="order_info", data=None, **kw):
+    return json.dumps({"type": kind, "table": table, "data": data, **kw})
+
+
+def test_canal_passes_upper_case_inserts_row_by_row(records, rows):
+    routed = canal_route(records(
+        message(data=[{"id": 1}, {"id": 2}]), message("insert", data=[{"id": 3}]), message("UPDATE", data=[{"id": 4}]),
+        message(table="anything", data=[{"id": 5}]), message(data=[]), message(kind=None, data=[{"id": 6}]),
+    ))
+    assert rows(routed, "topic", "value") == [
+        ("ods_anything", '{"id":5}'), ("ods_order_info", '{"id":1}'), ("ods_order_info", '{"id":2}'),
+    ]
+
+
+@pytest.mark.parametrize("text", [
+    "{bad", "[1]", "", None, '"x"', message(data=None), message(data=7), message(table=None, data=[{"id": 1}]),
+])
+def test_canal_rejects_keep_the_message(records, rows, text):
+    assert rows(canal_route(records(text)), "topic", "value") == [("rejects", text)]
+
+
+def test_maxwell_routes_by_table_and_type(records, rows):
+    def one(table, kind):
+        return message(kind, table, {"id": f"{table}/{kind}"})
+    tables = [
+        "order_info", "order_detail", "base_province", "user_info", "sku_info", "base_trademark", "base_category3",
+        "spu_info", "comment_info",
+    ]
+    routed = maxwell_route(records(*[one(t, k) for t in tables for k in ("insert", "INSERT", "update", "delete", None)]))
+    got = {(topic, json.loads(value)["id"]) for topic, value in rows(routed, "topic", "value")}
+    want = {(f"ods_{t}", f"{t}/{k}") for t in tables[2:8] for k in ("insert", "INSERT", "update", "delete", None)}
+    want |= {("ods_order_info", "order_info/insert"), ("ods_order_detail", "order_detail/insert")}
+    assert got == want
+
+
+def test_maxwell_can_drop_deletes(records, rows):
+    messages = records(message("delete", "user_info", {"id": 1}), message("update", "user_info", {"id": 2}))
+    assert rows(maxwell_route(messages, drop_deletes=True), "value") == [('{"id":2}',)]
+
+
+def test_maxwell_drops_empty_data_and_rejects_what_it_cannot_place(records, rows):
+    routed = maxwell_route(records(
+        message("insert", data={}), message("insert", data=None), message("insert", None, {"id": 1}), "{bad",
+        message("insert", None, {}), message("insert", data=[1]),
+    ))
+    assert rows(routed, "topic", "offset") == [("rejects", 2), ("rejects", 3)]
+    assert '"table": null' in rows(routed, "value")[0][0] + rows(routed, "value")[1][0]
+
+
+def test_amounts_keep_every_digit(records, rows):
+    text = '{"type":"INSERT","table":"t","data":[{"amount":12345678901234567.89}]}'
+    assert rows(canal_route(records(text)), "value") == [('{"amount":12345678901234567.89}',)]
+    text = '{"type":"insert","table":"sku_info","data":{"amount":12345678901234567.89}}'
+    assert rows(maxwell_route(records(text)), "value") == [('{"amount":12345678901234567.89}',)]

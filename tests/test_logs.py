@@ -1,0 +1,77 @@
+import json
+
+from pyspark.sql import functions as F
+
+from tillstream.operators import logs
+from tillstream.operators.records import accepted, rejected
+
+
+def log(ts=1_700_000_000_000, mid="m1", **extra):
+    common = {"mid": mid, "uid": "u", "ar": "a", "ch": "c", "vc": "v"}
+    return json.dumps({"ts": ts, "common": common, **extra})
+
+
+def test_bad_logs_are_rejected_with_a_reason(records, rows):
+    parsed = logs.parse_app_log(records(
+        log(), "{bad", "{}", log(mid=None), '{"ts": 1}', '{"common": {"mid": "m"}}', "[1]", "", None, log(ts=10**18),
+        log(ts="soon"), log(ts="1700000000000"),
+    ))
+    assert rows(rejected(parsed), "offset", "reason") == [
+        (1, "bad_json"), (10, "missing:ts"), (2, "missing:ts"), (3, "missing:mid"), (4, "missing:mid"),
+        (5, "missing:ts"), (6, "bad_json"), (7, "bad_json"), (8, "bad_json"), (9, "bad:ts"),
+    ]
+    assert rows(accepted(parsed), "offset", "ts", "mid") == [
+        (0, 1_700_000_000_000, "m1"), (11, 1_700_000_000_000, "m1"),
+    ]
+
+
+def test_dates_follow_the_session_time_zone(spark, records, rows):
+    def derived():
+        return logs.derive_dt_hr(accepted(logs.parse_app_log(records(log(ts=1_704_067_199_999)))))
+    assert rows(derived(), "dt", "hr") == [("2023-12-31", "23")]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        assert rows(derived(), "dt", "hr") == [("2024-01-01", "07")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_routing_by_start_object(records, rows):
+    routed = logs.route_app_log(records(
+        log(start={"entry": "icon"}), log(start={}), log(start=None), log(), log(page={"start": 1}), "{bad", "[]",
+    ))
+    assert [r[1] for r in rows(routed, "offset", "topic")] == [
+        "log_start", "log_start", "log_event", "log_event", "log_event", "rejects", "rejects",
+    ]
+
+
+def test_messages_are_routed_unchanged(records, rows):
+    text = '{ "ts":1,   "start": {"a": 1.50} }'
+    assert rows(logs.route_app_log(records(text)), "value") == [(text,)]
+
+
+def test_first_open_is_the_earliest_and_ties_go_by_offset(records, rows):
+    day = 86_400_000
+    first = logs.dau_first_open(logs.derive_dt_hr(accepted(logs.parse_app_log(records(
+        log(ts=5000, mid="a"), log(ts=4000, mid="a"), log(ts=4000, mid="a"), log(ts=4000 + day, mid="a"), log(ts=9, mid="b"),
+    )))))
+    assert rows(first, "mid", "dt", "offset") == [("a", "1970-01-01", 1), ("a", "1970-01-02", 3), ("b", "1970-01-01", 4)]
+
+
+def test_dau_record_has_nine_columns(records):
+    record = logs.dau_record(logs.derive_dt_hr(accepted(logs.parse_app_log(records(log())))))
+    assert record.columns == ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
+    assert record.head()["mi"] == "00"
+
+
+def test_first_open_ships_one_row_per_device_and_map_task(spark):
+    """A device with a third of all logs is cut down before the shuffle."""
+    many = spark.range(0, 30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("m"), "id")).alias("mid"),
+        F.lit("2024-01-01").alias("dt"), F.col("id").alias("ts"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+    )
+    first = logs.dau_first_open(many)
+    assert first.count() == 20_001
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    below_exchange = plan[plan.index("Exchange hashpartitioning"):]
+    assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange

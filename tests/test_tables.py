@@ -1,0 +1,134 @@
+"""Upserted tables, day index, offsets ledger, reader options."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from tillstream import schemas
+from tillstream.operators import offsets
+from tillstream.operators.keyed import latest_per_key, overlay
+from tillstream.session import scratch_dir
+from tillstream.sinks import batches
+from tillstream.sinks.keyed_table import KeyedTable
+from tillstream.sinks.topics import kafka_write_options
+from tillstream.sources.topics import kafka_read_options
+
+
+def table(spark):
+    return KeyedTable(scratch_dir(spark, "keyed"), "id STRING, v STRING", ("id",))
+
+
+def changes(spark, *triples):
+    return spark.createDataFrame(list(triples), "id STRING, v STRING, n INT")
+
+
+def test_upserts_insert_update_and_the_last_version_wins(spark, rows):
+    t = table(spark)
+    assert rows(t.read(spark)) == []
+    t.upsert(changes(spark, ("a", "1", 1), ("b", "1", 1)), 0, ["n"])
+    t.upsert(changes(spark, ("b", "2", 1), ("b", "3", 2), ("c", "1", None)), 1, ["n"])
+    assert rows(t.read(spark)) == [("a", "1"), ("b", "3"), ("c", "1")]
+    assert rows(t.read(spark, before=1)) == [("a", "1"), ("b", "1")]
+
+
+def test_repeating_a_batch_replaces_it(spark, rows):
+    t = table(spark)
+    t.upsert(changes(spark, ("a", "1", 1)), 0, ["n"])
+    for value in ("2", "3"):
+        t.upsert(changes(spark, ("a", value, 1)), 1, ["n"])
+        assert rows(t.read(spark, before=1)) == [("a", "1")]
+    assert rows(t.read(spark)) == [("a", "3")]
+
+
+def test_snapshots_change_nothing_but_where_rows_are_read(spark, rows):
+    t, plain = table(spark), table(spark)
+    for batch in range(12):
+        new = changes(spark, (str(batch % 5), f"b{batch}", 1), (str(batch % 3), f"c{batch}", 2))
+        for target in (t, plain):
+            target.upsert(new, batch, ["n"])
+        if batch % 3 == 2:
+            t.snapshot(spark, batch - 1)
+        assert rows(t.read(spark)) == rows(plain.read(spark))
+        assert rows(t.read(spark, before=batch)) == rows(plain.read(spark, before=batch))
+
+
+def test_half_written_changes_are_not_read(spark, rows):
+    t = table(spark)
+    t.upsert(changes(spark, ("a", "1", 1)), 0, ["n"])
+    spark.createDataFrame([("a", "x")], "id STRING, v STRING").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{t.root}/changes/batch_id=1")
+    assert rows(t.read(spark)) == [("a", "1")]
+
+
+def test_overlay_by_two_keys(spark, rows):
+    current = spark.createDataFrame([("x", 1, "old"), ("x", 2, "old")], "a STRING, b INT, v STRING")
+    new = spark.createDataFrame([("x", 2, "new"), ("y", 1, "new")], "a STRING, b INT, v STRING")
+    assert rows(overlay(current, new, ["a", "b"])) == [("x", 1, "old"), ("x", 2, "new"), ("y", 1, "new")]
+    assert rows(latest_per_key(new.union(current), ["a"], ["b", "v"]), "a", "b", "v") == [("x", 2, "old"), ("y", 1, "new")]
+
+
+def dau(spark, *triples):
+    return spark.createDataFrame(list(triples), "mid STRING, dt STRING, hr STRING").select(
+        "mid", F.lit("u").alias("uid"), F.lit("a").alias("ar"), F.lit("c").alias("ch"), F.lit("v").alias("vc"),
+        "dt", "hr", F.lit("00").alias("mi"), F.lit(0).cast("bigint").alias("ts"),
+    )
+
+
+def test_day_index_upserts_by_id_within_a_day(spark, rows):
+    root = scratch_dir(spark, "index")
+    assert batches.read_day_index(spark, root, schemas.DAU).count() == 0
+    batches.write_day_index(dau(spark, ("a", "2024-01-01", "01"), ("a", "2024-01-02", "01")), root, 0)
+    batches.write_day_index(dau(spark, ("a", "2024-01-01", "05"), ("b", "2024-01-01", "05")), root, 1)
+    batches.write_day_index(dau(spark, ("a", "2024-01-01", "07"), ("b", "2024-01-01", "05")), root, 1)
+    index = batches.read_day_index(spark, root, schemas.DAU, key="mid")
+    assert rows(index, "dt", "mid", "hr") == [("2024-01-01", "a", "07"), ("2024-01-01", "b", "05"), ("2024-01-02", "a", "01")]
+    one_day = batches.read_day_index(spark, root, schemas.DAU).filter("dt = '2024-01-02'")
+    assert "PartitionFilters: [isnotnull(dt" in one_day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_serving_reports(spark, rows):
+    from tillstream.operators import serving
+    active = dau(
+        spark, ("a", "2024-02-29", "01"), ("b", "2024-02-29", "02"), ("a", "2024-03-01", "02"), ("c", "2024-03-01", "02"),
+        ("d", "2024-03-01", "03"),
+    )
+    assert rows(serving.day_over_day(active, "2024-03-01")) == [("01", None, 1), ("02", 2, 1), ("03", 1, None)]
+    maps = serving.day_over_day_map(active, "2024-03-01").head()
+    assert maps.asDict() == {"today": {"02": 2, "03": 1}, "yesterday": {"01": 1, "02": 1}}
+    nothing = serving.day_over_day_map(active, "2020-01-01").head()
+    assert nothing.asDict() == {"today": {}, "yesterday": {}}
+    assert serving.hour_map(serving.dau_by_hour(active), "2024-03-01").head()["hours"] == {"02": 2, "03": 1}
+    assert rows(serving.dau_total(active, "2020-01-01")) == [(0,)]
+    seen = serving.first_seen(active)
+    assert rows(seen) == [("a", "2024-02-29"), ("b", "2024-02-29"), ("c", "2024-03-01"), ("d", "2024-03-01")]
+    assert rows(serving.realtime_totals(active, seen, "2024-03-01")) == [("dau", "新增日活", 3), ("new_mid", "新增设备", 2)]
+    assert rows(serving.realtime_totals(active, seen, "2020-01-01"), "value") == [(0,), (0,)]
+
+
+def test_offsets_ledger_and_resume(spark, records, rows):
+    batch = records("a", "b", "c").union(records("d", partition=1))
+    ranges = offsets.offsets_range(batch)
+    assert rows(ranges) == [("t", 0, 0, 3), ("t", 1, 0, 1)]
+    ledger = spark.createDataFrame([("t", "g", 0, 9), ("t", "h", 0, 9), ("u", "g", 0, 9)], schemas.LEDGER)
+    saved = offsets.offsets_save(ledger, ranges, "g")
+    assert rows(saved) == [("t", "g", 0, 3), ("t", "g", 1, 1), ("t", "h", 0, 9), ("u", "g", 0, 9)]
+    assert rows(offsets.offsets_read(saved, "t", "g")) == [(0, 3), (1, 1)]
+    assert offsets.offsets_map(saved, "t", "g") == {0: 3, 1: 1}
+    some = spark.createDataFrame([(0, 1)], "partition INT, until_offset BIGINT")
+    assert rows(offsets.resume(batch, some), "value") == [("b",), ("c",), ("d",)]
+    none = some.filter("false")
+    assert offsets.resume(batch, none).count() == 0
+    assert offsets.resume(batch, none, "earliest").count() == 4
+
+
+def test_kafka_options():
+    assert kafka_read_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest"}
+    named = kafka_read_options("h:1", "t", group_id="g", starting="earliest", min_partitions=8)
+    assert named["kafka.group.id"] == "g" and named["startingOffsets"] == "earliest" and named["minPartitions"] == "8"
+    resumed = kafka_read_options("h:1", "t", "g", offsets={1: 5, 0: 3}, max_offsets_per_trigger=10)
+    assert json.loads(resumed["startingOffsets"]) == {"t": {"0": 3, "1": 5}}
+    assert resumed["maxOffsetsPerTrigger"] == "10"
+    assert kafka_write_options("h:1", "/c") == {
+        "kafka.bootstrap.servers": "h:1", "kafka.enable.idempotence": "true", "checkpointLocation": "/c",
+    }

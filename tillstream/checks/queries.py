@@ -344,7 +344,7 @@ def realtime_totals(t: Tables) -> DataFrame:
 @query
 def group_orders_by_user(t: Tables) -> DataFrame:
     ids = F.array_join(F.transform("orders", lambda o: o["id"].cast("string")), ",")
-    grouped = ops.group_orders_by_user(dated_orders(t))
+    grouped = ops.group_orders_by_user(dated_orders(t), columns=["final_total_amount"])
     return grouped.select("user_id", "part", "n_orders", ids.alias("order_ids"))
 
 

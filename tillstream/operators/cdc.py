@@ -1,13 +1,13 @@
 """Database change messages split into one topic per table. Narrow plans, one JSON parse per message.
 
-Messages are held as VARIANT between parsing and writing, which keeps decimal amounts exact.
+Row data is held as VARIANT between parsing and writing, which keeps decimal amounts exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tillstream.operators.records import REJECTS_TOPIC, is_json_object, parse_once
+from tillstream.operators.records import REJECTS_TOPIC, parse_once
 
 TOPIC_PREFIX = "ods_"
 
@@ -17,21 +17,17 @@ DIM_TABLES = ["base_province", "user_info", "sku_info", "base_trademark", "base_
 
 
 def _envelope(records: DataFrame, data_type: str) -> DataFrame:
-    return (
-        parse_once(records, F.try_parse_json("value"), "_v")
-        .withColumn("_ok", is_json_object(F.col("value"), F.col("_v")))
-        .withColumns({
-            "_type": F.try_variant_get("_v", "$.type", "string"),
-            "_table": F.try_variant_get("_v", "$.table", "string"),
-            "_data": F.try_variant_get("_v", "$.data", data_type),
-        })
-    )
+    """Adds `_e`, a struct of type, table and data; null for what is no JSON object."""
+    shape = f"struct<type: string, table: string, data: {data_type}>"
+    return parse_once(records, F.try_variant_get(F.try_parse_json("value"), "$", shape), "_e")
 
 
-def _routed(df: DataFrame, bad: Column) -> DataFrame:
+def _to_topic(df: DataFrame, bad) -> DataFrame:
     return df.select(
-        F.when(bad, REJECTS_TOPIC).otherwise(F.concat(F.lit(TOPIC_PREFIX), F.col("_table"))).alias("topic"),
-        "partition", "offset", "key", F.col("_out").alias("value"), "timestamp",
+        F.when(bad, REJECTS_TOPIC).otherwise(F.concat(F.lit(TOPIC_PREFIX), "_e.table")).alias("topic"),
+        "partition", "offset", "key",
+        F.when(bad, F.col("value")).otherwise(F.col("_row")).alias("value"),
+        "timestamp",
     )
 
 
@@ -41,18 +37,13 @@ def canal_route(records: DataFrame) -> DataFrame:
     Only type `INSERT`, in upper case, passes; other types are dropped. Unreadable messages, and
     inserts without a table or data array, go to the rejects topic.
     """
-    insert = F.col("_type").eqNullSafe("INSERT")
-    bad = ~F.col("_ok") | (insert & (F.col("_table").isNull() | F.col("_data").isNull()))
+    bad = F.col("_e").isNull() | F.col("_e.table").isNull() | F.col("_e.data").isNull()
     rows = (
-        F.when(F.col("_bad"), F.array("value"))
-        .when(insert, F.transform("_data", lambda row: F.to_json(row)))
-    )
-    exploded = (
-        _envelope(records, "array<variant>")
-        .withColumn("_bad", bad)
-        .withColumn("_out", F.explode(rows))
+        F.when(F.col("_e").isNotNull() & ~F.col("_e.type").eqNullSafe("INSERT"), F.array().cast("array<string>"))
+        .when(bad, F.array("value"))
+        .otherwise(F.transform("_e.data", lambda row: F.to_json(row)))
     )
-    return _routed(exploded, F.col("_bad"))
+    return _to_topic(_envelope(records, "array<variant>").select("*", F.explode(rows).alias("_row")), bad)
 
 
 def maxwell_route(records: DataFrame, drop_deletes: bool = False) -> DataFrame:
@@ -62,17 +53,13 @@ def maxwell_route(records: DataFrame, drop_deletes: bool = False) -> DataFrame:
     `drop_deletes`. Empty or absent data is dropped. Unreadable messages, and data without a
     table, go to the rejects topic.
     """
-    filled = F.startswith("_text", F.lit("{")) & (F.col("_text") != "{}")
-    bad = ~F.col("_ok") | (filled & F.col("_table").isNull())
-    dim = F.col("_table").isin(DIM_TABLES)
+    table, kind = F.col("_e.table"), F.col("_e.type")
+    dim = table.isin(DIM_TABLES)
     if drop_deletes:
-        dim = dim & ~F.col("_type").eqNullSafe("delete")
-    passed = filled & (dim | (F.col("_table").isin(FACT_TABLES) & F.col("_type").eqNullSafe("insert")))
-    rows = F.when(F.col("_bad"), F.array("value")).when(passed, F.array("_text"))
-    exploded = (
-        _envelope(records, "variant")
-        .withColumn("_text", F.to_json("_data"))
-        .withColumn("_bad", F.coalesce(bad, F.lit(False)))
-        .withColumn("_out", F.explode(rows))
-    )
-    return _routed(exploded, F.col("_bad"))
+        dim = dim & ~kind.eqNullSafe("delete")
+    wanted = table.isNull() | dim | (table.isin(FACT_TABLES) & kind.eqNullSafe("insert"))
+    # Rows are put back to text only for the messages wanted; emptiness shows in the text.
+    row = F.when(F.col("_e").isNull(), F.array("value")).when(wanted, F.array(F.to_json("_e.data")))
+    exploded = _envelope(records, "variant").select("*", F.explode(row).alias("_row"))
+    filled = F.col("_row").startswith("{") & (F.col("_row") != "{}")
+    return _to_topic(exploded.filter(F.col("_e").isNull() | filled), table.isNull())

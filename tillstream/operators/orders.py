@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.times import date_part, hour_part
@@ -37,19 +39,20 @@ def join_order_user_status(orders: DataFrame, status: DataFrame) -> DataFrame:
     return joined.withColumn("if_first_order", flag).drop("_user", "_known")
 
 
-def group_orders_by_user(orders: DataFrame, span: int = 1_000) -> DataFrame:
-    """Orders of each user, in parts of bounded size.
+def group_orders_by_user(
+    orders: DataFrame, span: int = 1_000, numbered_by: str = "id", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Orders of each user by time, in parts of bounded size.
 
-    A part holds one user's orders of `span` consecutive ids, so neither a task nor a row ever
-    holds more than `span` orders of a user, and a hot user's parts spread over the partitions.
+    A part holds a user's orders of `span` consecutive numbers of a unique column, so no row
+    and no group ever holds more than `span` orders, and a hot user's parts spread over the
+    partitions. Where orders may be repeated, number them by topic offset.
     """
-    part = F.call_function("div", F.col("id"), F.lit(span))
-    return (
-        orders.groupBy("user_id", part.alias("part"))
-        .agg(
-            F.count(F.lit(1)).alias("n_orders"),
-            F.sort_array(F.collect_list(F.struct("create_time", "id", "final_total_amount"))).alias("orders"),
-        )
+    part = F.call_function("div", F.col(numbered_by), F.lit(span))
+    kept = columns or [c for c in orders.columns if c not in ("user_id", "create_time", "id")]
+    order = F.struct("create_time", "id", *kept)
+    return orders.groupBy("user_id", part.alias("part")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sort_array(F.collect_list(order)).alias("orders")
     )
 
 

@@ -51,7 +51,3 @@ def accepted(df: DataFrame) -> DataFrame:
 
 def rejected(df: DataFrame) -> DataFrame:
     return df.filter(F.col("reason").isNotNull()).select("topic", "partition", "offset", "value", "reason")
-
-
-def is_json_object(text: Column, parsed_variant: Column) -> Column:
-    return parsed_variant.isNotNull() & F.ltrim(text).startswith("{")

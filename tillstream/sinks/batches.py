@@ -1,4 +1,7 @@
-"""Writers for use inside `foreachBatch`. A repeated batch replaces what it wrote before."""
+"""Writers for use inside `foreachBatch`, and readers of what they wrote.
+
+A repeated batch replaces what it wrote before.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,10 @@ from tillstream import fs
 from tillstream.operators.keyed import latest_per_key
 
 
+def _with_batch_id(schema: str) -> str:
+    return schema if "batch_id" in schema else f"{schema}, batch_id BIGINT"
+
+
 def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     """Write to `root/batch_id=<n>/`, replacing that folder.
 
@@ -26,7 +33,7 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     if not fs.exists(spark, root):
         return spark.createDataFrame([], schema)
     columns = spark.createDataFrame([], schema).columns
-    return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(root).select(*columns)
+    return spark.read.schema(_with_batch_id(schema)).parquet(root).select(*columns)
 
 
 def write_day_index(docs: DataFrame, root: str, batch_id: int, day: str = "dt") -> None:
@@ -55,7 +62,7 @@ def read_day_index(
     if not fs.exists(spark, root):
         return spark.createDataFrame([], schema)
     columns = spark.createDataFrame([], schema).columns
-    docs = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(root)
+    docs = spark.read.schema(_with_batch_id(schema)).parquet(root)
     if key:
         docs = latest_per_key(docs, [day, key], ["batch_id"])
     return docs.select(*columns)
@@ -64,7 +71,7 @@ def read_day_index(
 def day_index_stream(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Documents of the index as they are written."""
     columns = spark.createDataFrame([], schema).columns
-    return spark.readStream.schema(f"{schema}, batch_id BIGINT").parquet(root).select(*columns)
+    return spark.readStream.schema(_with_batch_id(schema)).parquet(root).select(*columns)
 
 
 def preview(rows: DataFrame, n: int = 1000) -> DataFrame:
@@ -72,12 +79,12 @@ def preview(rows: DataFrame, n: int = 1000) -> DataFrame:
     return rows.limit(n)
 
 
-def counted(rows: DataFrame, name: str = "sink") -> DataFrame:
-    """The same rows, their number reported as metric `name.rows` when they are written.
+def counted(stream: DataFrame, name: str = "sink", only: Column | None = None) -> DataFrame:
+    """The same stream, the number of rows on their way to the sink reported as metric `name.rows`.
 
-    Streams report it in `lastProgress["observedMetrics"]`, so counting needs no second pass.
+    It shows in `lastProgress["observedMetrics"]` of each batch, and takes no second pass.
     """
-    return rows.observe(name, F.count(F.lit(1)).alias("rows"))
+    return stream.observe(name, F.count_if(F.lit(True) if only is None else only).alias("rows"))
 
 
 def landing_lines(records: DataFrame, day: Column | None = None) -> DataFrame:

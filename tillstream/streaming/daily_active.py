@@ -72,13 +72,14 @@ def start_dau(
         batch = batch.persist()
         try:
             opens = dau_record(batch.filter(F.col("reason").isNull()))
-            write_day_index(counted(opens, "dau_index"), index_path, batch_id)
+            write_day_index(opens, index_path, batch_id)
             write_batch(rejected(batch), rejects_path, batch_id)
         finally:
             batch.unpersist()
 
+    opens = counted(first_opens(start_records, keep_for), "dau_index", F.col("reason").isNull())
     return (
-        first_opens(start_records, keep_for).writeStream.foreachBatch(write)
+        opens.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_5_SECONDS))
         .start()

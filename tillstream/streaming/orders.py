@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.orders import filter_first_orders, parse_orders
@@ -38,12 +38,12 @@ def start_order_wide(
         spark = batch.sparkSession
         if batch_id and batch_id % snapshot_every == 0:
             status.snapshot(spark, as_of=batch_id - 1)
-        parsed = text_of_rejects_only(parse_orders(batch)).persist()
+        parsed = batch.persist()
         try:
             wide = order_wide(
                 accepted(parsed), status.read(spark, before=batch_id), provinces(spark), users(spark), tie_break=ROW_KEY
             )
-            write_batch(counted(wide.select(*ORDER_WIDE_COLUMNS), "order_wide"), wide_path, batch_id)
+            write_batch(wide.select(*ORDER_WIDE_COLUMNS), wide_path, batch_id)
             # Read back what was written: three columns, and the joins are not run again.
             written = read_batch(spark, wide_path, ORDER_WIDE, batch_id)
             status.upsert(filter_first_orders(written), batch_id)
@@ -51,8 +51,9 @@ def start_order_wide(
         finally:
             parsed.unpersist()
 
+    parsed_orders = text_of_rejects_only(parse_orders(records))
     return (
-        records.writeStream.foreachBatch(write)
+        counted(parsed_orders, "order_wide", F.col("reason").isNull()).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_5_SECONDS))
         .start()
