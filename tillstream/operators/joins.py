@@ -65,10 +65,11 @@ def checked_left_join(
 
 
 def in_list_lookup(store: DataFrame, batch: DataFrame, store_key: str, batch_key: str) -> DataFrame:
-    """Rows of the store whose key occurs in the batch.
+    """Rows of the store, keyed by text, whose key occurs in the batch.
 
     Distinct combines map-side; the few keys of a small batch are broadcast by the planner, so
     the store is scanned in place.
     """
-    wanted = batch.select(F.col(batch_key).cast("string").alias(store_key)).distinct()
+    keys = batch.select(batch_key).distinct()
+    wanted = keys.select(F.col(batch_key).cast("string").alias(store_key))
     return store.join(wanted, store_key, "left_semi")

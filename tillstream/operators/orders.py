@@ -29,14 +29,30 @@ def parse_orders(records: DataFrame) -> DataFrame:
     return orders.withColumn("reason", F.when(timeless, "bad:create_time").otherwise(F.col("reason")))
 
 
+def known_users(orders: DataFrame, status: DataFrame) -> DataFrame:
+    """Users of the orders the status table knows: `user_id, _known`.
+
+    What the lookup finds is the text of some order's user id, so the cast back is exact.
+    """
+    found = in_list_lookup(status.select("user_id"), orders, "user_id", "user_id").distinct()
+    return found.select(F.col("user_id").cast("bigint").alias("user_id"), F.lit(True).alias("_known"))
+
+
+def user_columns(orders: DataFrame, users: DataFrame) -> DataFrame:
+    """Dimension columns of the users of the orders, by `user_id`."""
+    found = in_list_lookup(users.select("id", "age_group", "gender_name"), orders, "id", "user_id")
+    return found.select(
+        F.col("id").cast("bigint").alias("user_id"),
+        F.col("age_group").alias("user_age_group"),
+        F.col("gender_name").alias("user_gender"),
+    )
+
+
 def join_order_user_status(orders: DataFrame, status: DataFrame) -> DataFrame:
     """`if_first_order`: `0` for users the status table knows, `1` for others."""
-    known = in_list_lookup(status.select("user_id"), orders, "user_id", "user_id").distinct()
-    known = known.select(F.col("user_id").alias("_user"), F.lit(True).alias("_known"))
-    keyed = orders.withColumn("_user", F.col("user_id").cast("string"))
-    joined = salted_left_join(keyed, known, "_user", ["id"])
+    joined = salted_left_join(orders, known_users(orders, status), "user_id", ["id"])
     flag = F.when(F.col("_known"), NOT_FIRST).otherwise(FIRST)
-    return joined.withColumn("if_first_order", flag).drop("_user", "_known")
+    return joined.withColumn("if_first_order", flag).drop("_known")
 
 
 def group_orders_by_user(
@@ -103,19 +119,9 @@ def join_order_province_bcast(
     return checked_left_join(keyed, dim, "_province", ["id"], max_broadcast_rows).drop("_province")
 
 
-def user_columns(users: DataFrame) -> DataFrame:
-    return users.select(
-        F.col("id").alias("_user"),
-        F.col("age_group").alias("user_age_group"),
-        F.col("gender_name").alias("user_gender"),
-    )
-
-
 def join_order_user(orders: DataFrame, users: DataFrame) -> DataFrame:
     """Left join to users: age group and gender name."""
-    keyed = orders.withColumn("_user", F.col("user_id").cast("string"))
-    wanted = in_list_lookup(user_columns(users), keyed, "_user", "_user")
-    return salted_left_join(keyed, wanted, "_user", ["id"]).drop("_user")
+    return salted_left_join(orders, user_columns(orders, users), "user_id", ["id"])
 
 
 def filter_first_orders(orders: DataFrame) -> DataFrame:

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.operators.joins import HOT_ROWS, in_list_lookup, salted_left_join
-from tillstream.operators.orders import FIRST, NOT_FIRST, join_order_province_bcast, user_columns
+from tillstream.operators.joins import HOT_ROWS, salted_left_join
+from tillstream.operators.orders import FIRST, NOT_FIRST, join_order_province_bcast, known_users, user_columns
 from tillstream.schemas import ORDER_WIDE_COLUMNS
 
 
 def batch_users(orders: DataFrame, tie_break: tuple[str, ...]) -> DataFrame:
     """One row per user: number of orders and the first one's key. Combined map-side."""
-    return (
-        orders.groupBy(F.col("user_id").cast("string").alias("_user"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("create_time", *tie_break)).alias("_first"))
-    )
+    first = F.min(F.struct("create_time", *tie_break)).alias("_first")
+    return orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), first)
 
 
 def order_wide(
@@ -32,16 +30,13 @@ def order_wide(
     orders dealt over several partitions. Provinces are broadcast when few.
     """
     per_user = batch_users(orders, tie_break)
-    known = in_list_lookup(status.select(F.col("user_id").alias("_user")), per_user, "_user", "_user").distinct()
-    dims = in_list_lookup(user_columns(users), per_user, "_user", "_user")
     info = (
-        per_user.join(known.withColumn("_known", F.lit(True)), "_user", "left")
-        .join(dims, "_user", "left")
-        .select("_user", F.when(F.col("_known").isNull(), F.col("_first")).alias("_first"), "user_age_group", "user_gender")
+        per_user.join(known_users(per_user, status), "user_id", "left")
+        .join(user_columns(per_user, users), "user_id", "left")
+        .select("user_id", F.when(F.col("_known").isNull(), F.col("_first")).alias("_first"), "user_age_group", "user_gender")
     )
-    keyed = orders.withColumn("_user", F.col("user_id").cast("string"))
     joined = salted_left_join(
-        keyed, info, "_user", ["create_time", *tie_break], counts=per_user.select("_user", "n"), hot_rows=hot_rows
+        orders, info, "user_id", ["create_time", *tie_break], counts=per_user.select("user_id", "n"), hot_rows=hot_rows
     )
     is_first = F.struct("create_time", *tie_break).eqNullSafe(F.col("_first"))
     flagged = joined.withColumn("if_first_order", F.when(is_first, FIRST).otherwise(NOT_FIRST))
