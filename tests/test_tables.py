@@ -122,6 +122,15 @@ def test_offsets_ledger_and_resume(spark, records, rows):
     assert offsets.resume(batch, none, "earliest").count() == 4
 
 
+def test_ranges_from_a_progress_report(spark, rows):
+    report = {"sources": [{"startOffset": '{"t":{"0":5}}', "endOffset": '{"t":{"0":9,"1":2}}'}]}
+    assert rows(offsets.progress_ranges(spark, report)) == [("t", 0, 5, 9), ("t", 1, 0, 2)]
+    first = {"sources": [{"startOffset": None, "endOffset": '{"t":{"0":9}}'}]}
+    assert rows(offsets.progress_ranges(spark, first)) == [("t", 0, None, 9)]
+    ledger = spark.createDataFrame([("t", "g", 0, 5)], schemas.LEDGER)
+    assert rows(offsets.offsets_save(ledger, offsets.progress_ranges(spark, first), "g")) == [("t", "g", 0, 9)]
+
+
 def test_kafka_options():
     assert kafka_read_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest"}
     named = kafka_read_options("h:1", "t", group_id="g", starting="earliest", min_partitions=8)

@@ -6,7 +6,10 @@ stream where another consumer stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import json
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.operators.joins import MAX_BROADCAST_ROWS
 from tillstream.operators.keyed import overlay
@@ -19,6 +22,22 @@ def offsets_range(records: DataFrame) -> DataFrame:
     )
 
 
+def progress_ranges(spark: SparkSession, progress: Mapping) -> DataFrame:
+    """The same of one batch of a running broker stream, from its progress report.
+
+    The report holds an entry per partition, so nothing is read again to find them. A stream's
+    first report does not say where it began: `from_offset` is null there.
+    """
+    ranges = []
+    for source in progress["sources"]:
+        start, end = (json.loads(source[side] or "{}") for side in ("startOffset", "endOffset"))
+        for topic, partitions in end.items():
+            for partition, until in partitions.items():
+                begin = start.get(topic, {}).get(partition, 0) if start else None
+                ranges.append((topic, int(partition), begin, until))
+    return spark.createDataFrame(ranges, "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT")
+
+
 def offsets_save(ledger: DataFrame, ranges: DataFrame, group: str) -> DataFrame:
     """The ledger with the ranges' ends set for the group; other entries stay."""
     ends = ranges.select("topic", F.lit(group).alias("group"), "partition", "until_offset")

@@ -24,6 +24,12 @@ def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
+def write_rejects(rejects: DataFrame, root: str, batch_id: int) -> None:
+    """The same for rows that are rare: a batch without any leaves no empty files."""
+    if not rejects.isEmpty():
+        write_batch(rejects, root, batch_id)
+
+
 def read_batch(spark: SparkSession, root: str, schema: str, batch_id: int) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/batch_id={batch_id}")
 

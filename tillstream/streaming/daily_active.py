@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream.operators.logs import dau_record, derive_dt_hr, parse_app_log
 from tillstream.operators.records import REJECTS_TOPIC, rejected, text_of_rejects_only
 from tillstream.operators.serving import first_seen
-from tillstream.sinks.batches import counted, write_batch, write_day_index
+from tillstream.sinks.batches import counted, write_day_index, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -73,7 +73,7 @@ def start_dau(
         try:
             opens = dau_record(batch.filter(F.col("reason").isNull()))
             write_day_index(opens, index_path, batch_id)
-            write_batch(rejected(batch), rejects_path, batch_id)
+            write_rejects(rejected(batch), rejects_path, batch_id)
         finally:
             batch.unpersist()
 

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.dims import enrich_users, parse_provinces, parse_users
 from tillstream.operators.records import accepted, rejected, text_of_rejects_only
-from tillstream.sinks.batches import write_batch
+from tillstream.sinks.batches import write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -20,7 +20,7 @@ def _start(records, parse, enrich, table, rejects_path, checkpoint, snapshot_eve
             if batch_id and batch_id % snapshot_every == 0:
                 table.snapshot(batch.sparkSession, as_of=batch_id - 1)
             table.upsert(enrich(accepted(parsed)), batch_id, versions=ARRIVAL)
-            write_batch(rejected(parsed), rejects_path, batch_id)
+            write_rejects(rejected(parsed), rejects_path, batch_id)
         finally:
             parsed.unpersist()
 

@@ -9,7 +9,7 @@ from tillstream.operators.orders import filter_first_orders, parse_orders
 from tillstream.operators.records import accepted, rejected, text_of_rejects_only
 from tillstream.plans.order_wide import order_wide
 from tillstream.schemas import ORDER_WIDE, ORDER_WIDE_COLUMNS
-from tillstream.sinks.batches import counted, read_batch, write_batch
+from tillstream.sinks.batches import counted, read_batch, write_batch, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -47,7 +47,7 @@ def start_order_wide(
             # Read back what was written: three columns, and the joins are not run again.
             written = read_batch(spark, wide_path, ORDER_WIDE, batch_id)
             status.upsert(filter_first_orders(written), batch_id)
-            write_batch(rejected(parsed), rejects_path, batch_id)
+            write_rejects(rejected(parsed), rejects_path, batch_id)
         finally:
             parsed.unpersist()
 
