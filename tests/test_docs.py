@@ -2,11 +2,14 @@ import regex
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tillstream import schemas
 from tillstream.functions.text import tokens
 from tillstream.operators import docs
+from tillstream.operators.records import accepted, rejected
+from tillstream.session import scratch_dir
+from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sources.lookups import lookup_rows, point_get
 
-MOVIE = "id BIGINT, name STRING, doubanScore FLOAT, actorList ARRAY<STRUCT<id: BIGINT, name: STRING>>"
 
 
 def words(text):
@@ -49,7 +52,7 @@ def movies(spark):
         (7, "天", 9.5, [(1, "铁蛋神猴")]),
         (8, "别", 9.9, [(1, "铁蛋神猴")]),
         (9, "天", 9.0, None),
-    ], MOVIE)
+    ], schemas.DOCUMENT)
 
 
 def test_search(spark):
@@ -75,3 +78,17 @@ def test_point_get_and_lookup(spark, rows):
     assert point_get(movies(spark), 44).count() == 0
     found = lookup_rows(spark, "SELECT id, name, doubanScore FROM {m} WHERE id IN (5, 6)", m=movies(spark))
     assert rows(found) == [('{"id":5,"name":"第一","doubanScore":9.0}',), ('{"id":6,"name":"天下"}',)]
+
+
+def test_single_documents_are_put_and_fetched(spark, records, rows):
+    index = KeyedTable(scratch_dir(spark, "movies"), schemas.DOCUMENT, ("id",))
+    as_text = """{ "id":300, "name": "operation meigong river", "doubanScore":"8.0",
+                   "actorList":[ {"id":1,"name":"zhang han yu"} ] }"""
+    parsed = docs.parse_documents(records(as_text, "{bad", '{"name": "x"}'))
+    assert rows(rejected(parsed), "offset", "reason") == [(1, "bad_json"), (2, "missing:id")]
+    index.upsert(accepted(parsed), 0)
+    as_object = spark.createDataFrame([(400, "天下第一", 8.0, [(1, "铁蛋神猴")])], schemas.DOCUMENT)
+    index.upsert(as_object, 1)
+    assert rows(point_get(index.read(spark), 300), "name", "doubanScore") == [("operation meigong river", 8.0)]
+    assert point_get(index.read(spark), 300).head()["actorList"] == [(1, "zhang han yu")]
+    assert [h["id"] for h in docs.search(index.read(spark), "天下第一", "铁蛋神猴").collect()] == [400]

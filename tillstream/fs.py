@@ -26,13 +26,15 @@ def delete_dir(spark: SparkSession, path: str) -> None:
 
 
 def complete_batches(spark: SparkSession, root: str) -> list[int]:
-    """Ids of the `batch_id=<n>` folders under root whose write job committed, ascending."""
+    """Ids of the `batch_id=<n>` folders under root whose write job committed, ascending.
+
+    Batches are written one after the other, so only the newest can be unfinished.
+    """
     fs, p = _open(spark, root)
     if not fs.exists(p):
         return []
-    found = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if name.startswith("batch_id=") and exists(spark, f"{root}/{name}/_SUCCESS"):
-            found.append(int(name.partition("=")[2]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(p)]
+    found = sorted(int(name.partition("=")[2]) for name in names if name.startswith("batch_id="))
+    if found and not exists(spark, f"{root}/batch_id={found[-1]}/_SUCCESS"):
+        found.pop()
+    return found

@@ -5,6 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.text import any_token_pattern
+from tillstream.operators.records import CARRIED, parse_once
+
+_DOCUMENT_JSON = (
+    "id STRING, name STRING, doubanScore STRING, actorList ARRAY<STRUCT<id: STRING, name: STRING>>, _corrupt_record STRING"
+)
+
+
+def parse_documents(records: DataFrame) -> DataFrame:
+    """Document JSON -> `id, name, doubanScore, actorList`, the carried record columns and `reason`."""
+    def actor(a):
+        return F.struct(a["id"].try_cast("bigint").alias("id"), a["name"].alias("name"))
+
+    parsed = parse_once(records.select(*CARRIED), F.from_json("value", _DOCUMENT_JSON), "_j")
+    bad = F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull()
+    return parsed.select(
+        *CARRIED,
+        F.col("_j.id").try_cast("bigint").alias("id"),
+        F.col("_j.name").alias("name"),
+        F.col("_j.doubanScore").try_cast("float").alias("doubanScore"),
+        F.transform("_j.actorList", actor).alias("actorList"),
+        F.when(bad, "bad_json").when(F.col("_j.id").try_cast("bigint").isNull(), "missing:id").alias("reason"),
+    )
 
 
 def doc_match(docs: DataFrame, query: str, column: str = "name") -> DataFrame:

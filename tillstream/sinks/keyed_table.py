@@ -2,7 +2,8 @@
 
 `changes/batch_id=<n>` holds the rows batch n upserted, one per key; `snapshots/batch_id=<n>`
 the whole table as of batch n. A repeated batch rewrites its own folder and reads only what lies before
-it, so repeating it changes nothing.
+it, so repeating it changes nothing. A table belongs to one stream and its checkpoint, whose batch ids it is
+ordered by; rows from before the stream go in as batch -1.
 """
 
 from __future__ import annotations

@@ -89,9 +89,9 @@ def start_dau(
 def start_first_seen(
     opens: DataFrame, seen: KeyedTable, checkpoint: str, snapshot_every: int = 20, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Maintain the first-seen table from a stream of daily-active records.
+    """Maintain the first-seen table from a stream of daily-active records, repeats allowed.
 
-    Every batch looks its devices up in the whole table, so batches are larger and rarer than
+    It may follow the index or the start topic itself, which needs no listing of files. Every batch looks its devices up in the whole table, so batches are larger and rarer than
     those of the index.
     """
     def write(batch: DataFrame, batch_id: int) -> None:

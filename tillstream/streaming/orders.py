@@ -9,7 +9,7 @@ from tillstream.operators.orders import filter_first_orders, parse_orders
 from tillstream.operators.records import accepted, rejected, text_of_rejects_only
 from tillstream.plans.order_wide import order_wide
 from tillstream.schemas import ORDER_WIDE, ORDER_WIDE_COLUMNS
-from tillstream.sinks.batches import counted, read_batch, write_batch, write_rejects
+from tillstream.sinks.batches import counted, preview, read_batch, write_batch, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -26,13 +26,15 @@ def start_order_wide(
     users: Callable[[SparkSession], DataFrame],
     checkpoint: str,
     snapshot_every: int = 200,
+    show_rows: int = 0,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Maintain the wide order table and the user status table.
 
     Dimensions are opened anew for every batch. A batch sees only the status of earlier batches,
-    so running it again gives the same flags. A batch spans few days as a rule, so its files'
-    statistics prune by date; a replay of years would shatter into a folder per day and batch.
+    so running it again gives the same flags. A batch spans few days as a rule, so the
+    statistics in its files prune by date, and no folders per day are made. `show_rows` prints
+    that many rows of every batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -47,6 +49,8 @@ def start_order_wide(
             # Read back what was written: three columns, and the joins are not run again.
             written = read_batch(spark, wide_path, ORDER_WIDE, batch_id)
             status.upsert(filter_first_orders(written), batch_id)
+            if show_rows:
+                preview(written, show_rows).show(show_rows, truncate=False)
             write_rejects(rejected(parsed), rejects_path, batch_id)
         finally:
             parsed.unpersist()
