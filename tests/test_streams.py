@@ -115,6 +115,36 @@ def test_dau_rejects_are_all_kept(spark, path, records, rows):
     assert {r["value"] for r in rejects.collect()} == {"{bad", log(None, 1)}
 
 
+def test_collapsing_keeps_the_first_of_every_key_per_arrow_batch(spark):
+    from tillstream.streaming.daily_active import collapse_repeats
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "100")
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 700))
+        many = spark.range(0, 3000, numPartitions=2).select("id", F.lit("d").alias("day"), key.alias("key"))
+        left = collapse_repeats(many, ["day", "key"])
+        assert left.select("key").distinct().count() == many.select("key").distinct().count()
+        assert left.filter("key = 'hot'").count() == 30, "one per Arrow batch"
+        firsts = {r["key"]: r["id"] for r in many.groupBy("key").agg(F.min("id").alias("id")).collect()}
+        assert {r["key"]: r["id"] for r in left.groupBy("key").agg(F.min("id").alias("id")).collect()} == firsts
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_a_user_with_a_third_of_all_orders(spark, t, path, records, rows):
+    status = KeyedTable(f"{path}/status", schemas.USER_STATUS, ("user_id",))
+    texts = [
+        json.dumps({"id": i, "user_id": 1 if i % 3 else i, "create_time": f"2024-01-01 00:{i % 60:02d}:00"})
+        for i in range(300)
+    ]
+    append(records(*texts), path)
+    got = wide(spark, t, path, status)
+    assert got.count() == 300
+    assert rows(got.filter("user_id = 1 AND if_first_order = '1'"), "id") == [(1,)]
+    assert got.filter("if_first_order = '1'").count() == 101
+
+
 def test_first_seen_moves_back_when_an_earlier_day_arrives(spark, path, records, rows):
     day = 86_400_000
     seen = KeyedTable(f"{path}/seen", schemas.FIRST_SEEN, ("mid",))

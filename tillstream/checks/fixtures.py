@@ -115,38 +115,52 @@ def dim_records(topic: str, rows: DataFrame) -> DataFrame:
 
 
 def canal_records(orders: DataFrame) -> DataFrame:
-    """An envelope per order with one to three rows; of three envelopes one is an upper-case insert."""
+    """An envelope per order with one to three rows; which kind of change follows from its status."""
     facts = order_facts(orders)
-    key = F.col("id")
+    key, status = F.col("id"), F.col("order_status")
     copies = F.sequence(F.lit(0).cast("bigint"), key % 3)
     rows = F.transform(copies, lambda i: F.struct(
         (key * 4 + i).alias("id"), F.col("user_id"), F.col("final_total_amount"), F.col("create_time")
     ))
-    kind = F.when(key % 3 == 0, "insert").when(key % 3 == 1, "INSERT").otherwise("UPDATE")
+    kind = F.when(status == "F", "INSERT").when(status == "O", "insert").otherwise("UPDATE")
     envelope = F.struct(kind.alias("type"), F.lit("order_info").alias("table"), rows.alias("data"))
     return _records("db_canal", key, F.to_json(envelope), facts, F.to_timestamp("create_time"), 3)
 
 
 def maxwell_records(orders, customer, nation, part, supplier) -> DataFrame:
-    """Row changes of five tables, one of them not passed on; a tenth have no data."""
-    def changes(rows: DataFrame, name: str) -> DataFrame:
-        key = F.col("id").cast("bigint")
-        kind = F.when(key % 3 == 0, "insert").when(key % 3 == 1, "update").otherwise("delete")
-        data = F.when(key % 10 == 0, "{}").otherwise(F.to_json(F.struct(*rows.columns)))
+    """Row changes of five tables, one of them not passed on; kind and lack of data follow from columns."""
+    def changes(rows: DataFrame, name: str, key: str, fields: dict[str, str], kind, empty) -> DataFrame:
+        data = F.struct(*[F.col(column).alias(field) for field, column in fields.items()])
         value = F.concat(
-            F.lit('{"type":"'), kind, F.lit(f'","table":"{name}","data":'), data, F.lit("}")
+            F.lit('{"type":"'), kind, F.lit(f'","table":"{name}","data":'),
+            F.when(empty, "{}").otherwise(F.to_json(data)), F.lit("}"),
         )
-        return _records("db_maxwell", key, value, rows, F.timestamp_seconds(F.lit(0)), 3)
-
-    def named(df: DataFrame, key: str, name: str) -> DataFrame:
-        return df.select(F.col(key).alias("id"), F.col(name).alias("name"))
+        return _records("db_maxwell", F.col(key).cast("bigint"), value, rows, F.timestamp_seconds(F.lit(0)), 3)
 
+    status, segment = F.col("o_orderstatus"), F.col("c_mktsegment")
+    order_fields = {"id": "o_orderkey", "user_id": "o_custkey", "final_total_amount": "o_totalprice"}
     return (
-        changes(order_facts(orders), "order_info")
-        .union(changes(raw_users(customer), "user_info"))
-        .union(changes(named(nation, "n_nationkey", "n_name"), "base_province"))
-        .union(changes(named(part, "p_partkey", "p_name"), "sku_info"))
-        .union(changes(named(supplier, "s_suppkey", "s_name"), "comment_info"))
+        changes(
+            orders, "order_info", "o_orderkey", order_fields,
+            F.when(status == "F", "insert").when(status == "O", "update").otherwise("delete"),
+            F.col("o_orderpriority") == "5-LOW",
+        )
+        .union(changes(
+            customer, "user_info", "c_custkey", {"id": "c_custkey", "user_level": "c_mktsegment"},
+            F.when(segment == "BUILDING", "insert").otherwise("delete"), F.col("c_acctbal") < 0,
+        ))
+        .union(changes(
+            nation, "base_province", "n_nationkey", {"id": "n_nationkey", "name": "n_name"},
+            F.lit("insert"), F.col("n_regionkey") == 4,
+        ))
+        .union(changes(
+            part, "sku_info", "p_partkey", {"id": "p_partkey", "name": "p_name"},
+            F.lit("update"), F.col("p_size") > 45,
+        ))
+        .union(changes(
+            supplier, "comment_info", "s_suppkey", {"id": "s_suppkey", "name": "s_name"},
+            F.lit("insert"), F.col("s_acctbal") < 0,
+        ))
     )
 
 

@@ -96,21 +96,16 @@ LEFT JOIN users u ON u.id = CAST(f.user_id AS VARCHAR)"""
 
 CANAL = f"""WITH {ORDERS}
 SELECT 'ods_order_info' AS topic, id * 4 + i AS id, user_id, final_total_amount, create_time
-FROM facts, LATERAL (SELECT unnest(range(0, id % 3 + 1)) AS i) WHERE id % 3 = 1"""
+FROM facts, LATERAL (SELECT unnest(range(0, id % 3 + 1)) AS i) WHERE order_status = 'F'"""
 
 
-def _changes(name: str, key: str, source: str, columns: str, fact: bool = False) -> str:
-    kept = f"{key} % 10 <> 0" + (f" AND {key} % 3 = 0" if fact else "")
-    return f"SELECT 'ods_{name}' AS topic, CAST({key} AS VARCHAR) AS id, {columns} FROM {source} WHERE {kept}"
-
-
-MAXWELL = " UNION ALL ".join([
-    _changes("order_info", "o_orderkey", "orders",
-             "NULL AS name, NULL AS user_level, o_totalprice AS final_total_amount", fact=True),
-    _changes("user_info", "c_custkey", "customer", "NULL, c_mktsegment, NULL"),
-    _changes("base_province", "n_nationkey", "nation", "n_name, NULL, NULL"),
-    _changes("sku_info", "p_partkey", "part", "p_name, NULL, NULL"),
-])
+MAXWELL = """
+SELECT 'ods_order_info' AS topic, CAST(o_orderkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS name,
+       CAST(NULL AS VARCHAR) AS user_level, o_totalprice AS final_total_amount
+FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
+UNION ALL SELECT 'ods_user_info', CAST(c_custkey AS VARCHAR), NULL, c_mktsegment, NULL FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT 'ods_base_province', CAST(n_nationkey AS VARCHAR), n_name, NULL, NULL FROM nation WHERE n_regionkey <> 4
+UNION ALL SELECT 'ods_sku_info', CAST(p_partkey AS VARCHAR), p_name, NULL, NULL FROM part WHERE p_size <= 45"""
 
 DAY_OVER_DAY = f"""WITH {FIRST_OPENS},
 today AS (SELECT hr, count(*) AS n FROM opens WHERE dt = '{DAY}' GROUP BY hr),
