@@ -1,0 +1,80 @@
+"""Repeated windows against brute force over all windows."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tillstream.llm.queries import QUERIES
+from tillstream.llm.window_dedup import merged, remove_repeated_windows, rolling, sliding_minimum
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def brute(rows, length):
+    words = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
+    first = {}
+    for i, w in words:
+        if i is not None:
+            for k in range(len(w) - length + 1):
+                key = tuple(w[k:k + length])
+                first[key] = min(i, first.get(key, i))
+    out = []
+    for i, w in words:
+        gone = set()
+        for k in range(len(w) - length + 1):
+            if i is not None and first[tuple(w[k:k + length])] < i:
+                gone.update(range(k, k + length))
+        out.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in df.collect()), key=repr)
+
+
+def test_rolling_and_minimum():
+    h = np.random.default_rng(0).integers(0, 2**63, 400, np.uint64)
+    h[200:300] = h[:100]
+    r = rolling(h, 50, 0x9E3779B97F4A7C15)
+    assert len(r) == 351 and len(set(r.tolist())) == 351 - 51 and (r[200:251] == r[:51]).all()
+    assert len(rolling(h[:49], 50, 3)) == 0
+    for width in (1, 2, 7, 41):
+        assert sliding_minimum(h, width).tolist() == [min(h[i:i + width].tolist()) for i in range(401 - width)]
+    assert merged([9, 0, 3, 20], 5) == [(0, 8), (9, 14), (20, 25)] and merged([0, 5], 5) == [(0, 10)] and merged([], 5) == []
+
+
+@pytest.mark.parametrize("length", [1, 4, 10])
+def test_random_texts(spark, length):
+    rng = random.Random(length)
+    passages = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 30))) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        parts = [" ".join(rng.choice("ijklmnopqrst") for _ in range(rng.randint(0, 15))) for _ in range(3)]
+        rows.append((i * 7 % 61, "\n".join(p for pair in zip(parts, rng.sample(passages, 3)) for p in pair)))
+    rows += [(3, rows[5][1]), (None, rows[7][1]), (100, None), (101, ""), (102, rows[9][1]), (102, rows[9][1]), (102, "other a b c d e f g h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(remove_repeated_windows(docs, length)) == brute(rows, length)
+
+
+def test_edges(spark):
+    long = " ".join(str(i) for i in range(60_000))
+    rows = [(1, long), (2, "x y " + long), (3, "a " * 49), (4, "a " * 49), (5, "b " * 200), (6, "b " * 50)]
+    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id bigint, text string, id string, d1 int")
+    assert got(remove_repeated_windows(docs)) == [
+        (i, len(t.split()), n, " ".join(t.split()) if not n else kept)
+        for (i, t), (n, kept) in zip(rows, [(0, ""), (60_000, "x y"), (0, ""), (0, ""), (0, ""), (50, "")])
+    ]
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in remove_repeated_windows(docs).collect()}
+    assert spans[2] == [(2, 60_002)] and spans[1] == []
+    assert remove_repeated_windows(docs.limit(0)).count() == 0
+
+
+def test_query_over_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    want = [(i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in brute(rows, 50)]
+    out = QUERIES["op9_window_dedup"](spark, FOLDER)
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()) == sorted(want)
+    assert any(gone for _, _, gone, _ in want)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm.simhash import simhash_groups
+from tillstream.llm.window_dedup import remove_repeated_windows
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,8 +19,14 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = remove_repeated_windows(_table(spark, folder, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
+    "op9_window_dedup": op9_window_dedup,
 }
 
 ORACLE: dict[str, str] = {}
