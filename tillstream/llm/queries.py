@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillstream.llm.language_id import identify
 from tillstream.llm.simhash import simhash_groups
 from tillstream.llm.window_dedup import remove_repeated_windows
 
@@ -19,6 +20,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(_table(spark, folder, "documents"))
+
+
 def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = remove_repeated_windows(_table(spark, folder, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -26,6 +31,7 @@ def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
+    "op7_language_id": op7_language_id,
     "op9_window_dedup": op9_window_dedup,
 }
 
