@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillstream.llm import byte_bpe
 from tillstream.llm.language_id import identify
 from tillstream.llm.simhash import simhash_groups
 from tillstream.llm.window_dedup import remove_repeated_windows
@@ -15,6 +17,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = file.read()
+    ids = byte_bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return back.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_groups(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -30,6 +44,7 @@ def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash": op5_simhash,
     "op7_language_id": op7_language_id,
     "op9_window_dedup": op9_window_dedup,
