@@ -57,10 +57,11 @@ def _least_grams(hashes: np.ndarray, length: int) -> np.ndarray:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(
+    rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), text.alias("text"),
         F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"),
     )
+    return rows.withColumn("key", F.struct("id", "d1"))
 
 
 def _grams(rows: DataFrame, length: int) -> DataFrame:
@@ -98,7 +99,7 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
                      pa.array(at.astype(np.int32))], schema=schema
                 )
 
-    return rows.select("id", "d1", "text", "shared").mapInArrow(run, "h1 bigint, h2 bigint, id bigint, d1 bigint, at int")
+    return rows.select("key.id", "key.d1", "text", "shared").mapInArrow(run, "h1 bigint, h2 bigint, id bigint, d1 bigint, at int")
 
 
 def merged(starts: list[int], length: int) -> list[tuple[int, int]]:
@@ -130,7 +131,9 @@ def repeated_starts(keyed: DataFrame, length: int) -> DataFrame:
     own = grams.join(copies, ["id", "d1"], "left_anti")
     shared = own.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("m")
     lists = own.join(shared, "m").groupBy("id", "d1").agg(F.collect_set("m").alias("shared"))
-    windows = _windows(rows.join(lists, ["id", "d1"]), length)
+    # The texts are dealt out by `key` here and in the end: it is never null, so that Spark sees one exchange in the two.
+    keyed_lists = lists.select(F.struct("id", "d1").alias("key"), "shared")
+    windows = _windows(keyed.select("key", "text").join(keyed_lists, "key"), length)
 
     first = windows.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     late = windows.join(first.drop("last"), ["h1", "h2"]).filter("id > first")
@@ -172,6 +175,7 @@ def remove_repeated_windows(
             return doc, n, n - len(kept), shown, b" ".join(kept).decode("utf-8", "replace")
         return row
 
-    joined = keyed.select("id", "d1", "text").join(marks, ["id", "d1"], "left").select("id", "text", "starts", "whole")
+    marks = marks.select(F.struct("id", "d1").alias("key"), "starts", "whole")
+    joined = keyed.select("key", "text").join(marks, "key", "left").select("key.id", "text", "starts", "whole")
     ddl = f"`{id_col}` bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
     return map_rows(joined, make, schema, ddl)
