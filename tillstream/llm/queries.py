@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import byte_bpe
 from tillstream.llm.language_id import identify
+from tillstream.llm.line_dedup import dedup_lines
 from tillstream.llm.simhash import simhash_groups
 from tillstream.llm.window_dedup import remove_repeated_windows
 
@@ -38,6 +39,11 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = dedup_lines(_table(spark, folder, "documents"))
+    return left.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+
+
 def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = remove_repeated_windows(_table(spark, folder, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -47,7 +53,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash": op5_simhash,
     "op7_language_id": op7_language_id,
+    "op8_line_dedup": op8_line_dedup,
     "op9_window_dedup": op9_window_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+# Two lines within one edit have an equal half, cut in the middle of the shorter one.
+LINE_DEDUP_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents
+), counted AS (SELECT * FROM lines WHERE length(line) >= 10 AND regexp_matches(line, '[^\\s]')
+), distinct_lines AS (SELECT line, length(line) AS n, min((doc_id, no)) AS at FROM counted GROUP BY line
+), long AS (SELECT * FROM distinct_lines WHERE n >= 20
+), keys AS (
+  SELECT line, at, n - j AS short, unnest([left(line, (n - j) // 2), right(line, n - j - (n - j) // 2)]) AS half, unnest([1, 2]) AS side
+  FROM long, (VALUES (0), (1)) v(j)
+), near AS (
+  SELECT DISTINCT b.line FROM keys a JOIN keys b USING (short, half, side)
+  WHERE a.at < b.at AND levenshtein(a.line, b.line) <= 1
+), gone AS (
+  SELECT c.doc_id, c.no FROM counted c JOIN distinct_lines d USING (line)
+  WHERE (c.doc_id, c.no) > d.at OR c.line IN (SELECT line FROM near)
+)
+SELECT doc_id, count(l.no) AS n_lines, count(g.no) AS n_removed,
+  coalesce(string_agg(l.line, chr(10) ORDER BY l.no) FILTER (WHERE g.no IS NULL), '') AS text
+FROM lines l LEFT JOIN gone g USING (doc_id, no) GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": LINE_DEDUP_SQL,
+}
