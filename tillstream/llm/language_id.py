@@ -12,6 +12,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillstream.llm.tables import join_checked, stored
+
 UNDETERMINED = "und"
 DIMENSIONS = 4096
 ORDERS = 3
@@ -123,9 +125,9 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int =
         n[i] = count
     idf = np.log((1 + n[-1]) / (1 + n[:-1])) + 1
 
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = stored(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_size")), "languages")
     order = F.xxhash64("text")
-    likely = labelled.select("text", "lang").join(sizes, "lang").filter(
+    likely = join_checked(labelled.select("text", "lang"), sizes, ["lang"]).filter(
         F.pmod(order, F.lit(1 << 30)) * F.col("_size") <= F.lit(2.0 * per_language * (1 << 30))
     )
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(order, "text"))
