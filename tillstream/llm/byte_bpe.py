@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 # Words of one query, and its bytes; a word of more bytes than LONG has queries of its own.
 WORDS, LONG = 20_000, 256
 # Words whose ids a Python worker remembers, so that common words are merged once. Others are merged in each block.
-REMEMBERED = 750_000
+REMEMBERED = 400_000
 # Characters encoded, and tokens decoded, at a time.
-_BLOCK = 4_000_000
+_BLOCK = 2_000_000
 
 # A row for each token of each word. Every step joins neighbours to the merge table, finds each word's pair of least
 # rank, leftmost among equals, and puts the merged token in the place of the two. Words without a pair drop out.
