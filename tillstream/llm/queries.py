@@ -62,17 +62,17 @@ LINE_DEDUP_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents
 ), counted AS (SELECT * FROM lines WHERE length(line) >= 10 AND regexp_matches(line, '[^\\s]')
-), distinct_lines AS (SELECT line, length(line) AS n, min((doc_id, no)) AS at FROM counted GROUP BY line
+), distinct_lines AS (SELECT line, length(line) AS n, min((doc_id, no)) AS place FROM counted GROUP BY line
 ), long AS (SELECT * FROM distinct_lines WHERE n >= 20
 ), keys AS (
-  SELECT line, at, n - j AS short, unnest([left(line, (n - j) // 2), right(line, n - j - (n - j) // 2)]) AS half, unnest([1, 2]) AS side
+  SELECT line, place, n - j AS short, unnest([left(line, (n - j) // 2), right(line, n - j - (n - j) // 2)]) AS half, unnest([1, 2]) AS side
   FROM long, (VALUES (0), (1)) v(j)
 ), near AS (
   SELECT DISTINCT b.line FROM keys a JOIN keys b USING (short, half, side)
-  WHERE a.at < b.at AND levenshtein(a.line, b.line) <= 1
+  WHERE a.place < b.place AND levenshtein(a.line, b.line) <= 1
 ), gone AS (
   SELECT c.doc_id, c.no FROM counted c JOIN distinct_lines d USING (line)
-  WHERE (c.doc_id, c.no) > d.at OR c.line IN (SELECT line FROM near)
+  WHERE (c.doc_id, c.no) > d.place OR c.line IN (SELECT line FROM near)
 )
 SELECT doc_id, count(l.no) AS n_lines, count(g.no) AS n_removed,
   coalesce(string_agg(l.line, chr(10) ORDER BY l.no) FILTER (WHERE g.no IS NULL), '') AS text
