@@ -11,6 +11,7 @@ from tillstream.llm import byte_bpe
 from tillstream.llm.language_id import identify
 from tillstream.llm.line_dedup import dedup_lines
 from tillstream.llm.simhash import simhash_groups
+from tillstream.llm.spotsigs import fingerprint_table, likeness, rendered
 from tillstream.llm.window_dedup import remove_repeated_windows
 
 
@@ -30,6 +31,16 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    signed = fingerprint_table(_table(spark, folder, "documents"))
+    return signed.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        rendered(F.col("signs")).alias("fingerprint"), rendered(F.col("edited_signs")).alias("edited_fingerprint"),
+        likeness(F.col("signs"), F.col("edited_signs")).alias("near_edited"),
+        likeness(F.col("signs"), F.col("next_signs")).alias("near_next"),
+    )
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_groups(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -51,6 +62,7 @@ def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_spotsigs": op4_spotsigs,
     "op5_simhash": op5_simhash,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
