@@ -11,7 +11,9 @@ from tillstream.llm import byte_bpe
 from tillstream.llm.language_id import identify
 from tillstream.llm.line_dedup import dedup_lines
 from tillstream.llm.simhash import simhash_groups
+from tillstream.llm.source_mixing import mixed
 from tillstream.llm.spotsigs import fingerprint_table, likeness, rendered
+from tillstream.llm.url_templates import document_labels, judge
 from tillstream.llm.window_dedup import remove_repeated_windows
 
 
@@ -46,6 +48,11 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return judge(pages, document_labels(pages, _table(spark, folder, "labels")))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_table(spark, folder, "documents"))
 
@@ -60,13 +67,23 @@ def op9_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixed(_table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
+        F.col("_weight").alias("weight"), F.col("_probability").alias("probability"), F.col("_kept").alias("kept"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_spotsigs": op4_spotsigs,
     "op5_simhash": op5_simhash,
+    "op6_url_templates": op6_url_templates,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
     "op9_window_dedup": op9_window_dedup,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 # Two lines within one edit have an equal half, cut in the middle of the shorter one.
