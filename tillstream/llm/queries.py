@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import byte_bpe
+from tillstream.llm.embedding_dedup import link_vectors
 from tillstream.llm.language_id import identify
 from tillstream.llm.line_dedup import dedup_lines
 from tillstream.llm.simhash import simhash_groups
@@ -21,6 +22,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return link_vectors(_table(spark, folder, "embeddings"))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = file.read()
@@ -76,6 +81,7 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_spotsigs": op4_spotsigs,
     "op5_simhash": op5_simhash,
@@ -108,6 +114,23 @@ SELECT doc_id, count(l.no) AS n_lines, count(g.no) AS n_removed,
 FROM lines l LEFT JOIN gone g USING (doc_id, no) GROUP BY doc_id
 """
 
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = vec_id) AS n_links, min(other) AS component_id,
+  min(other) = vec_id AS kept
+FROM reached GROUP BY vec_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": EMBEDDING_SQL,
     "op8_line_dedup": LINE_DEDUP_SQL,
 }
