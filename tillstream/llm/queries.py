@@ -11,6 +11,7 @@ from tillstream.llm import byte_bpe
 from tillstream.llm.embedding_dedup import link_vectors
 from tillstream.llm.language_id import identify
 from tillstream.llm.line_dedup import dedup_lines
+from tillstream.llm.lm_scoring import score_documents
 from tillstream.llm.simhash import simhash_groups
 from tillstream.llm.source_mixing import mixed
 from tillstream.llm.spotsigs import fingerprint_table, likeness, rendered
@@ -26,6 +27,10 @@ def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return link_vectors(_table(spark, folder, "embeddings"))
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(_table(spark, folder, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = file.read()
@@ -82,6 +87,7 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_spotsigs": op4_spotsigs,
     "op5_simhash": op5_simhash,
@@ -117,8 +123,8 @@ FROM lines l LEFT JOIN gone g USING (doc_id, no) GROUP BY doc_id
 EMBEDDING_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.93
