@@ -1,0 +1,83 @@
+"""The pipeline against a plain version of every stage."""
+
+import base64
+import itertools
+
+import numpy as np
+import public_tokenizers
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from test_line_dedup import within_one
+from test_simhash import plain, roots
+from tillstream.llm import language_id as li, line_dedup as ld, source_mixing as sm
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def without_repeated_lines(texts):
+    lines = sorted((i, n, l) for i, t in texts.items() for n, l in enumerate(t.split("\n")) if len(l) >= ld.MIN_CHARS and l.strip())
+    gone, first, by_half = set(), {}, {}
+    for i, n, l in lines:
+        halves = {(k, side, l[:k] if side else l[len(l) - k:]) for k in {len(l) // 2 - 1, len(l) // 2} for side in (0, 1)}
+        near = any(within_one(l, m) for h in halves for m in by_half.get(h, ())) if len(l) >= ld.NEAR_CHARS else False
+        if l in first or near:
+            gone.add((i, n))
+        if l not in first:
+            first[l] = (i, n)
+            if len(l) >= ld.NEAR_CHARS:
+                for h in halves:
+                    by_half.setdefault(h, []).append(l)
+    return {i: "\n".join(l for n, l in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in texts.items()}
+
+
+def test_against_plain_stages(spark):
+    assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "simhash_dedup", "source_mixing", "byte_bpe"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = {r.doc_id: r for r in docs.collect()}
+
+    model = li.fit_documents(docs)
+    texts = {i: r.text for i, r in rows.items() if model.predict(r.text)[0] != "und"}
+    assert len(texts) >= 0.99 * len(rows)
+    texts = without_repeated_lines(texts)
+    prints = {i: plain(t) for i, t in texts.items()}
+    root = roots(prints, [p for p in itertools.combinations(prints, 2) if (prints[p[0]] ^ prints[p[1]]).bit_count() <= 3])
+    texts = {i: t for i, t in texts.items() if root[i] == i}
+
+    ids = sorted(texts)
+    made = [sm.lexical_topic(texts[i]) for i in ids]
+    tokens = np.array([n for _, n in made], float)
+    codes, shares = [], []
+    for values in ([rows[i].source for i in ids], [rows[i].lang for i in ids], [t for t, _ in made]):
+        kinds, code = np.unique(values, return_inverse=True)
+        codes.append(code)
+        shares.append(np.bincount(code, tokens, len(kinds)) ** sm.FLATTEN)
+    cells, cell = np.unique(np.array(codes), axis=1, return_inverse=True)
+    cell = cell.ravel()
+    mass = np.bincount(cell, tokens)
+    weight = np.zeros(len(mass))
+    weight[mass > 0] = sm.rake(mass[mass > 0], cells[:, mass > 0], shares)
+    chance = {r.doc_id: r.u for r in spark.createDataFrame([(i, texts[i]) for i in ids], "doc_id bigint, text string").select(
+        "doc_id", (F.shiftrightunsigned(F.xxhash64(F.lit(sm.SEED), "doc_id", "text"), 11) / F.lit(float(1 << 53))).alias("u")).collect()}
+    kept = [i for k, i in enumerate(ids) if chance[i] < (weight[cell[k]] / weight.max() if mass[cell[k]] else 1.0)]
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: r for r in cp.run(spark, FOLDER).collect()}
+    assert sorted(got) == kept and 50 < len(kept) < len(ids)
+    for i in kept:
+        assert got[i].ids == library.encode_ordinary(texts[i]) and got[i].n_tokens == len(got[i].ids) and got[i].text == texts[i]
+
+
+def test_stages_keep_columns_and_odd_rows(spark):
+    rows = [(1, None, None, None, None, 1), (2, "", "en", "s", 0, 1), (None, "The end of that and the rest of it", "en", None, 5, 1),
+            (3, "The end of that\nand the rest of it", None, "s", 5, 1), (3, "The end of that\nand the rest of it", None, "s", 5, 1)]
+    odd = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, extra int")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("extra", F.lit(0)).union(odd)
+    for frame in (docs, docs.limit(0)):
+        for name, stage in cp.STAGES:
+            out = stage(spark, frame, FOLDER)
+            assert out.columns == frame.columns or name == "byte_bpe"
+            assert out.count() <= frame.count()
