@@ -13,9 +13,9 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 # Words of one query, and its bytes; a word of more bytes than LONG has queries of its own.
-WORDS, LONG = 20_000, 256
+WORDS, LONG = 6_000, 256
 # Words whose ids a Python worker remembers, so that common words are merged once. Others are merged in each block.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # Characters encoded, and tokens decoded, at a time.
 _BLOCK = 2_000_000
 
@@ -77,7 +77,7 @@ class Coder:
                 for t, r in self.ids.items() for k in range(1, len(t)) if t[:k] in self.ids and t[k:] in self.ids
             ] or np.zeros((0, 3)), np.int32,
         )
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         self._table("merges", a=merges[:, 0], b=merges[:, 1], rank=merges[:, 2])
         self.con.execute("CREATE TABLE merges AS SELECT * FROM given_merges")
         # A byte b as the character U+0100 + b: DuckDB then joins any bytes as text.
