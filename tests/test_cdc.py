@@ -59,3 +59,9 @@ def test_amounts_keep_every_digit(records, rows):
     assert rows(canal_route(records(text)), "value") == [('{"amount":12345678901234567.89}',)]
     text = '{"type":"insert","table":"sku_info","data":{"amount":12345678901234567.89}}'
     assert rows(maxwell_route(records(text)), "value") == [('{"amount":12345678901234567.89}',)]
+
+
+def test_text_after_the_object_is_a_reject(records, rows):
+    insert = '{"type": "INSERT", "table": "t", "data": [{"id": 1}]}'
+    df = records(insert, insert + " junk", f"{insert}, {insert}", f"{insert} null")
+    assert rows(canal_route(df), "offset", "topic") == [(0, "ods_t"), (1, "rejects"), (2, "rejects"), (3, "rejects")]

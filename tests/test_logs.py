@@ -75,3 +75,10 @@ def test_first_open_ships_one_row_per_device_and_map_task(spark):
     plan = first._jdf.queryExecution().executedPlan().toString()
     below_exchange = plan[plan.index("Exchange hashpartitioning"):]
     assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
+
+
+def test_text_after_the_object_is_a_reject(records, rows):
+    two = '{"ts": 1, "common": {"mid": "a"}} {"ts": 2, "common": {"mid": "b"}}'
+    df = records(two, '{"ts": 1, "common": {"mid": "a"}} junk', ' {"ts": 1, "common": {"mid": "a"}}\n')
+    assert rows(logs.parse_app_log(df), "offset", "reason") == [(0, "bad_json"), (1, "bad_json"), (2, None)]
+    assert rows(logs.route_app_log(df), "offset", "topic") == [(0, "rejects"), (1, "rejects"), (2, "log_event")]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import orders as ops
-from tillstream.operators.joins import checked_left_join, salted_left_join
+from tillstream.operators.joins import checked_left_join
 from tillstream.operators.records import accepted, rejected
 from tillstream.plans.order_wide import order_wide
 from tillstream.schemas import ORDER_FIELDS, ORDER_WIDE_COLUMNS
@@ -80,7 +80,9 @@ def test_wide_equals_the_chain_of_single_operators(orders, status, provinces, us
     chain = ops.join_order_user(ops.join_order_province(chain, provinces), users)
     want = rows(chain, *ORDER_WIDE_COLUMNS)
     assert rows(order_wide(batch, status(2, 4), provinces, users), *ORDER_WIDE_COLUMNS) == want
-    assert rows(order_wide(batch, status(2, 4), provinces, users, hot_rows=3), *ORDER_WIDE_COLUMNS) == want
+    flagged = ops.flag_first_orders(batch, status(2, 4))
+    assert rows(flagged, "id", "if_first_order") == rows(chain, "id", "if_first_order")
+    assert rows(ops.status_of_first_orders(batch, status(2, 4))) == rows(ops.filter_first_orders(chain))
 
 
 def test_dimension_misses_stay_null(orders, provinces, users, rows):
@@ -101,7 +103,18 @@ def test_grouping_by_user_is_whole_and_bounded(orders, rows):
     assert max(len(g["orders"]) for g in grouped) <= 10
     assert sorted((o["id"], g["user_id"]) for g in grouped for o in g["orders"]) == sorted(rows(batch, "id", "user_id"))
     assert {"create_hour", "final_total_amount"} <= set(grouped[0]["orders"][0].asDict())
-    assert all(g["n_orders"] == len(g["orders"]) and g["orders"] == sorted(g["orders"]) for g in grouped)
+    assert all(g["orders"] == sorted(g["orders"]) for g in grouped)
+    of_one = sorted((g["part"], len(g["orders"]), g["n_orders"]) for g in grouped if g["user_id"] == 1)
+    assert of_one == [(k, 10, 66) for k in range(6)] + [(6, 6, 66)]
+    parts = [o for g in sorted((g for g in grouped if g["user_id"] == 1), key=lambda g: g["part"]) for o in g["orders"]]
+    assert parts == sorted(parts)
+
+
+def test_grouping_numbers_orders_over_days(orders):
+    batch = orders(*[(i, 7, f"2024-01-{1 + i % 5:02d} 00:00:00") for i in range(23)])
+    grouped = sorted(ops.group_orders_by_user(batch, span=8).collect(), key=lambda g: g["part"])
+    assert [(g["part"], g["n_orders"], len(g["orders"])) for g in grouped] == [(0, 23, 8), (1, 23, 8), (2, 23, 7)]
+    assert [o["id"] for o in grouped[0]["orders"]] == [0, 5, 10, 15, 20, 1, 6, 11]
 
 
 @pytest.fixture
@@ -111,30 +124,30 @@ def skewed(spark):
     return spark.range(3000).withColumn("key", key)
 
 
-def test_salted_join_equals_plain_join(spark, skewed, rows):
+def test_left_join_is_the_same_either_way(spark, skewed, rows):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "key STRING, v INT")
     plain = rows(skewed.join(dim, "key", "left"), "id", "key", "v")
-    for hot_rows, max_hot in [(10, 1000), (100, 1), (10_000, 10)]:
-        salted = salted_left_join(skewed, dim, "key", ["id"], hot_rows=hot_rows, max_hot=max_hot)
-        assert rows(salted, "id", "key", "v") == plain
-    assert rows(checked_left_join(skewed, dim, "key", ["id"], max_broadcast_rows=2), "id", "key", "v") == plain
+    assert rows(checked_left_join(skewed, dim, "key"), "id", "key", "v") == plain
+    assert rows(checked_left_join(skewed, dim, "key", max_broadcast_rows=2), "id", "key", "v") == plain
 
 
-def test_salted_join_spreads_the_hot_key(spark, skewed):
-    dim = spark.createDataFrame([("hot", 1), ("k1", 2)], "key STRING, v INT")
+def test_any_number_of_hot_keys_is_split(spark):
+    """With partitions of a few keys each, all of them hot, the fact side of every one is read in parts."""
     settings = {
-        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "20",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
     }
     before = {k: spark.conf.get(k) for k in settings}
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        joined = salted_left_join(skewed, dim, "key", ["id"], hot_rows=50)
-        sizes = joined.filter("key = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert sum(r["count"] for r in sizes) == 1000
-        assert max(r["count"] for r in sizes) < 400
-        unkeyed = joined.filter("key IS NULL").groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert len(unkeyed) > 5
+        fact = spark.range(0, 400_000, numPartitions=8).select("id", F.concat(F.lit("k"), F.col("id") % 20).alias("key"))
+        dim = spark.range(20).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
+        joined = checked_left_join(fact, dim, "key", max_broadcast_rows=0)
+        assert joined.filter(F.concat(F.lit("k"), "v") == F.col("key")).count() == 400_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

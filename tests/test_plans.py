@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 
+from tillstream.checks.queries import REGISTRY
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -38,10 +40,8 @@ def test_row_wise_operators_do_not_shuffle(plan, name):
     assert "Exchange" not in plan(name)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_cross_join_and_no_python(plan, name):
-    if name.startswith("start_") or name.startswith("sink_topic"):
-        pytest.skip("returns what a stream wrote")
     text = plan(name)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInArrow"):
         assert node not in text
@@ -59,12 +59,12 @@ def test_filters_and_columns_reach_the_scan(plan):
     assert "EqualTo(p_partkey,42)" in text and "p_size" not in text
     text = plan("dau_by_hour")
     assert "EqualTo(event_type,view)" in text and "props" not in text
-    text = plan("order_wide")
+    text = plan("pipeline_order_wide")
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text and "o_orderpriority" not in text
 
 
 def test_aggregates_combine_before_the_shuffle(plan):
-    for name in ("dau_by_hour", "offsets_range", "order_wide", "realtime_totals"):
+    for name in ("dau_by_hour", "offsets_range", "pipeline_order_wide", "realtime_totals"):
         assert "partial_" in plan(name), name
 
 
@@ -77,6 +77,37 @@ def test_day_over_day_needs_no_join(plan):
     assert "Join" not in plan("join_day_over_day")
 
 
+def test_streaming_plans_have_no_python_but_for_repeats(spark):
+    """What the streams run, as batch plans. Collapsing a device's repeats is the only step in Python."""
+    from tillstream.checks import fixtures as fx
+    from tillstream.checks.queries import Tables
+    from tillstream.operators import cdc, logs, orders
+    from tillstream.streaming.daily_active import first_opens
+    t = Tables(spark, FOLDER)
+    frames = {
+        "canal": cdc.canal_route(fx.canal_records(t.orders)), "split": logs.route_app_log(fx.app_log_records(t.events)),
+        "orders": orders.parse_orders(fx.order_records(t.orders)),
+    }
+    for name, frame in frames.items():
+        text = frame._jdf.queryExecution().toString()
+        assert not any(x in text for x in ("Python", "MapInArrow", "Exchange", "CartesianProduct")), name
+    opens = first_opens(fx.start_log_records(t.stream("events")))._jdf.queryExecution().analyzed().toString()
+    assert opens.count("MapInArrow") == 1 and "PythonUDF" not in opens
+
+
+def test_first_orders_read_the_orders_few_times(plan):
+    # the status table of these queries is made from the orders too: one scan more than the operator needs
+    for name, scans in (("order_first_flag", 4), ("filter_first_orders", 2), ("pipeline_order_wide", 4)):
+        text = plan(name)
+        assert sum("orders.parquet" in x for x in re.findall(r"Location: .*", text)) <= scans, name
+        assert count(text, "Exchange") <= 8, name
+
+
+def test_reports_prune_days(plan):
+    for name in ("dau_total", "join_day_over_day", "realtime_totals"):
+        assert re.search(r"PartitionFilters: \[.*dt#", plan(name)), name
+
+
 def test_order_rows_are_shuffled_at_most_once(spark):
     """With nothing small enough to broadcast, full order rows cross one exchange."""
     from tillstream.checks import fixtures as fx

@@ -11,6 +11,7 @@ from tillstream import schemas
 from tillstream.checks import fixtures as fx
 from tillstream.checks.queries import Tables, users as enriched_users
 from tillstream.operators.orders import parse_orders
+from tillstream.operators import serving
 from tillstream.operators.records import accepted
 from tillstream.plans.daily_active import daily_active
 from tillstream.plans.order_wide import order_wide
@@ -71,7 +72,7 @@ def log(mid, ts, **extra):
 
 def dau(spark, path, **kwargs):
     query = run(start_dau, spark, path, index_path=f"{path}/index", rejects_path=f"{path}/rejects", **kwargs)
-    return query, batches.read_day_index(spark, f"{path}/index", schemas.DAU)
+    return query, batches.read_daily_active(spark, f"{path}/index", schemas.DAU)
 
 
 def test_dau_replay_equals_batch_across_restart_and_repeat(spark, t, path, rows):
@@ -86,15 +87,64 @@ def test_dau_replay_equals_batch_across_restart_and_repeat(spark, t, path, rows)
         append(part, path, order)
     query, index = dau(spark, path)
     assert rows(index, *schemas.DAU_COLUMNS) == rows(daily_active(records), *schemas.DAU_COLUMNS)
-    state = query.lastProgress["stateOperators"][0]
-    assert state["numRowsTotal"] < index.count() / 2, "state of past days is let go"
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress) == 0
-    by_batch = batches.read_day_index(spark, f"{path}/index", f"{schemas.DAU}, batch_id BIGINT").groupBy("batch_id").count()
+    by_batch = batches.read_daily_active(spark, f"{path}/index", f"{schemas.DAU}, batch_id BIGINT").groupBy("batch_id").count()
     written = dict(rows(by_batch))
     counted = {p["batchId"]: p["observedMetrics"]["dau_index"]["rows"] for p in query.recentProgress if p["numInputRows"]}
     assert len(counted) == 4 and counted == {batch: written[batch] for batch in counted}
 
 
+def test_old_arrivals_and_late_repeats_lose_and_double_nothing(spark, path, records, rows):
+    """A lagging partition, a bad old message, and a device whose state has gone before it comes back."""
+    day = 86_400_000
+
+    def at(frame, date):
+        return frame.withColumn("timestamp", F.lit(date).cast("timestamp"))
+
+    append(at(records(log("a", 1000)), "2024-01-05"), path)
+    dau(spark, path, keep_for="1 second")
+    append(at(records(log("old", 2000), "{bad"), "2024-01-02"), path)
+    dau(spark, path, keep_for="1 second")
+    append(at(records(log("a", 1500), log("b", day)), "2024-01-09"), path)
+    query, index = dau(spark, path, keep_for="1 second")
+    assert rows(index, "mid", "ts") == [("a", 1000), ("b", day), ("old", 2000)]
+    assert serving.dau_total(index, "1970-01-01").first().total == 2
+    rejects = batches.read_batches(spark, f"{path}/rejects", schemas.REJECT)
+    assert rows(rejects, "value", "reason") == [("{bad", "bad_json")]
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
+    assert states[-1]["numRowsTotal"] <= 3, "state of past devices is let go"
+
+
+def test_a_closed_day_is_compacted(spark, path, rows):
+    day = {"uid": "u", "ar": "r", "ch": "c", "vc": "v", "hr": "00", "mi": "00"}
+    for n in range(30):
+        some = spark.createDataFrame([{**day, "mid": f"m{n % 7}", "dt": d, "ts": n} for d in ("2024-01-01", "2024-01-02")], schemas.DAU)
+        batches.write_day_index(some, f"{path}/index", n)
+    before = rows(batches.read_daily_active(spark, f"{path}/index", schemas.DAU))
+    batches.compact_day(spark, f"{path}/index", schemas.DAU, "2024-01-01", "mid", first=True)
+    batches.compact_day(spark, f"{path}/index", schemas.DAU, "2024-01-01", "mid", first=True)
+    assert rows(batches.read_daily_active(spark, f"{path}/index", schemas.DAU)) == before and len(before) == 14
+    files = {d: len(list(Path(f"{path}/index/dt={d}").rglob("*.parquet"))) for d in ("2024-01-01", "2024-01-02")}
+    assert files == {"2024-01-01": 1, "2024-01-02": 30}
+    plan = batches.read_daily_active(spark, f"{path}/index", schemas.DAU).filter("dt = '2024-01-02'")
+    assert "PartitionFilters: [isnotnull(dt" in plan._jdf.queryExecution().toString()
+
+
+def test_wide_orders_prune_by_date_and_fold(spark, t, path, records, rows):
+    status = KeyedTable(f"{path}/status", schemas.USER_STATUS, ("user_id",))
+    for n in range(3):
+        texts = [json.dumps({"id": 10 * n + d, "user_id": d, "create_time": f"2024-01-0{d} 00:00:00"}) for d in (1, 2)]
+        append(records(*texts), path)
+    before = rows(wide(spark, t, path, status), "id", "create_date", "if_first_order")
+    for _ in range(2):
+        batches.compact_day(spark, f"{path}/wide", schemas.ORDER_WIDE, "2024-01-01", None, day="create_date")
+    left = batches.read_batches(spark, f"{path}/wide", schemas.ORDER_WIDE)
+    assert rows(left, "id", "create_date", "if_first_order") == before and len(before) == 6
+    assert len(list(Path(f"{path}/wide/create_date=2024-01-01").rglob("*.parquet"))) == 1
+    assert "PartitionFilters: [isnotnull(create_date" in left.filter("create_date = '2024-01-02'")._jdf.queryExecution().toString()
+
+
 def test_a_wrong_device_clock_harms_no_other_device(spark, path, records, rows):
     future = 4_070_908_800_000
     append(records(log("a", 1000), log("odd", future)), path)
@@ -244,7 +294,7 @@ def test_logs_land_raw_and_split(spark, path, records, rows):
     assert rows(split, "value") == rows(landed, "value")
     only_start = file_topic(spark, f"{path}/split").filter("topic = 'log_start'")
     start_dau(only_start, f"{path}/index", f"{path}/rejects", f"{path}/c3", trigger=ONCE).awaitTermination()
-    assert rows(batches.read_day_index(spark, f"{path}/index", schemas.DAU), "mid") == [("a",)]
+    assert rows(batches.read_daily_active(spark, f"{path}/index", schemas.DAU), "mid") == [("a",)]
 
 
 def file_topic_batch(spark, path):

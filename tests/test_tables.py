@@ -77,13 +77,13 @@ def dau(spark, *triples):
 
 def test_day_index_upserts_by_id_within_a_day(spark, rows):
     root = scratch_dir(spark, "index")
-    assert batches.read_day_index(spark, root, schemas.DAU).count() == 0
+    assert batches.read_day_index(spark, root, schemas.DAU, key="mid").count() == 0
     batches.write_day_index(dau(spark, ("a", "2024-01-01", "01"), ("a", "2024-01-02", "01")), root, 0)
     batches.write_day_index(dau(spark, ("a", "2024-01-01", "05"), ("b", "2024-01-01", "05")), root, 1)
     batches.write_day_index(dau(spark, ("a", "2024-01-01", "07"), ("b", "2024-01-01", "05")), root, 1)
     index = batches.read_day_index(spark, root, schemas.DAU, key="mid")
     assert rows(index, "dt", "mid", "hr") == [("2024-01-01", "a", "07"), ("2024-01-01", "b", "05"), ("2024-01-02", "a", "01")]
-    one_day = batches.read_day_index(spark, root, schemas.DAU).filter("dt = '2024-01-02'")
+    one_day = batches.read_day_index(spark, root, schemas.DAU, key="mid").filter("dt = '2024-01-02'")
     assert "PartitionFilters: [isnotnull(dt" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
@@ -135,9 +135,27 @@ def test_kafka_options():
     assert kafka_read_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest"}
     named = kafka_read_options("h:1", "t", group_id="g", starting="earliest", min_partitions=8)
     assert named["kafka.group.id"] == "g" and named["startingOffsets"] == "earliest" and named["minPartitions"] == "8"
-    resumed = kafka_read_options("h:1", "t", "g", offsets={1: 5, 0: 3}, max_offsets_per_trigger=10)
-    assert json.loads(resumed["startingOffsets"]) == {"t": {"0": 3, "1": 5}}
+    resumed = kafka_read_options("h:1", "t", "g", offsets={1: 5, 0: 3}, partitions=range(4), max_offsets_per_trigger=10)
+    assert json.loads(resumed["startingOffsets"]) == {"t": {"0": 3, "1": 5, "2": -1, "3": -1}}
+    early = kafka_read_options("h:1", "t", "g", offsets={0: 3}, partitions=[0, 1], starting="earliest")
+    assert json.loads(early["startingOffsets"]) == {"t": {"0": 3, "1": -2}}
     assert resumed["maxOffsetsPerTrigger"] == "10"
     assert kafka_write_options("h:1", "/c") == {
         "kafka.bootstrap.servers": "h:1", "kafka.enable.idempotence": "true", "checkpointLocation": "/c",
     }
+
+
+def test_split_and_change_jobs_take_another_sink(spark):
+    from tillstream.streaming.cdc import start_cdc_canal, start_cdc_maxwell
+    from tillstream.streaming.logs import start_log_split
+    records = spark.createDataFrame([], schemas.TOPIC)
+    for start in (start_cdc_canal, start_cdc_maxwell, start_log_split):
+        messages, *rest = start(records, "h:1", "/c", {"once": True}, start_sink=lambda *a: a)
+        assert rest == ["h:1", "/c", {"once": True}] and {"topic", "key", "value"} <= set(messages.columns)
+
+
+def test_rows_of_over_100_batches_are_counted(spark):
+    path = scratch_dir(spark, "counted")
+    for n in [*range(104), 3]:
+        batches.write_counted(spark.range(n % 3), f"{path}/rows", f"{path}/counts", n)
+    assert batches.written_count(spark, f"{path}/counts").first().n_written == sum(n % 3 for n in range(104))

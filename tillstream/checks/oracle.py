@@ -82,7 +82,7 @@ ORDER_COLUMNS = """id, province_id, order_status, user_id, final_total_amount, b
 
 PROVINCE_JOIN = f"""WITH {ORDERS}
 SELECT b.id, b.province_id, p.name AS province_name, p.area_code AS province_area_code, p.iso_code AS province_iso_code
-FROM batch b LEFT JOIN provinces p ON p.id = CAST(b.province_id AS VARCHAR)"""
+FROM facts b LEFT JOIN provinces p ON p.id = CAST(b.province_id AS VARCHAR)"""
 
 ORDER_WIDE = f"""WITH {ORDERS}, {USERS}
 SELECT f.id, f.province_id, f.order_status, f.user_id, f.final_total_amount, f.benefit_reduce_amount,
@@ -125,7 +125,7 @@ ORACLE: dict[str, str] = {
     "sink_upsert_table": """
         SELECT CAST(c_custkey AS VARCHAR) AS id,
                CASE WHEN c_acctbal > 5000 THEN c_mktsegment || '_2' ELSE c_mktsegment END AS user_level
-        FROM customer WHERE c_acctbal > 5000 OR c_mktsegment <> 'BUILDING'""",
+        FROM customer""",
     "sink_index_bulk": f"""WITH {FIRST_OPENS},
         written AS (SELECT *, row_number() OVER (PARTITION BY dt, mid ORDER BY is_start) AS pick FROM ranked WHERE nth = 1)
         SELECT mid, uid, ar, ch, vc, dt, hr, '00' AS mi, ts FROM written WHERE pick = 1""",
@@ -170,7 +170,7 @@ ORACLE: dict[str, str] = {
     "join_order_province_bcast": PROVINCE_JOIN,
     "join_order_user": f"""WITH {ORDERS}, {USERS}
         SELECT b.id, b.user_id, u.age_group AS user_age_group, u.gender_name AS user_gender
-        FROM batch b LEFT JOIN users u ON u.id = CAST(b.user_id AS VARCHAR)""",
+        FROM facts b LEFT JOIN users u ON u.id = CAST(b.user_id AS VARCHAR)""",
     "join_day_over_day": DAY_OVER_DAY,
     "dau_total": f"WITH {FIRST_OPENS} SELECT count(*) AS total FROM opens WHERE dt = '{DAY}'",
     "dau_by_hour": f"WITH {FIRST_OPENS} SELECT dt, hr, count(*) AS n FROM opens GROUP BY dt, hr",
@@ -179,9 +179,11 @@ ORACLE: dict[str, str] = {
         SELECT 'dau' AS id, '新增日活' AS name, count(*) AS value FROM opens WHERE dt = '{DAY}'
         UNION ALL SELECT 'new_mid', '新增设备', count(*) FROM seen WHERE first_dt = '{DAY}'""",
     "group_orders_by_user": f"""WITH {ORDERS}
-        SELECT user_id, id // 1000 AS part, count(*) AS n_orders,
+        SELECT user_id, 0 AS part, count(*) AS n_orders,
                string_agg(CAST(id AS VARCHAR), ',' ORDER BY create_time, id) AS order_ids
-        FROM batch GROUP BY 1, 2""",
+        FROM facts GROUP BY user_id""",
+    "sink_preview": f"""WITH {ORDERS}
+        SELECT {ORDER_COLUMNS}, create_date, create_hour FROM facts ORDER BY create_time, id LIMIT 1000""",
     "doc_top_n": f"""WITH {DOCS} SELECT id, name, "doubanScore" FROM docs ORDER BY "doubanScore" DESC, id LIMIT 10""",
     "doc_highlight": f"WITH {DOCS} SELECT id, name, {HIGHLIGHT} FROM docs WHERE list_has_any(words, ['red', 'widget'])",
     "doc_search": f"""WITH {DOCS} SELECT id, name, "doubanScore", {HIGHLIGHT} FROM docs
@@ -189,9 +191,9 @@ ORACLE: dict[str, str] = {
         ORDER BY "doubanScore" DESC, id LIMIT 10""",
     "dau_first_open": f"WITH {FIRST_OPENS} SELECT * FROM opens",
     "order_first_flag": f"WITH {ORDERS} SELECT id, user_id, create_time, if_first_order FROM flagged",
-    "order_wide": ORDER_WIDE,
+    "pipeline_order_wide": ORDER_WIDE,
     "start_dau": f"""WITH {FIRST_OPENS}
-        SELECT dt, mid, uid, ar, vc, mi, min(dt) OVER (PARTITION BY mid) AS first_dt FROM opens""",
+        SELECT *, min(dt) OVER (PARTITION BY mid) AS first_dt FROM opens""",
     "start_cdc_canal": CANAL,
     "start_cdc_maxwell": MAXWELL,
     "start_dim_province": f"WITH {ORDERS} SELECT * FROM provinces",

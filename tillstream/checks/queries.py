@@ -66,12 +66,23 @@ def finished(running: StreamingQuery) -> StreamingQuery:
     return running
 
 
+def in_files(records: DataFrame, path: str, order: list[str], n: int = 4) -> None:
+    """The records as a topic of n files, which hold them in order and are written in order."""
+    seconds = F.unix_seconds("timestamp")
+    cuts = records.select(F.percentile_approx(seconds, [k / n for k in range(1, n)]).alias("c")).first()["c"] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = records if low is None else records.filter(seconds >= low)
+        part = part if high is None else part.filter(seconds < high)
+        part.repartition(1).sortWithinPartitions(*order).write.mode("append").parquet(path)
+
+
 def dated_orders(t: Tables) -> DataFrame:
     return ops.derive_create_date_hour(fx.order_facts(fx.order_batch(t.orders)))
 
 
-def flagged_orders(t: Tables) -> DataFrame:
-    return ops.order_first_flag(ops.join_order_user_status(dated_orders(t), fx.user_status(t.orders)))
+def all_orders(t: Tables) -> DataFrame:
+    return ops.derive_create_date_hour(fx.order_facts(t.orders))
 
 
 def users(t: Tables) -> DataFrame:
@@ -82,6 +93,13 @@ def dau(t: Tables) -> DataFrame:
     return daily_active(fx.start_log_records(t.events))
 
 
+def written_dau(t: Tables) -> DataFrame:
+    """The daily-active index as reports read it: written by day, one folder each."""
+    path = scratch_dir(t.spark, "dau_index")
+    batches.write_day_index(dau(t), path, 0)
+    return batches.read_daily_active(t.spark, path, schemas.DAU)
+
+
 # --- sources, sinks, offsets ---
 
 @query
@@ -121,7 +139,7 @@ def sink_upsert_table(t: Tables) -> DataFrame:
     target = KeyedTable(scratch_dir(t.spark, "upsert"), "id STRING, user_level STRING", ("id",))
     segment = F.col("c_mktsegment")
     key = F.col("c_custkey").cast("string").alias("id")
-    target.upsert(t.customer.filter(segment != "BUILDING").select(key, segment.alias("user_level")), 0)
+    target.upsert(t.customer.select(key, segment.alias("user_level")), 0)
     target.snapshot(t.spark, 0)
     changed = t.customer.filter(F.col("c_acctbal") > 5000)
     versions = F.explode(F.array(F.lit(1), F.lit(2))).alias("offset")
@@ -144,12 +162,13 @@ def sink_index_bulk(t: Tables) -> DataFrame:
 @query
 def sink_write_count(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "write_count")
-    rows = batches.counted(fx.app_log_records(t.stream("events")))
-    done = finished(start_topic_files(rows, f"{path}/topics", f"{path}/checkpoint", ONCE))
-    written = sum(
-        p["observedMetrics"]["sink"]["rows"] for p in done.recentProgress if p["observedMetrics"].get("sink")
-    )
-    return t.spark.createDataFrame([(written,)], "n_written BIGINT")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batches.write_counted(batch, f"{path}/rows", f"{path}/counts", batch_id)
+
+    stream = fx.app_log_records(t.stream("events")).writeStream.foreachBatch(write)
+    finished(stream.option("checkpointLocation", f"{path}/checkpoint").trigger(**ONCE).start())
+    return batches.written_count(t.spark, f"{path}/counts")
 
 
 @query
@@ -162,7 +181,7 @@ def sink_log_landing(t: Tables) -> DataFrame:
 
 @query
 def sink_preview(t: Tables) -> DataFrame:
-    return batches.preview(dated_orders(t))
+    return batches.preview_orders(all_orders(t))
 
 
 @query
@@ -278,7 +297,7 @@ def in_list_lookup_of_batch(t: Tables) -> DataFrame:
 
 @query
 def filter_first_orders(t: Tables) -> DataFrame:
-    return ops.filter_first_orders(flagged_orders(t))
+    return ops.status_of_first_orders(dated_orders(t), fx.user_status(t.orders))
 
 
 @query
@@ -304,30 +323,30 @@ PROVINCE_OUT = ["id", "province_id", "province_name", "province_area_code", "pro
 
 @query
 def join_order_province(t: Tables) -> DataFrame:
-    return ops.join_order_province(dated_orders(t), fx.provinces(t.nation)).select(*PROVINCE_OUT)
+    return ops.join_order_province(all_orders(t), fx.provinces(t.nation)).select(*PROVINCE_OUT)
 
 
 @query
 def join_order_province_bcast(t: Tables) -> DataFrame:
-    return ops.join_order_province_bcast(dated_orders(t), fx.provinces(t.nation)).select(*PROVINCE_OUT)
+    return ops.join_order_province_bcast(all_orders(t), fx.provinces(t.nation)).select(*PROVINCE_OUT)
 
 
 @query
 def join_order_user(t: Tables) -> DataFrame:
-    joined = ops.join_order_user(dated_orders(t), users(t))
+    joined = ops.join_order_user(all_orders(t), users(t))
     return joined.select("id", "user_id", "user_age_group", "user_gender")
 
 
 @query
 def join_day_over_day(t: Tables) -> DataFrame:
-    return serving.day_over_day(dau(t), fx.DAY)
+    return serving.day_over_day(written_dau(t), fx.DAY)
 
 
 # --- aggregation, grouping, ordering ---
 
 @query
 def dau_total(t: Tables) -> DataFrame:
-    return serving.dau_total(dau(t), fx.DAY)
+    return serving.dau_total(written_dau(t), fx.DAY)
 
 
 @query
@@ -337,14 +356,16 @@ def dau_by_hour(t: Tables) -> DataFrame:
 
 @query
 def realtime_totals(t: Tables) -> DataFrame:
-    active = dau(t)
-    return serving.realtime_totals(active, serving.first_seen(active), fx.DAY)
+    active = written_dau(t)
+    seen = KeyedTable(scratch_dir(t.spark, "seen"), schemas.FIRST_SEEN, ("mid",))
+    seen.upsert(serving.first_seen(active), 0)
+    return serving.realtime_totals(active, seen.read(t.spark), fx.DAY)
 
 
 @query
 def group_orders_by_user(t: Tables) -> DataFrame:
     ids = F.array_join(F.transform("orders", lambda o: o["id"].cast("string")), ",")
-    grouped = ops.group_orders_by_user(dated_orders(t), columns=["final_total_amount"])
+    grouped = ops.group_orders_by_user(all_orders(t), columns=["final_total_amount"])
     return grouped.select("user_id", "part", "n_orders", ids.alias("order_ids"))
 
 
@@ -373,11 +394,12 @@ def dau_first_open(t: Tables) -> DataFrame:
 
 @query
 def order_first_flag(t: Tables) -> DataFrame:
-    return flagged_orders(t).select("id", "user_id", "create_time", "if_first_order")
+    flagged = ops.flag_first_orders(dated_orders(t), fx.user_status(t.orders))
+    return flagged.select("id", "user_id", "create_time", "if_first_order")
 
 
 @query
-def order_wide(t: Tables) -> DataFrame:
+def pipeline_order_wide(t: Tables) -> DataFrame:
     wide = build_order_wide(dated_orders(t), fx.user_status(t.orders), fx.provinces(t.nation), users(t))
     return wide.select(*schemas.ORDER_WIDE_COLUMNS)
 
@@ -388,13 +410,13 @@ def order_wide(t: Tables) -> DataFrame:
 def start_dau(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "start_dau")
     seen = KeyedTable(f"{path}/seen", schemas.FIRST_SEEN, ("mid",))
-    records = fx.start_log_records(t.stream("events"))
+    in_files(fx.start_log_records(t.events), f"{path}/topic", ["timestamp", "partition", "offset"])
+    records = file_topic(t.spark, f"{path}/topic", max_files_per_trigger=1)
     finished(run_dau(records, f"{path}/index", f"{path}/rejects", f"{path}/checkpoint", trigger=ONCE))
     written = batches.day_index_stream(t.spark, f"{path}/index", schemas.DAU)
     finished(start_first_seen(written, seen, f"{path}/checkpoint_seen", trigger=ONCE))
-    index = batches.read_day_index(t.spark, f"{path}/index", schemas.DAU)
-    # Which of a day's logs arrives first is open; these columns do not depend on it.
-    return index.join(seen.read(t.spark), "mid", "left").select("dt", "mid", "uid", "ar", "vc", "mi", "first_dt")
+    index = batches.read_daily_active(t.spark, f"{path}/index", schemas.DAU)
+    return index.join(seen.read(t.spark), "mid", "left").select(*schemas.DAU_COLUMNS, "first_dt")
 
 
 @named("start_cdc_canal")

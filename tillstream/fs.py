@@ -25,16 +25,17 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def complete_batches(spark: SparkSession, root: str) -> list[int]:
+def complete_batches(spark: SparkSession, root: str, marked: bool = True) -> list[int]:
     """Ids of the `batch_id=<n>` folders under root whose write job committed, ascending.
 
-    Batches are written one after the other, so only the newest can be unfinished.
+    Batches are written one after the other, so only the newest can be unfinished. Folders of a partitioned table bear
+    no mark of their own and appear when their job commits: `marked=False`.
     """
     fs, p = _open(spark, root)
     if not fs.exists(p):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(p)]
     found = sorted(int(name.partition("=")[2]) for name in names if name.startswith("batch_id="))
-    if found and not exists(spark, f"{root}/batch_id={found[-1]}/_SUCCESS"):
+    if marked and found and not exists(spark, f"{root}/batch_id={found[-1]}/_SUCCESS"):
         found.pop()
     return found

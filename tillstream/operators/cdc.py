@@ -19,7 +19,10 @@ DIM_TABLES = ["base_province", "user_info", "sku_info", "base_trademark", "base_
 def _envelope(records: DataFrame, data_type: str) -> DataFrame:
     """Adds `_e`, a struct of type, table and data; null for what is no JSON object."""
     shape = f"struct<type: string, table: string, data: {data_type}>"
-    return parse_once(records, F.try_variant_get(F.try_parse_json("value"), "$", shape), "_e")
+    # In an array, as a parser of one object does not look at what follows it.
+    listed = parse_once(records, F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))), "_v")
+    single = F.col("value").rlike(r"^\s*\{[\s\S]*\}\s*$") & F.try_variant_get("_v", "$[1]", "variant").isNull()
+    return parse_once(listed, F.when(single, F.try_variant_get("_v", "$[0]", shape)), "_e").drop("_v")
 
 
 def _to_topic(df: DataFrame, bad) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.text import any_token_pattern
-from tillstream.operators.records import CARRIED, parse_once
+from tillstream.operators.records import CARRIED, one_object, parse_once
 
 _DOCUMENT_JSON = (
     "id STRING, name STRING, doubanScore STRING, actorList ARRAY<STRUCT<id: STRING, name: STRING>>, _corrupt_record STRING"
@@ -17,7 +17,7 @@ def parse_documents(records: DataFrame) -> DataFrame:
     def actor(a):
         return F.struct(a["id"].try_cast("bigint").alias("id"), a["name"].alias("name"))
 
-    parsed = parse_once(records.select(*CARRIED), F.from_json("value", _DOCUMENT_JSON), "_j")
+    parsed = parse_once(records.select(*CARRIED), one_object(F.col("value"), _DOCUMENT_JSON), "_j")
     bad = F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull()
     return parsed.select(
         *CARRIED,

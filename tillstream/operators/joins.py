@@ -1,4 +1,4 @@
-"""Left joins of a fact to a table with one row per key, safe for hot keys and large tables."""
+"""Lookups of a fact's keys in tables with one row per key."""
 
 from __future__ import annotations
 
@@ -6,62 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 # A dimension of up to this many rows is broadcast; its rows are a handful of short fields.
 MAX_BROADCAST_ROWS = 100_000
-# A key with more fact rows than this is spread over several join partitions ...
-HOT_ROWS = 2_000_000
-# ... if it is among this many heaviest keys; any key after those has under 1/MAX_HOT of the rows.
-MAX_HOT = 1_000
 
 
-def key_counts(fact: DataFrame, key: str) -> DataFrame:
-    """Rows per key, combined map-side."""
-    return fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def checked_left_join(fact: DataFrame, dim: DataFrame, key: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast `dim` when a count shows it small enough, else shuffle both sides by key.
 
-
-def salted_left_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: list[str],
-    counts: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
-) -> DataFrame:
-    """`fact` left join `dim` on `key`, with hot keys split by salt.
-
-    A hot key's fact rows are dealt over ceil(n / hot_rows) salts by the hash of `spread_by`
-    and its one dimension row is repeated per salt; other keys keep salt 0. The list of hot keys,
-    at most `max_hot` rows, is all that is broadcast. Null keys match nothing and are spread too.
+    In a shuffled left join adaptive execution splits the fact side of every skewed partition, for any number of hot
+    keys (tested), so keys are not salted.
     """
-    counts = key_counts(fact, key) if counts is None else counts
-    hot = F.broadcast(
-        counts.filter(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"), key)
-        .limit(max_hot)
-        .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts"))
-    )
-    bucket = F.abs(F.xxhash64(*spread_by) % F.lit(2**31 - 1)).cast("int")
-    dealt = fact.join(hot, key, "left").withColumn(
-        "_salt",
-        F.when(F.col(key).isNull(), -1 - bucket).otherwise(bucket % F.coalesce("_salts", F.lit(1))),
-    )
-    repeated = dim.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    )
-    joined = dealt.drop("_salts").join(repeated.drop("_salts"), [key, "_salt"], "left")
-    return joined.drop("_salt")
-
-
-def checked_left_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: list[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Broadcast `dim` when a count shows it small enough, else join with hot keys salted."""
-    if dim.count() <= max_broadcast_rows:
-        return fact.join(F.broadcast(dim), key, "left")
-    return salted_left_join(fact, dim, key, spread_by)
+    return fact.join(F.broadcast(dim) if dim.count() <= max_broadcast_rows else dim, key, "left")
 
 
 def in_list_lookup(store: DataFrame, batch: DataFrame, store_key: str, batch_key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.times import day_of_millis, hour_of_millis, valid_millis
 from tillstream.operators.keyed import first_per_key
-from tillstream.operators.records import REJECTS_TOPIC, parse_once
+from tillstream.operators.records import REJECTS_TOPIC, one_object, parse_once
 from tillstream.schemas import APP_LOG_JSON
 
 START_TOPIC = "log_start"
@@ -17,7 +17,7 @@ RECORD = ["topic", "partition", "offset", "timestamp", "value"]
 
 def parse_app_log(records: DataFrame) -> DataFrame:
     """Topic records -> `ts`, the `common` fields, `start` (JSON text, null if absent) and `reason`."""
-    parsed = parse_once(records.select(*RECORD), F.from_json("value", APP_LOG_JSON), "_j")
+    parsed = parse_once(records.select(*RECORD), one_object(F.col("value"), APP_LOG_JSON), "_j")
     fields = parsed.select(
         *RECORD,
         F.col("_j.ts").try_cast("bigint").alias("ts"),
@@ -45,7 +45,7 @@ def dau_record(logs: DataFrame) -> DataFrame:
 
 def route_app_log(records: DataFrame) -> DataFrame:
     """Same messages with `topic` set: start logs, event logs, or rejects for what is no JSON object."""
-    start = F.from_json("value", "start STRING, _corrupt_record STRING")
+    start = one_object(F.col("value"), "start STRING, _corrupt_record STRING")
     topic = (
         F.when(F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull(), REJECTS_TOPIC)
         .when(F.col("_j.start").isNotNull(), START_TOPIC)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillstream.functions.times import date_part, hour_part
-from tillstream.operators.joins import MAX_BROADCAST_ROWS, checked_left_join, in_list_lookup, salted_left_join
+from tillstream.operators.joins import MAX_BROADCAST_ROWS, checked_left_join, in_list_lookup
 from tillstream.operators.records import parse_typed
 from tillstream.schemas import ORDER_FIELDS
 
@@ -50,25 +50,58 @@ def user_columns(orders: DataFrame, users: DataFrame) -> DataFrame:
 
 def join_order_user_status(orders: DataFrame, status: DataFrame) -> DataFrame:
     """`if_first_order`: `0` for users the status table knows, `1` for others."""
-    joined = salted_left_join(orders, known_users(orders, status), "user_id", ["id"])
+    joined = orders.join(known_users(orders, status), "user_id", "left")
     flag = F.when(F.col("_known"), NOT_FIRST).otherwise(FIRST)
     return joined.withColumn("if_first_order", flag).drop("_known")
 
 
-def group_orders_by_user(
-    orders: DataFrame, span: int = 1_000, numbered_by: str = "id", columns: Sequence[str] | None = None
-) -> DataFrame:
-    """Orders of each user by time, in parts of bounded size.
+def group_orders_by_user(orders: DataFrame, span: int = 1_000, columns: Sequence[str] | None = None) -> DataFrame:
+    """`user_id, n_orders, part, orders`: each user's orders by `(create_time, id)` and how many the user has.
 
-    A part holds a user's orders of `span` consecutive numbers of a unique column, so no row
-    and no group ever holds more than `span` orders, and a hot user's parts spread over the
-    partitions. Where orders may be repeated, number them by topic offset.
+    A row holds at most `span` orders; a user with more has more parts, numbered from 0 by time. Orders are numbered
+    from counts per user and day, which combine map-side, and ranks within a day, so no task sees all orders of a
+    hot user. Orders without a date come first.
     """
-    part = F.call_function("div", F.col(numbered_by), F.lit(span))
-    kept = columns or [c for c in orders.columns if c not in ("user_id", "create_time", "id")]
+    kept = columns or [c for c in orders.columns if c not in ("user_id", "create_date", "create_time", "id")]
+    days = orders.groupBy("user_id", "create_date").agg(F.count(F.lit(1)).alias("_n"))
+    user = Window.partitionBy("user_id")
+    before = F.sum("_n").over(user.orderBy("create_date").rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select(
+        F.struct("user_id", "create_date").alias("_day"), F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(user).alias("n_orders")
+    )
+    nth = F.row_number().over(Window.partitionBy("user_id", "create_date").orderBy("create_time", "id"))
+    ranked = orders.withColumns({"_nth": nth, "_day": F.struct("user_id", "create_date")}).join(days, "_day")
+    part = F.call_function("div", F.col("_before") + F.col("_nth") - 1, F.lit(span))
     order = F.struct("create_time", "id", *kept)
-    return orders.groupBy("user_id", part.alias("part")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sort_array(F.collect_list(order)).alias("orders")
+    return ranked.groupBy("user_id", "n_orders", part.alias("part")).agg(F.sort_array(F.collect_list(order)).alias("orders"))
+
+
+def first_orders(orders: DataFrame, status: DataFrame, tie_break: tuple[str, ...] = ("id",)) -> DataFrame:
+    """The earliest order of each user the status table does not know: `user_id, create_time, *tie_break`.
+
+    One minimum per user, combined map-side, then an anti-join of one row per user.
+    """
+    firsts = orders.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        F.min(F.struct("create_time", *tie_break)).alias("_first")
+    )
+    keyed = firsts.withColumn("_key", F.col("user_id").cast("string"))
+    unknown = keyed.join(status.select(F.col("user_id").alias("_key")), "_key", "left_anti")
+    return unknown.select("user_id", "_first.*")
+
+
+def flag_first_orders(orders: DataFrame, status: DataFrame, tie_break: tuple[str, ...] = ("id",)) -> DataFrame:
+    """`if_first_order` in one go: `join_order_user_status` and `order_first_flag`, with the orders read twice only."""
+    row_key = ["create_time", *tie_break]
+    firsts = first_orders(orders, status, tie_break).withColumn("_is_first", F.lit(True))
+    joined = orders.join(firsts, ["user_id", *row_key], "left")
+    flag = F.when(F.col("_is_first"), FIRST).otherwise(NOT_FIRST)
+    return joined.select(*orders.columns, flag.alias("if_first_order"))
+
+
+def status_of_first_orders(orders: DataFrame, status: DataFrame, tie_break: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Status rows of the users whose first order is here, without going back to the orders."""
+    return first_orders(orders, status, tie_break).select(
+        F.col("user_id").cast("string").alias("user_id"), F.lit("1").alias("if_consumed"), F.col("id").alias("first_order_id")
     )
 
 
@@ -116,12 +149,12 @@ def join_order_province_bcast(
     """The same with provinces broadcast once, after a count proves them few."""
     keyed = orders.withColumn("_province", F.col("province_id").cast("string"))
     dim = _province_columns(provinces)
-    return checked_left_join(keyed, dim, "_province", ["id"], max_broadcast_rows).drop("_province")
+    return checked_left_join(keyed, dim, "_province", max_broadcast_rows).drop("_province")
 
 
 def join_order_user(orders: DataFrame, users: DataFrame) -> DataFrame:
     """Left join to users: age group and gender name."""
-    return salted_left_join(orders, user_columns(orders, users), "user_id", ["id"])
+    return orders.join(user_columns(orders, users), "user_id", "left")
 
 
 def filter_first_orders(orders: DataFrame) -> DataFrame:

@@ -19,6 +19,15 @@ def parse_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(parsed)).alias(name))
 
 
+def one_object(value: Column, schema: str) -> Column:
+    """The text as one JSON object; null if it is none or if anything but white space follows it.
+
+    Spark's reader stops after the first object of a text. In an array it has to read on to the end.
+    """
+    several = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"ARRAY<STRUCT<{schema}>>")
+    return F.when((F.size(several) == 1) & value.rlike(r"^\s*\{[\s\S]*\}\s*$"), several[0])
+
+
 def parse_typed(
     records: DataFrame, fields: Mapping[str, str], required: Sequence[str], keep: Sequence[str] = CARRIED
 ) -> DataFrame:
@@ -28,7 +37,7 @@ def parse_typed(
     for a good row, else `bad_json` or `missing:<field>`.
     """
     schema = ", ".join(f"{name} STRING" for name in fields) + ", _corrupt_record STRING"
-    parsed = parse_once(records.select(*keep), F.from_json("value", schema), "_j")
+    parsed = parse_once(records.select(*keep), one_object(F.col("value"), schema), "_j")
     typed = parsed.select(
         *[F.col(c) for c in keep if c not in fields],
         *[F.col(f"_j.{name}").try_cast(kind).alias(name) for name, kind in fields.items()],

@@ -5,10 +5,10 @@ A repeated batch replaces what it wrote before.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tillstream import fs
-from tillstream.operators.keyed import latest_per_key
+from tillstream.operators.keyed import first_per_key, latest_per_key
 
 
 def _with_batch_id(schema: str) -> str:
@@ -58,20 +58,48 @@ def write_day_index(docs: DataFrame, root: str, batch_id: int, day: str = "dt")
 
 
 def read_day_index(
-    spark: SparkSession, root: str, schema: str, key: str | None = None, day: str = "dt"
+    spark: SparkSession, root: str, schema: str, key: str, day: str = "dt", first: bool = False
 ) -> DataFrame:
-    """The index with the given columns; empty while nothing was written. Filter on the day to prune.
+    """The index with the given columns, a document for each day and key; empty while nothing was written.
 
-    With `key`, of documents written repeatedly for a day the last batch's is taken; without, the
-    writer is trusted to write each once.
+    Of documents written repeatedly the last batch's is taken, or the first's. Filter on the day to prune: the filter
+    passes below the choice, which is made within a day.
     """
     if not fs.exists(spark, root):
         return spark.createDataFrame([], schema)
     columns = spark.createDataFrame([], schema).columns
     docs = spark.read.schema(_with_batch_id(schema)).parquet(root)
-    if key:
-        docs = latest_per_key(docs, [day, key], ["batch_id"])
-    return docs.select(*columns)
+    chosen = first_per_key(docs, [day, key], ["batch_id"]) if first else latest_per_key(docs, [day, key], ["batch_id"])
+    return chosen.select(*columns)
+
+
+def read_daily_active(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The daily-active index: each day's devices once, as first written."""
+    return read_day_index(spark, root, schema, key="mid", first=True)
+
+
+def compact_day(
+    spark: SparkSession, root: str, schema: str, date: str, key: str | None, day: str = "dt", first: bool = False
+) -> None:
+    """Fold a closed day into its oldest batch's folder, so that a day does not keep a folder per batch. Without `key`
+    all rows stay.
+
+    The folded rows are written beside and read back before anything goes; a repeat after a failure folds the same rows
+    again. Run it when the day gets no more batches: a batch that is repeated meanwhile could write its folder anew.
+    """
+    folder = f"{root}/{day}={date}"
+    batches = fs.complete_batches(spark, folder, marked=False)
+    if len(batches) < 2:
+        return
+    rows = read_day_index(spark, root, schema, key, day, first) if key else read_batches(spark, root, schema)
+    rows = rows.filter(F.col(day) == date)
+    beside = f"{root}/_compacting/{day}={date}"
+    rows.drop(day).coalesce(1).write.mode("overwrite").parquet(beside)
+    folded = spark.read.schema(spark.createDataFrame([], schema).drop(day).schema).parquet(beside)
+    folded.write.mode("overwrite").parquet(f"{folder}/batch_id={batches[0]}")
+    for batch in batches[1:]:
+        fs.delete_dir(spark, f"{folder}/batch_id={batch}")
+    fs.delete_dir(spark, beside)
 
 
 def day_index_stream(spark: SparkSession, root: str, schema: str) -> DataFrame:
@@ -85,6 +113,24 @@ def preview(rows: DataFrame, n: int = 1000) -> DataFrame:
     return rows.limit(n)
 
 
+def preview_orders(orders: DataFrame, n: int = 1000) -> DataFrame:
+    """The earliest orders of a batch, by time and id; every task keeps only `n`."""
+    return preview(orders.orderBy("create_time", "id"), n)
+
+
+def write_counted(rows: DataFrame, root: str, counts_root: str, batch_id: int) -> None:
+    """Write a batch, and how many rows it wrote as a row of its own, counted on the way and not read again."""
+    seen = Observation()
+    write_batch(rows.observe(seen, F.count(F.lit(1)).alias("n_written")), root, batch_id)
+    count = rows.sparkSession.createDataFrame([(seen.get["n_written"],)], "n_written BIGINT")
+    write_batch(count, counts_root, batch_id)
+
+
+def written_count(spark: SparkSession, counts_root: str) -> DataFrame:
+    """One row: rows written by all batches, however many; a repeated batch counts once."""
+    return read_batches(spark, counts_root, "n_written BIGINT").agg(F.coalesce(F.sum("n_written"), F.lit(0)).alias("n_written"))
+
+
 def counted(stream: DataFrame, name: str = "sink", only: Column | None = None) -> DataFrame:
     """The same stream, the number of rows on their way to the sink reported as metric `name.rows`.
 

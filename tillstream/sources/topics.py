@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,7 @@ def kafka_read_options(
     topic: str,
     group_id: str | None = None,
     offsets: Mapping[int, int] | None = None,
+    partitions: Iterable[int] = (),
     starting: str = "latest",
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
@@ -23,7 +24,9 @@ def kafka_read_options(
     """Reader options: default group, named group, or named group from given offsets.
 
     `offsets` maps partition to the next offset to read; without it reading starts at
-    `starting` (`latest` or `earliest`). A stream with a checkpoint goes on from there anyway.
+    `starting` (`latest` or `earliest`). The broker source wants a start for every partition, so give the topic's
+    `partitions`: those without a saved offset, new ones for instance, start at `starting`. A stream with a checkpoint
+    goes on from there anyway.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -31,7 +34,8 @@ def kafka_read_options(
         "startingOffsets": starting,
     }
     if offsets:
-        options["startingOffsets"] = json.dumps({topic: {str(p): o for p, o in sorted(offsets.items())}})
+        starts = {p: {"earliest": -2, "latest": -1}[starting] for p in partitions} | dict(offsets)
+        options["startingOffsets"] = json.dumps({topic: {str(p): o for p, o in sorted(starts.items())}})
     if group_id:
         options["kafka.group.id"] = group_id
     if max_offsets_per_trigger:

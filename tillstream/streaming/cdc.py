@@ -6,12 +6,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream.operators.cdc import canal_route, maxwell_route
 from tillstream.sinks.topics import start_topic_files
 
+# `start_sink` is what writes the messages: files under `target`, or `start_kafka_topics` with servers as `target`.
 
-def start_cdc_canal(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return start_topic_files(canal_route(records), path, checkpoint, trigger)
+
+def start_cdc_canal(
+    records: DataFrame, target: str, checkpoint: str, trigger: dict | None = None, start_sink=start_topic_files
+) -> StreamingQuery:
+    return start_sink(canal_route(records), target, checkpoint, trigger)
 
 
 def start_cdc_maxwell(
-    records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, drop_deletes: bool = False
+    records: DataFrame, target: str, checkpoint: str, trigger: dict | None = None, drop_deletes: bool = False,
+    start_sink=start_topic_files,
 ) -> StreamingQuery:
-    return start_topic_files(maxwell_route(records, drop_deletes), path, checkpoint, trigger)
+    return start_sink(maxwell_route(records, drop_deletes), target, checkpoint, trigger)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.logs import dau_record, derive_dt_hr, parse_app_log
-from tillstream.operators.records import REJECTS_TOPIC, rejected, text_of_rejects_only
+from tillstream.operators.records import rejected, text_of_rejects_only
 from tillstream.operators.serving import first_seen
 from tillstream.sinks.batches import counted, write_day_index, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
@@ -31,24 +31,23 @@ def collapse_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def first_opens(start_records: DataFrame, keep_for: str = "1 day") -> DataFrame:
-    """Streaming form of the daily-active table: first arrival per day and device, plus rejects.
+    """Streaming form of the daily-active table: first arrival per day and device, plus every reject.
 
-    The state of a device lives `keep_for` beyond the newest arrival time seen. Arrival time
-    (the topic's own) rather than device time drives it, so a device with a wrong clock neither
-    expires the state of others nor makes their logs late. Rejects pass under a key of their own.
+    The state of a device lives `keep_for` after its batch was processed. The clock of the processing drives it, and a
+    repeated batch keeps its time, so no row can be late: neither a lagging partition nor a replay of old messages nor
+    a device with a wrong clock loses rows. A device that comes back for the same day after its state has gone is
+    written again; readers of the index take the first of both. Rejects do not pass the de-duplication.
     """
-    parsed = text_of_rejects_only(parse_app_log(start_records))
+    parsed = text_of_rejects_only(parse_app_log(start_records)).drop("start")
     logs = derive_dt_hr(parsed.withColumn("ts", F.when(F.col("reason").isNull(), F.col("ts"))))
-    good = F.col("reason").isNull()
-    keyed = logs.withColumns({
-        "_day": F.when(good, F.col("dt")).otherwise(REJECTS_TOPIC),
-        "_device": F.when(good, F.col("mid")).otherwise(F.concat_ws("/", "topic", "partition", "offset")),
-    }).drop("start")
-    return (
-        collapse_repeats(keyed, ["_day", "_device"])
-        .withWatermark("timestamp", keep_for)
-        .dropDuplicatesWithinWatermark(["_day", "_device"])
+    seen_at = logs.withColumn("_seen_at", F.current_timestamp())
+    good = seen_at.filter(F.col("reason").isNull())
+    opens = (
+        collapse_repeats(good, ["dt", "mid"])
+        .withWatermark("_seen_at", keep_for)
+        .dropDuplicatesWithinWatermark(["dt", "mid"])
     )
+    return opens.unionByName(seen_at.filter(F.col("reason").isNotNull())).drop("_seen_at")
 
 
 def new_devices(opens: DataFrame, seen: DataFrame) -> DataFrame:
@@ -91,8 +90,8 @@ def start_first_seen(
 ) -> StreamingQuery:
     """Maintain the first-seen table from a stream of daily-active records, repeats allowed.
 
-    It may follow the index or the start topic itself, which needs no listing of files. Every batch looks its devices up in the whole table, so batches are larger and rarer than
-    those of the index.
+    It may follow the index or the start topic itself, which needs no listing of files. Every batch looks its devices
+    up in the whole table, so batches are larger and rarer than those of the index.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

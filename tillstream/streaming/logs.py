@@ -20,6 +20,9 @@ def start_log_landing(records: DataFrame, path: str, checkpoint: str, trigger: d
     )
 
 
-def start_log_split(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Split app logs to the start, event and rejects topics."""
-    return start_topic_files(route_app_log(records), path, checkpoint, trigger)
+def start_log_split(
+    records: DataFrame, target: str, checkpoint: str, trigger: dict | None = None, start_sink=start_topic_files
+) -> StreamingQuery:
+    """Split app logs to the start, event and rejects topics: files under `target`, or, with `start_kafka_topics` as
+    `start_sink`, the broker whose servers `target` names."""
+    return start_sink(route_app_log(records), target, checkpoint, trigger)
