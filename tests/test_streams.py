@@ -131,20 +131,6 @@ def test_a_closed_day_is_compacted(spark, path, rows):
     assert "PartitionFilters: [isnotnull(dt" in plan._jdf.queryExecution().toString()
 
 
-def test_wide_orders_prune_by_date_and_fold(spark, t, path, records, rows):
-    status = KeyedTable(f"{path}/status", schemas.USER_STATUS, ("user_id",))
-    for n in range(3):
-        texts = [json.dumps({"id": 10 * n + d, "user_id": d, "create_time": f"2024-01-0{d} 00:00:00"}) for d in (1, 2)]
-        append(records(*texts), path)
-    before = rows(wide(spark, t, path, status), "id", "create_date", "if_first_order")
-    for _ in range(2):
-        batches.compact_day(spark, f"{path}/wide", schemas.ORDER_WIDE, "2024-01-01", None, day="create_date")
-    left = batches.read_batches(spark, f"{path}/wide", schemas.ORDER_WIDE)
-    assert rows(left, "id", "create_date", "if_first_order") == before and len(before) == 6
-    assert len(list(Path(f"{path}/wide/create_date=2024-01-01").rglob("*.parquet"))) == 1
-    assert "PartitionFilters: [isnotnull(create_date" in left.filter("create_date = '2024-01-02'")._jdf.queryExecution().toString()
-
-
 def test_a_wrong_device_clock_harms_no_other_device(spark, path, records, rows):
     future = 4_070_908_800_000
     append(records(log("a", 1000), log("odd", future)), path)

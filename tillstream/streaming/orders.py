@@ -9,7 +9,7 @@ from tillstream.operators.orders import parse_orders, status_of_first_orders
 from tillstream.operators.records import accepted, rejected, text_of_rejects_only
 from tillstream.plans.order_wide import order_wide
 from tillstream.schemas import ORDER_WIDE_COLUMNS
-from tillstream.sinks.batches import counted, preview_orders, write_day_index, write_rejects
+from tillstream.sinks.batches import counted, preview_orders, write_batch, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -32,7 +32,8 @@ def start_order_wide(
     """Maintain the wide order table and the user status table.
 
     Dimensions are opened anew for every batch. A batch sees only the status of earlier batches,
-    so running it again gives the same flags. Wide orders lie in folders by their date, which `compact_day` folds. `show_rows` prints the earliest that many rows of every batch.
+    so running it again gives the same flags. A batch spans few days
+    as a rule, so the statistics in its files prune by date; a folder per day would make a replay write thousands. `show_rows` prints the earliest that many rows of every batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -42,7 +43,7 @@ def start_order_wide(
         try:
             orders, known = accepted(parsed), status.read(spark, before=batch_id)
             wide = order_wide(orders, known, provinces(spark), users(spark), tie_break=ROW_KEY).select(*ORDER_WIDE_COLUMNS)
-            write_day_index(wide, wide_path, batch_id, day="create_date")
+            write_batch(wide, wide_path, batch_id)
             status.upsert(status_of_first_orders(orders, known, ROW_KEY), batch_id)
             if show_rows:
                 preview_orders(wide, show_rows).show(show_rows, truncate=False)
