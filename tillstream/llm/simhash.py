@@ -18,20 +18,27 @@ RADIUS = 3
 PAIRWISE = 256
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """64 bits, each the majority of that bit over the XXH64 of all shingles, as a signed integer.
-
-    Fewer words than `shingle`: the whole sequence is the one shingle. No words, or null: 0. A tie is 0.
-    """
+def shingle_hashes(text: str | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of each run of `shingle` words, lower-cased, in order and with repeats; of all words if they are fewer."""
     words = words_of(text, lower=True)
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     size = min(shingle, len(words))
     starts = np.concatenate(([0], ends[: len(words) - size] + 1)).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[size - 1:].tolist())], np.uint64)
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[size - 1:].tolist())], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    """64 bits, each the majority of that bit over the XXH64 of all shingles, as a signed integer.
+
+    Fewer words than `shingle`: the whole sequence is the one shingle. No words, or null: 0. A tie is 0.
+    """
+    hashes = shingle_hashes(text, shingle, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 15):
         part = hashes[k:k + (1 << 15)].view(np.uint8).reshape(-1, 8)
