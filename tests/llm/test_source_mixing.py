@@ -52,3 +52,40 @@ def test_targets_and_odd_rows(spark):
     assert sm.mixed(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         sm.mixed(docs, {"source": {"gone": 1}})
+
+
+def _rare(spark):
+    rows = [(i, "word " * (1 + i % 7), "abc"[i % 3], ["en", "fr"][i % 5 == 0], "x") for i in range(10_000)]
+    rows += [(20_000 + i, "word " * 4, "rare", "en", "x") for i in range(3)] + [(30_000 + i, "word " * 4, "a", "xx", "x") for i in range(3)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, topic string")
+
+
+def test_rare_categories_do_not_set_the_yield(spark):
+    docs = _rare(spark)
+    for keep in (None, 0.7):
+        out = sm.mixed(docs, topic_col="topic", keep=keep).toPandas()
+        expected = out["_tokens"] * out["_probability"]
+        assert abs(expected.sum() / out["_tokens"].sum() - (keep or sm.LEAST_KEPT)) < 1e-9
+        assert out["_probability"].between(0, 1).all() and (out.loc[out["source"] == "rare", "_probability"] == 1).all()
+        assert abs(out.loc[out["_kept"], "_tokens"].sum() / out["_tokens"].sum() - (keep or sm.LEAST_KEPT)) < 0.03
+        for d in ("source", "lang"):
+            target = out.groupby(d)["_tokens"].sum() ** sm.FLATTEN
+            off = expected.groupby(out[d]).sum() / expected.sum() - target / target.sum()
+            assert np.allclose(out.groupby(d)[f"_off_{d}"].first(), off, atol=1e-9)
+        assert out.loc[out["source"] == "rare", "_off_source"].iloc[0] < -1e-3
+
+
+def test_clipped_cells_leave_the_others_on_target():
+    codes = np.array([[s, l] for s in range(4) for l in range(3)]).T
+    tokens = np.array([9e5, 4e5, 3e5, 5e5, 6e5, 2e5, 8e5, 1e5, 7e5, 30, 20, 10])
+    targets = [np.bincount(c, tokens) ** sm.FLATTEN for c in codes]
+    weights = sm.rake(tokens, codes, targets)
+    assert (tokens * weights).sum() / weights.max() / tokens.sum() < 0.1
+    _, p = sm.probabilities(tokens, codes, targets, weights, 0.5)
+    assert abs((tokens * p).sum() / tokens.sum() - 0.5) < 1e-9 and p.max() == 1 and np.allclose(p[-3:], 1, atol=1e-3)
+    got = np.bincount(codes[0], tokens * p)[:3]
+    assert np.allclose(got / got.sum(), targets[0][:3] / targets[0][:3].sum(), atol=1e-4)
+    got = np.bincount(codes[1], tokens * p)
+    assert np.allclose(got / got.sum(), targets[1] / targets[1].sum(), atol=1e-4)
+    _, exact = sm.probabilities(tokens, codes, targets, weights, 0.01)
+    assert abs((tokens * exact).sum() / tokens.sum() - 0.01) < 1e-9 and np.allclose(exact / weights, exact[0] / weights[0])

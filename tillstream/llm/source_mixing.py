@@ -17,6 +17,8 @@ TOPICS = 8
 # A target share is proportional to the tokens to this power: between 1 (as they are) and 0 (all equal).
 FLATTEN = 0.7
 SEED = 10
+# Without an explicit share, no less of all tokens is kept, however rare a category is.
+LEAST_KEPT = 0.4
 _NULL = "\x00"
 
 
@@ -62,16 +64,66 @@ def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], sweep
     return weights
 
 
+def _filled(room: np.ndarray, target: np.ndarray, total: float) -> np.ndarray:
+    """`total` by the shares of `target`, none over its room; what a full one leaves goes to the others."""
+    scale = _scale(target, room, total)
+    return np.minimum(room, scale * target)
+
+
+def _scale(weights: np.ndarray, room: np.ndarray, total: float) -> float:
+    """The factor of the weights with which `min(room, factor * weights)` sums to `total`, or to all the room they have."""
+    some = weights > 0
+    full = np.divide(room, weights, out=np.zeros(len(room)), where=some)
+    order = np.argsort(full[some])
+    w, r = weights[some][order], room[some][order]
+    before = np.concatenate(([0.0], np.cumsum(r)[:-1]))
+    factor = (total - before) / np.cumsum(w[::-1])[::-1]
+    fits = np.flatnonzero(factor <= full[some][order])
+    return float(factor[fits[0]] if len(fits) else full.max(initial=0.0))
+
+
+def probabilities(
+    tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], weights: np.ndarray, keep: float | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and probabilities of the cells, which keep the share `keep` of all tokens in expectation.
+
+    `weights` are the raked ones. As long as none is over 1 at that share, they are only scaled. Else probabilities are
+    the weights clipped at 1, and the weights are raked again with clipped cells counted as clipped, to the targets as
+    far as a category's tokens suffice. No `keep`: what the raked weights keep with the largest at 1, or LEAST_KEPT.
+    """
+    total = tokens.sum()
+    exact = (tokens * weights).sum() / weights.max() / total
+    if keep is None:
+        keep = max(exact, LEAST_KEPT)
+    if keep <= exact:
+        return weights, weights / weights.max() * (keep / exact)
+    goal = min(keep * total, tokens[weights > 0].sum())
+    wanted = [_filled(np.bincount(c, tokens * (weights > 0), len(t)), t, goal) for c, t in zip(codes, targets)]
+    raked = weights * _scale(weights * tokens, tokens, goal)
+    for _ in range(500):
+        off = 0.0
+        for code, want in zip(codes, wanted):
+            have = np.bincount(code, tokens * np.minimum(raked, 1), len(want))
+            off = max(off, np.abs(have - want).max() / goal)
+            raked = raked * np.divide(want, have, out=np.ones(len(want)), where=have > 0)[code]
+        if off < 1e-12:
+            break
+    raked = raked * _scale(raked * tokens, tokens, goal)
+    return raked, np.minimum(raked, 1)
+
+
 def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, flatten: float = FLATTEN, topic_col: str | None = None,
-    seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
+    seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", keep: float | None = None,
 ) -> DataFrame:
-    """The documents with `_topic, _tokens, _weight, _probability, _kept` added.
+    """The documents with `_topic, _tokens, _weight, _probability, _kept, _off_source, _off_lang, _off_topic` added.
 
     Tokens are words between ASCII white space. Their counts by (source, language, topic) are raked to the target
     shares: of `targets` for the dimensions it names (values it leaves out get nothing), else proportional to tokens to
-    the power `flatten`. A cell's probability is its weight over the largest weight of a cell with a positive one, so
-    none is over 1 and the expected shares are exactly those raked. A document is kept if a number in [0, 1) made from
+    the power `flatten`. Probabilities are in proportion to the weights and keep the share `keep` of all tokens: as much
+    as meets the targets exactly if it is not given, but LEAST_KEPT at least. Where that takes cells at more than 1, they
+    are clipped and the others raked again, see `probabilities`; `_off_<dimension>` is then how far the expected share of
+    a row's category is from its target (0 where it is met; null in cells without tokens). A document is kept if a number in [0, 1) made from
     its id and text is under its probability: the same in every run and on every executor. Null categories are a
     category; texts without words have the probability of their cell, or 1 if their cell has no tokens.
 
@@ -98,16 +150,24 @@ def mixed(
         codes.append(code)
         shares.append(share)
     weights = rake(cells["n"].to_numpy(float), np.array(codes), shares) if len(cells) else np.zeros(0)
-    cells["_weight"] = weights
-    cells["_probability"] = weights / weights.max() if len(cells) else weights
-    schema = "_source string, _lang string, _topic string, _weight double, _probability double"
-    table = docs.sparkSession.createDataFrame(cells[[*named, "_weight", "_probability"]].to_dict("records"), schema)
+    chances = weights
+    if len(cells):
+        tokens = cells["n"].to_numpy(float)
+        weights, chances = probabilities(tokens, np.array(codes), shares, weights, keep)
+    cells["_weight"], cells["_probability"] = weights, chances
+    for d, code, share in zip(DIMENSIONS, codes, shares):
+        have = np.bincount(code, cells["n"].to_numpy(float) * chances, len(share))
+        cells[f"_off_{d}"] = (have / have.sum() - share / share.sum())[code] if len(cells) else weights
+    offs = [f"_off_{d}" for d in DIMENSIONS]
+    schema = "_source string, _lang string, _topic string, " + ", ".join(f"{c} double" for c in ["_weight", "_probability", *offs])
+    table = docs.sparkSession.createDataFrame(cells[[*named, "_weight", "_probability", *offs]].to_dict("records"), schema)
     found = join_checked(keyed, table, named, "left", rows=len(cells))
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 11) / F.lit(float(1 << 53))
     probability = F.coalesce("_probability", F.lit(1.0))
     return found.select(
         *docs.columns, F.nullif("_topic", F.lit(_NULL)).alias("_topic"), "_tokens",
         F.coalesce("_weight", F.lit(1.0)).alias("_weight"), probability.alias("_probability"), (chance < probability).alias("_kept"),
+        *offs,
     )
 
 
