@@ -69,3 +69,27 @@ def test_bad_branch_stays_apart_and_is_blocked(spark):
 ])
 def test_segments(spark, path, want):
     assert spark.range(1).select(ut.segments(F.lit(path)).alias("s")).first().s == want
+
+
+def _judged(spark, groups):
+    """Verdicts by path of pages and labels from (path, pages, bad)."""
+    rows = [(path, bad) for path, n, bad in groups for _ in range(n)]
+    pages = spark.createDataFrame([(i, f"http://h.com{path}") for i, (path, _) in enumerate(rows)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, bad) for i, (_, bad) in enumerate(rows)], "page_id bigint, bad boolean")
+    got = ut.judge(pages, labels).select("path", "verdict").distinct().collect()
+    assert len(got) == len({path for path, _ in rows})
+    return {r.path: r.verdict for r in got}
+
+
+@pytest.mark.parametrize("light,heavy", [(3, 1900), (1, 4000)])
+def test_heavy_branch_among_light_siblings(spark, light, heavy):
+    names = [f"/{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}/p" for i in range(999)]
+    got = _judged(spark, [(name, light, False) for name in names] + [("/casino/p", heavy, True)])
+    assert got.pop("/casino/p") == "block" and set(got.values()) == {"allow"}
+
+
+def test_branches_below_the_sixth_level(spark):
+    top = "/a/b/c/d/e/f"
+    groups = [(f"{top}/good/{chr(97 + i)}", 4, False) for i in range(26)] + [(f"{top}/bad/{chr(97 + i)}", 4, True) for i in range(26)]
+    got = _judged(spark, groups + [(f"{top}/bad/zz", 1, False)])
+    assert got[f"{top}/good/c"] == "allow" and got[f"{top}/bad/c"] == got[f"{top}/bad/zz"] == "block"

@@ -10,8 +10,8 @@ from tillstream.llm.tables import join_checked, stored
 
 # (host, path, verdict): fits the host and its subdomains where the path starts so.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-LEVELS = 6  # deeper segments are one segment of the last level
-MIN_KIDS = 20  # a node with so many children, seen fewer than MIN_SEEN times each on average, is variable
+LEVELS = 6  # `segments` alone: deeper segments are one segment of the last level
+MIN_KIDS = 20  # a node with so many light children, seen fewer than MIN_SEEN times each, is variable
 MIN_SEEN = 5
 Z = 1.96  # branches whose bad shares differ by fewer standard errors are alike
 PRIOR = 5.0  # labels that a smoothed share counts for its parent's share
@@ -35,12 +35,14 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
     return text, verdict
 
 
-def segments(path: Column, levels: int = LEVELS) -> Column:
-    """Segments without empty ones, each run of digits being `{n}` and each long run of hex digits `{x}`."""
+def segments(path: Column, levels: int | None = LEVELS) -> Column:
+    """Segments without empty ones, each run of digits being `{n}` and each long run of hex digits `{x}`; without `levels`, all."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.regexp_replace(
         F.regexp_replace(s, r"(?i)\b(?=[a-f]*[0-9])[0-9a-f]{8,}\b", "{x}"), r"[0-9]+", "{n}"
     ))
+    if levels is None:
+        return parts
     deep = F.array_join(F.slice(parts, levels, F.greatest(F.size(parts), F.lit(1))), "/")
     return F.when(F.size(parts) > levels, F.concat(F.slice(parts, 1, levels - 1), F.array(deep))).otherwise(parts)
 
@@ -49,37 +51,45 @@ def _smoothed(bad: str, labelled: str, share: Column) -> Column:
     return (F.col(bad) + PRIOR * share) / (F.col(labelled) + PRIOR)
 
 
-def templates(paths: DataFrame, levels: int = LEVELS) -> DataFrame:
+def templates(paths: DataFrame) -> DataFrame:
     """`host, segs, template` of distinct paths (`host, segs, n, labelled, bad`: pages, labelled and bad ones).
 
-    Level by level below each host: the children of a variable node become `*`. Of the others, those whose smoothed bad
-    share is within Z standard errors of their siblings' together are alike and merge into one `*`; a branch that
-    differs stays apart and has a subtree of its own. Counts combine map-side, and hosts share no task by design: the
-    keys hold the segment. Each level is written, so that the plan does not double with depth.
+    Level by level below each host, each child is judged by itself. The light children of a variable node become `*`. Of
+    the others, those whose smoothed bad share is within Z standard errors of all siblings' together are alike and merge
+    into one `*`; a branch that differs stays apart and has a subtree of its own. Counts combine map-side, and hosts
+    share no task by design: the keys hold the segment. Each level is written, so that the plan does not double with
+    depth. Levels go on while some template has paths with different rests; a rest without branches is taken as it is.
     """
-    tree = paths.withColumn("template", F.lit(""))
-    depth = tree.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(min(depth, levels)):
-        here = tree.withColumn("seg", F.get("segs", F.lit(level)))
+    tree, ended, level = paths.withColumn("template", F.lit("")), None, 0
+    while True:
+        rest = F.array_join(F.slice("segs", F.lit(level + 1), F.size("segs")), "/")
+        branches = tree.groupBy("host", "template").agg((F.min(rest) < F.max(rest)).alias("branches"))
+        marked = stored(join_checked(tree, stored(branches, "branches"), ["host", "template"]), "marked")
+        whole = F.concat("template", F.when(rest == "", "").otherwise(F.concat(F.lit("/"), rest)))
+        done = marked.filter("NOT branches").withColumn("template", whole).select(*paths.columns, "template")
+        ended = done if ended is None else ended.union(done)
+        here = marked.filter("branches").drop("branches").withColumn("seg", F.get("segs", F.lit(level)))
+        if here.isEmpty():
+            return stored(ended, "tree")
         nodes = here.filter("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
             *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
         )
         nodes = stored(nodes, "nodes")
+        light = F.col("n") < MIN_SEEN
         parents = nodes.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "bad")]
+            F.count(F.lit(1)).alias("kids"), F.count_if(light).alias("light_kids"),
+            *[F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")]
         )
         joined = join_checked(nodes, stored(parents, "parents"), ["host", "template"])
         share = (F.col("all_bad") + 1) / (F.col("all_labelled") + 2)
         error = F.sqrt(share * (1 - share) / (F.col("labelled") + PRIOR))
-        variable = (F.col("kids") >= MIN_KIDS) & (F.col("all_n") < MIN_SEEN * F.col("kids"))
         off = _smoothed("bad", "labelled", share) - share
-        step = F.when(variable, "*").when(F.col("kids") == 1, F.col("seg"))
+        step = F.when((F.col("light_kids") >= MIN_KIDS) & light, "*").when(F.col("kids") == 1, F.col("seg"))
         step = step.when(off < -Z * error, "*-").when(off <= Z * error, "*").otherwise(F.col("seg"))
         merged = joined.select("host", "template", "seg", step.alias("step"))
         tree = join_checked(here, stored(merged, "steps"), ["host", "template", "seg"], "left")
-        tree = tree.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "step"), F.lit("")))).drop("seg", "step")
-        tree = stored(tree, "tree")
-    return tree
+        tree = tree.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "step"), F.lit(""))))
+        tree, level = stored(tree.select(*paths.columns, "template"), "tree"), level + 1
 
 
 def judge(
@@ -95,7 +105,7 @@ def judge(
     """
     host, path = host_and_path(F.col(url_col).cast("string"))
     rows = pages.select(F.col(id_col).cast("bigint").alias("_id"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("segs", segments(F.col("path")))
+    rows = rows.withColumn("segs", segments(F.col("path"), None))
     known = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("_id")).agg(F.max("bad").alias("_bad"))
     paths = rows.join(known, "_id", "left").groupBy("host", "segs").agg(
         F.count(F.lit(1)).alias("n"), F.count("_bad").alias("labelled"), F.count_if("_bad").alias("bad")
