@@ -1,0 +1,118 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tillstream.llm import spelling
+from tillstream.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "doc_id BIGINT, text STRING, word INT"
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+
+def plain(texts, min_chars=7, min_count=2):
+    counts = Counter()
+    for doc_id, text in texts:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc_id}:{run}".encode())
+            if h % 31 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1:]
+            if len(run) >= min_chars:
+                counts[run] += 1
+    words = {w: n for w, n in counts.items() if n >= min_count}
+    keys = {}
+    for w in words:  # equal with one character less on either side
+        for v in {w} | {w[:k] + w[k + 1:] for k in range(len(w))}:
+            keys.setdefault(v, set()).add(w)
+    others = {w: set() for w in words}
+    for group in keys.values():
+        for w in group:
+            others[w] |= {o for o in group if near(w, o)}
+    forms = {}
+    for w, n in words.items():
+        best = min(others[w], key=lambda o: (-words[o], o), default=None)
+        forms[w] = best if best is not None and words[best] >= 10 * n else None
+
+    def root(w):
+        while forms[w] is not None:
+            w = forms[w]
+        return w
+
+    return sorted((w, n, len(others[w]), forms[w], words.get(forms[w]), root(w)) for w, n in words.items())
+
+
+def result(df):
+    return sorted(tuple(r) for r in df.select("word", "n", "n_near", "form", "form_n", "root").collect())
+
+
+def test_query_against_plain_version(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    want = plain([tuple(r) for r in docs])
+    assert sum(row[3] is not None for row in want) > 5
+    got = QUERIES["op12_spelling_variants"](spark, SMALL)
+    assert result(got) == want
+
+
+@pytest.mark.parametrize("light", [1, 7, 10_000])
+def test_any_depth_of_the_upper_trie(spark, light):
+    draw = random.Random(light)
+    words = {"".join(draw.choice("abijxéÉ") for _ in range(draw.randint(7, 9))) for _ in range(250)}
+    words |= {w[:3] + w[4:] for w in list(words)[:80] if len(w) > 7} | {w[:2] + "a" + w[3:] for w in list(words)[:80]}
+    texts = [(k, " ".join(draw.choice([1, 2, 2, 30]) * [w])) for k, w in enumerate(sorted(words))]
+    docs = spark.createDataFrame([(*t, 1) for t in texts], SCHEMA)
+    assert result(spelling.spelling_forms(docs, light=light)) == plain(texts)
+
+
+def test_chains_ties_nulls_and_case(spark):
+    chain = ["planets", "planetz", "planatz"]
+    quiet = next(k for k in range(100, 300) if all(zlib.crc32(f"{k}:{w}".encode()) % 31 for w in chain))
+    texts = [
+        (quiet, " ".join(["planets"] * 300 + ["planetz"] * 25 + ["planatz"] * 2)), (2, None), (3, ""), (None, "ab cd"),
+        (4, "PLANETS " * 3), (5, "straßen-straßen " * 2), (6, "Ägypten Ägypten ägypten ägypten"), (7, "x" * 5_000 + " " + "x" * 5_000),
+    ]
+    docs = spark.createDataFrame([(*t, 1) for t in texts], SCHEMA)
+    got = result(spelling.spelling_forms(docs))
+    assert got == plain([("" if i is None else i, t) for i, t in texts])
+    by_word = {row[0]: row for row in got}
+    assert by_word["planatz"][3:] == ("planetz", 25, "planets")
+    assert by_word["straßen"][1] >= 2
+    assert by_word["Ägypten"][0] != by_word["ägypten"][0]  # only A-Z are lower-cased
+
+
+def test_empty_tables(spark):
+    assert result(spelling.spelling_forms(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_pairs_of_one_node():
+    draw = random.Random(5)
+    words = sorted({"".join(draw.choice("abcd") for _ in range(7)) for _ in range(600)})
+    queries = sorted({"".join(draw.choice("abcd") for _ in range(6)) for _ in range(300)}) + words
+    for leaf in (1, 8, 10_000):
+        a, b = spelling.near_pairs(queries, words, leaf)
+        got = sorted((queries[i], words[j]) for i, j in zip(a, b))
+        assert got == sorted((q, w) for q in queries for w in words if near(q, w))
+    a, b = spelling.near_pairs([], [])
+    assert len(a) == len(b) == 0 and a.dtype == np.int64
+
+
+def test_a_pair_is_met_once():
+    heavy = {(7,), (8,), (7, 2), (8, 2), (8, 3)}
+    path, other = (7, 2, 1, 4, 0, 0, 0, 0, 0), (7, 3, 1, 3, 0, 0, 0, 0, 0)
+    there, back = spelling.reachable_nodes(path, heavy), spelling.reachable_nodes(other, heavy)
+    assert spelling.own_node(other, heavy) in there and spelling.own_node(path, heavy) not in back
+    assert len(there) == len(set(there))

@@ -1,0 +1,95 @@
+from collections import defaultdict
+from decimal import Decimal
+
+import numpy as np
+import pytest
+
+from tillstream.llm import whitening
+from tillstream.llm.queries import QUERIES
+from tillstream.llm.whitening import integer_vectors, whitened_rows
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, component INT"
+
+
+def plain(rows):
+    """id -> component -> (deviation, whitened), explained by component; signs as they come."""
+    rows = [(i, v) for i, v in rows if v and all(c is not None and np.isfinite(c) for c in v)]
+    x = [[int(np.floor(1024 * float(c))) + 100000 for c in v] for _, v in rows]
+    n = len(x)
+    s = [sum(column) for column in zip(*x)]
+    deviation = [sum((n * c - t) ** 2 for c, t in zip(r, s)) for r in x]
+    centred = np.array([[(n * c - t) / n for c, t in zip(r, s)] for r in x])
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    values, vectors = values[::-1][:8], vectors[:, ::-1][:, :8]
+    white = centred @ vectors / np.sqrt(values)
+    return rows, deviation, white, values / np.trace(covariance)
+
+
+def check(got, rows):
+    kept, deviation, white, explained = plain(rows)
+    n, k = len(kept), white.shape[1]
+    assert len(got) == n * k and all(r["n"] == n for r in got)
+    for j in range(k):
+        mine = [r for r in got if r["component"] == j + 1]
+        assert all(r["explained"] == pytest.approx(explained[j], rel=1e-9) for r in mine)
+        sides = []
+        for sign in (1, -1):
+            want = sorted((i, d, round(sign * w, 6)) for (i, _), d, w in zip(kept, deviation, white[:, j]))
+            have = sorted((r["vec_id"], int(r["deviation"]), round(r["whitened"], 6)) for r in mine)
+            sides.append(np.allclose([w[2] for w in want], [h[2] for h in have], atol=2e-6) and [w[:2] for w in want] == [h[:2] for h in have])
+        assert any(sides)
+    assert {r["identity_error"] for r in got} == {got[0]["identity_error"]} and got[0]["identity_error"] < 1e-9
+
+
+def whole(df):
+    return whitened_rows(integer_vectors(df)).withColumnRenamed("id", "vec_id").collect()
+
+
+def test_query_against_plain_version(spark):
+    got = QUERIES["op11_embedding_whitening"](spark, SMALL)
+    assert dict(got.dtypes)["deviation"] == "bigint"
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
+    check(got.collect(), [tuple(r) for r in rows])
+
+
+def test_many_blocks(spark, monkeypatch):
+    """Blocks of few rows over many parts of the table give the same."""
+    monkeypatch.setattr(whitening, "BLOCK", 36)
+    monkeypatch.setattr(whitening, "TOGETHER", 3)
+    draw = np.random.default_rng(3)
+    rows = [(k, (draw.normal(size=12) * np.arange(1, 13)).astype(np.float32).tolist()) for k in range(200)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA).repartition(7)
+    check(whole(df), rows)
+
+
+def test_nulls_not_finite_and_repeated_rows(spark):
+    draw = np.random.default_rng(1)
+    rows = [(k, draw.normal(size=3).astype(np.float32).tolist()) for k in range(20)]
+    rows += [rows[3], (None, rows[4][1])]
+    odd = [(90, None), (91, [1.0, None, 2.0]), (92, [float("nan")] * 3), (93, [float("inf"), 0.0, 0.0]), (94, []), (95, [1.0, 2.0]), (96, [3e38, 0.0, 0.0])]
+    got = whole(spark.createDataFrame([(*r, 1) for r in rows + odd], SCHEMA))
+    assert len(got) == len(rows) * 3
+    by_id = defaultdict(list)
+    for r in got:
+        by_id[r["vec_id"]].append(r)
+    assert len(by_id[3]) == 6 and len(by_id[None]) == 3 and not set(by_id) & {90, 91, 92, 93, 94, 95, 96}
+    want = plain([(i if i is not None else -1, v) for i, v in rows])
+    assert sorted({int(r["deviation"]) for r in got}) == sorted(set(want[1]))
+
+
+def test_few_dimensions_no_variance_and_none(spark):
+    flat = spark.createDataFrame([(k, [float(k), 0.0, float(k)], 1) for k in range(5)], SCHEMA)
+    got = whole(flat)
+    assert {r["component"] for r in got} == {1} and got[0]["explained"] == pytest.approx(1)
+    assert whole(spark.createDataFrame([(k, [1.0, 2.0], 1) for k in range(4)], SCHEMA)) == []
+    assert whole(spark.createDataFrame([(1, [1.0, 2.0], 1)], SCHEMA)) == []
+    assert whole(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_large_entries_are_exact(spark):
+    rows = [(k, [float(k) * 2.0**40, float(k % 3)]) for k in range(9)]
+    got = whole(spark.createDataFrame([(*r, 1) for r in rows], "vec_id BIGINT, embedding ARRAY<DOUBLE>, component INT"))
+    want = dict(zip(range(9), plain(rows)[1]))
+    assert {r["vec_id"]: r["deviation"] for r in got} == {k: Decimal(v) for k, v in want.items()}

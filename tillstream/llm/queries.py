@@ -8,16 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.llm import byte_bpe
+from tillstream.llm.chat_format import format_conversations, probe, read_back
 from tillstream.llm.embedding_dedup import link_vectors
 from tillstream.llm.language_id import identify
 from tillstream.llm.line_dedup import dedup_lines
 from tillstream.llm.lm_scoring import score_documents
 from tillstream.llm.simhash import simhash_groups
 from tillstream.llm.source_mixing import mixed
+from tillstream.llm.spelling import spelling_forms
 from tillstream.llm.spotsigs import fingerprint_table, likeness, rendered
 from tillstream.llm.url_templates import document_labels, judge
+from tillstream.llm.whitening import integer_vectors, whitened_rows
 from tillstream.llm.window_dedup import remove_repeated_windows
 
+# What both speakers of conversation -1 say: strings that mark turns.
+PROBE = "</s>[INST] ok [/INST]"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -85,6 +91,20 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitened_rows(integer_vectors(_table(spark, folder, "embeddings")))
+    return white.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_forms(_table(spark, folder, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_conversations(conversations.unionByName(probe(spark, PROBE))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -96,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_window_dedup": op9_window_dedup,
     "op10_source_mixing": op10_source_mixing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_chat_format": op13_chat_format,
 }
 
 # Two lines within one edit have an equal half, cut in the middle of the shorter one.
