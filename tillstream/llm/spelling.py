@@ -19,7 +19,7 @@ MIN_CHARS, MIN_COUNT, RATIO, SLIPS = 7, 2, 10, 31
 # The upper trie splits by the length and the counts of so many coarse groups of letters, as long as a node has more
 # than LIGHT words; below that a node is one task's, whose trie has FINE groups and leaves of up to LEAF words.
 COARSE, FINE = 8, 32
-LIGHT, LEAF = 20_000, 32
+LIGHT, LEAF = 20_000, 64
 _FLUSH = 200_000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -139,61 +139,64 @@ def reachable_nodes(path: tuple[int, ...], heavy: set[tuple[int, ...]]) -> list[
     return [node for node in found if node != here]
 
 
-def _budgets(words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Letters that a word of `length` may have more, and fewer: a longer one has none fewer."""
-    same = np.fromiter((len(w) == length for w in words), bool, len(words))
-    return np.ones(len(words), np.int32), same.astype(np.int32)
-
-
 def near_pairs(queries: list[str], words: list[str], leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
     """Places (in `queries`, in `words`) of all pairs one edit apart. `words` are equally long, queries as long or one shorter.
 
     The words are arranged by successive counts of letter groups, most varied first. All queries go down together,
-    depth first; each has a budget of one letter too many and one too few, and drops out where it is spent. At a leaf
-    the other groups are compared, and what is left is verified on the characters.
+    depth first; each has a budget of one letter too many and, if it is as long, one too few, and drops out where it is
+    spent. At a leaf whole count vectors are compared, and what is left is verified on the characters.
     """
+    none = np.zeros(0, np.int64)
+    if not queries or not words:
+        return none, none
     q, w = letter_counts(queries, FINE), letter_counts(words, FINE)
     levels = np.argsort(-w.var(0), kind="stable")
     q, w = q[:, levels], w[:, levels]
     order = np.lexsort(w.T[::-1])
     w = w[order]
+    same = np.fromiter((len(x) == len(words[0]) for x in queries), bool, len(queries))
+    # Differences add up to the difference in length, so within the budget the squared distance is 0, 1 or 2 and beyond
+    # it larger: a matrix product tells. Single precision is exact for all but very long words.
+    kind = np.float32 if len(words[0]) < 2_000 else np.float64
+    fq, fw = q.astype(kind), w.astype(kind)
+    squares_q, squares_w = ((fq * fq).sum(1) - same - 1) / 2, (fw * fw).sum(1) / 2
     found: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def compare(low: int, high: int, level: int, alive: np.ndarray, surplus: np.ndarray, deficit: np.ndarray) -> None:
-        rest = w[low:high, level:]
-        step = max(1, (1 << 20) // max(1, rest.size))
+    def compare(low: int, high: int, alive: np.ndarray) -> None:
+        step = max(1, (1 << 20) // (high - low))
         for k in range(0, len(alive), step):
-            part = slice(k, k + step)
-            differ = rest[None] - q[alive[part], None, level:]
-            fits = (np.maximum(differ, 0).sum(2) <= surplus[part, None]) & (np.maximum(-differ, 0).sum(2) <= deficit[part, None])
-            a, b = np.nonzero(fits)
-            found.append((alive[part][a], order[low + b]))
+            part = alive[k:k + step]
+            product = fq[part] @ fw[low:high].T
+            product -= squares_w[low:high]
+            hits = np.flatnonzero(product >= squares_q[part, None])
+            found.append((part[hits // (high - low)], order[low + hits % (high - low)]))
 
     def down(low: int, high: int, level: int, alive: np.ndarray, surplus: np.ndarray, deficit: np.ndarray) -> None:
-        if high - low <= leaf or len(alive) <= 2 or level == FINE:
-            compare(low, high, level, alive, surplus, deficit)
+        if high - low <= leaf or len(alive) <= leaf // 8 or level == FINE:
+            compare(low, high, alive)
             return
-        column = w[low:high, level]
+        column, own = w[low:high, level], q[alive, level]
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(column)) + 1, [high - low]))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            differ = column[a] - q[alive, level]
-            more, fewer = differ == 1, differ == -1
-            on = (differ == 0) | more & (surplus > 0) | fewer & (deficit > 0)
-            if on.any():
-                down(low + a, low + b, level + 1, alive[on], surplus[on] - more[on], deficit[on] - fewer[on])
-
-    if queries and words:
-        down(0, len(words), 0, np.arange(len(queries)), *_budgets(queries, len(words[0])))
+            differ = column[a] - own
+            on = np.flatnonzero((differ == 0) | (differ == 1) & surplus | (differ == -1) & deficit)
+            if len(on):
+                kept = differ[on]
+                down(low + a, low + b, level + 1, alive[on], surplus[on] & (kept != 1), deficit[on] & (kept != -1))
+
+    down(0, len(words), 0, np.arange(len(queries)), np.ones(len(queries), bool), same)
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none, none
     a, b = (np.concatenate(side).astype(np.int64) for side in zip(*found))
     near = one_edit_apart(queries, words, a, b)
     return a[near], b[near]
 
 
 def _codes(words: list[str], width: int, right: bool) -> np.ndarray:
-    padded = [w.rjust(width, "\0") if right else w.ljust(width, "\0") for w in words]
-    return np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).reshape(len(words), width)
+    """A row of code points for each word, by its front or, reversed, by its back."""
+    padded = [w[::-1].ljust(width, "\0") if right else w.ljust(width, "\0") for w in words]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).reshape(len(words), width)
+    return codes.astype(np.uint8)  # letters up to U+00FF
 
 
 def one_edit_apart(queries: list[str], words: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -202,21 +205,17 @@ def one_edit_apart(queries: list[str], words: list[str], a: np.ndarray, b: np.nd
     if not len(a):
         return np.zeros(0, bool)
     width = max(map(len, words))
-    sides = [(_codes(queries, width, right), _codes(words, width, right)) for right in (False, True)]
     lens_q, lens_w = (np.fromiter(map(len, x), np.int64, len(x)) for x in (queries, words))
-    out = np.zeros(len(a), bool)
-    step = max(1, (1 << 22) // width)
-    for k in range(0, len(a), step):
-        x, y = a[k:k + step], b[k:k + step]
-        (left_q, left_w), (right_q, right_w) = sides
-        off = left_q[x] != left_w[y]
-        front = np.where(off.any(1), off.argmax(1), width)
-        off = (right_q[x] != right_w[y])[:, ::-1]
-        back = np.where(off.any(1), off.argmax(1), width)
-        short = np.minimum(lens_q[x], lens_w[y])
-        apart = np.abs(lens_q[x] - lens_w[y])
-        out[k:k + step] = (apart <= 1) & ((front < width) | (apart > 0)) & (front + back >= short - (apart == 0))
-    return out
+    shared = np.zeros(len(a), np.int64)
+    step = max(1, (1 << 20) // width)
+    for right in (False, True):
+        codes_q, codes_w = _codes(queries, width, right), _codes(words, width, right)
+        for k in range(0, len(a), step):
+            off = codes_q[a[k:k + step]] != codes_w[b[k:k + step]]
+            shared[k:k + step] += np.where(off.any(1), off.argmax(1), width)
+    short, apart = np.minimum(lens_q[a], lens_w[b]), np.abs(lens_q[a] - lens_w[b])
+    # equal words share all of their width at either side
+    return (apart <= 1) & (shared >= short - (apart == 0)) & (shared < 2 * width)
 
 
 def _best(words: list[str], counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
