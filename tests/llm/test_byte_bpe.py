@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -25,7 +26,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def coder():
-    return byte_bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.Coder(byte_bpe.Vocabulary(RANKS), public_tokenizers.PATTERN)
 
 
 TEXTS = [
@@ -46,12 +47,34 @@ def test_encode_and_decode(coder, library):
 
 def test_words_beyond_the_memory(coder, library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 0)
-    monkeypatch.setattr(byte_bpe, "WORDS", 2)
-    fresh = byte_bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    monkeypatch.setattr(byte_bpe, "ROWS", 9)
+    fresh = byte_bpe.Coder(byte_bpe.Vocabulary(RANKS), public_tokenizers.PATTERN)
     text = "Nothing is remembered here, unrememberedly nothing."
     assert fresh.encode([text])[0].tolist() == library.encode_ordinary(text) and not fresh.known
 
 
+@pytest.mark.parametrize("alphabet, n", [
+    ("abcdefghijklmnopqrstuvwxyz", 20_000), ("".join(map(chr, range(0x4E00, 0x9FA5))), 7_000), ("a", 20_001), ("ab", 9_000), ("=-", 6_000),
+    ("éèüñ", 5_000), (" ", 9_000), ("0123456789", 2_000), ("etaoin", 20_000), ("\n\t ", 4_000),
+])
+def test_long_words(coder, library, alphabet, n):
+    """Words merged in parts, with what merges across their borders."""
+    rng = random.Random(n)
+    text = "".join(rng.choice(alphabet) for _ in range(n))
+    assert coder.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
+def test_time_goes_with_length(coder):
+    rng = random.Random(0)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    han = "。".join("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(100)) for _ in range(3_400))  # 1 MB
+    for text in (word, han):
+        begin = time.process_time()
+        ids = coder.encode([text])
+        assert time.process_time() - begin < 60
+        assert coder.decode(ids) == [text.encode()]
+
+
 def test_query(spark, library):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = QUERIES["op3_byte_bpe"](spark, FOLDER).collect()

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -12,34 +11,34 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-# Words of one query, and its bytes; a word of more bytes than LONG has queries of its own.
-WORDS, LONG = 6_000, 256
-# Words whose ids a Python worker remembers, so that common words are merged once. Others are merged in each block.
+# Bytes of the words of one query; a word of more than SHORT bytes is merged in parts of PART bytes, by the same query.
+ROWS, SHORT, PART = 300_000, 255, 64
+# Words whose ids a task remembers, so that common words are merged once. Others are merged in each block.
 REMEMBERED = 300_000
 # Characters encoded, and tokens decoded, at a time.
 _BLOCK = 2_000_000
 
-# A row for each token of each word. Every step joins neighbours to the merge table, finds each word's pair of least
-# rank, leftmost among equals, and puts the merged token in the place of the two. Words without a pair drop out.
+# A row for each token of each word, keyed by word << 8 | position. Every step joins neighbours to the merge table,
+# finds each word's pair of least rank, leftmost among equals, and puts the merged token in the place of the two. Words
+# without a pair are done: they come out once more, marked, and drop out of the steps.
 _MERGE = """
-WITH RECURSIVE state(step, w, i, tok) AS (
-  SELECT 0, w, i, tok FROM given
+WITH RECURSIVE state(done, k, tok) AS (
+  SELECT false, k, tok FROM given
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-     SELECT s.step, s.w, s.i, s.j, s.tok, m.rank::BIGINT << 24 | s.i AS here
-     FROM (SELECT step, w, i, tok, lead(tok) OVER word AS nxt, lead(i) OVER word AS j
-           FROM state WINDOW word AS (PARTITION BY w ORDER BY i)) s
-     LEFT JOIN merges m ON m.a = s.tok AND m.b = s.nxt),
-   best AS (SELECT w, min(here) AS least, arg_min(j, here) AS gone FROM pairs WHERE here IS NOT NULL GROUP BY w)
-   SELECT step + 1, p.w, p.i, CASE WHEN here = least THEN (least >> 24)::INTEGER ELSE p.tok END
-   FROM pairs p JOIN best USING (w) WHERE p.i <> gone)
+     SELECT s.k, s.j, s.tok, m.rank::BIGINT << 8 | (s.k & 255) AS here
+     FROM (SELECT k, tok, lead(tok) OVER place AS nxt, lead(k) OVER place AS j
+           FROM state WHERE NOT done WINDOW place AS (ORDER BY k)) s
+     LEFT JOIN merges m ON m.a = s.tok AND m.b = s.nxt AND s.j >> 8 = s.k >> 8),
+   best AS (SELECT k >> 8 AS w, min(here) AS least, arg_min(j, here) AS gone FROM pairs GROUP BY k >> 8)
+   SELECT least IS NULL, p.k, CASE WHEN here = least THEN (least >> 8)::INTEGER ELSE p.tok END
+   FROM pairs p JOIN best ON best.w = p.k >> 8 WHERE gone IS NULL OR p.k <> gone)
 )
-SELECT list(tok ORDER BY i) AS ids FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step)
-GROUP BY w ORDER BY w
+SELECT list(tok ORDER BY k) AS ids FROM state WHERE done GROUP BY k >> 8 ORDER BY k >> 8
 """
 
-# The same for one long word, a few steps at a time: each step merges, from the left, every pair of the least rank that
-# does not overlap the one before. No merge makes a pair of that or a lesser rank next to it, so the order is the same.
+# The same for one window too long for that, a few steps at a time: each step merges, from the left, every pair of the
+# least rank that does not overlap the one before. No merge makes a pair of that or a lesser rank next to it.
 _MERGE_LONG = """
 WITH RECURSIVE state(step, i, tok) AS (
   SELECT 0, i, tok FROM given
@@ -63,30 +62,49 @@ SELECT step, i, tok FROM state WHERE step = (SELECT max(step) FROM state) ORDER
 _DECODE = "SELECT d, string_agg(piece, '' ORDER BY i) AS text FROM given JOIN pieces USING (tok) GROUP BY d ORDER BY d"
 
 
+class Vocabulary:
+    """Tokens of a rank file (a line `<base64 of the token's bytes> <rank>` for each) and all pairs that merge into one.
+
+    It is made once, on the driver, and goes along with the tasks: its size is the vocabulary's.
+    """
+
+    def __init__(self, ranks: bytes):
+        self.ids = ids = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        self.bytes = np.array([ids[bytes([b])] for b in range(256)], np.int32)
+        merges = [
+            (ids[t[:k]], ids[t[k:]], r) for t, r in ids.items() for k in range(1, len(t)) if t[:k] in ids and t[k:] in ids
+        ]
+        self.merges = np.array(merges or np.zeros((0, 3)), np.int32).T.copy()
+
+
 class Coder:
-    """Encoder and decoder of a rank file: a line `<base64 of the token's bytes> <rank>` for each token."""
+    """Encoder and decoder of one task; it holds a DuckDB database in memory until it is closed."""
 
-    def __init__(self, ranks: bytes, pattern: str):
+    def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.pieces = regex.compile(pattern).findall
-        self.ids = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        self.bytes = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
+        self.ids, self.bytes = vocabulary.ids, vocabulary.bytes
+        self.tokens = {number: token for token, number in self.ids.items()}
         self.known: dict[str, bytes] = {}
-        merges = np.array(
-            [
-                (self.ids[t[:k]], self.ids[t[k:]], r)
-                for t, r in self.ids.items() for k in range(1, len(t)) if t[:k] in self.ids and t[k:] in self.ids
-            ] or np.zeros((0, 3)), np.int32,
-        )
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
-        self._table("merges", a=merges[:, 0], b=merges[:, 1], rank=merges[:, 2])
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM given_merges")
+        a, b, rank = vocabulary.merges
+        self._table("merges", a=a, b=b, rank=rank)
         # A byte b as the character U+0100 + b: DuckDB then joins any bytes as text.
         shown = ["".join(chr(256 + b) for b in t) for t in self.ids]
-        self._table("pieces", tok=np.fromiter(self.ids.values(), np.int32), piece=pa.array(shown))
-        self.con.execute("CREATE TABLE pieces AS SELECT * FROM given_pieces")
+        self._table("pieces", tok=np.fromiter(self.ids.values(), np.int32), piece=pa.array(shown, pa.string()))
+
+    def __enter__(self) -> Coder:
+        return self
+
+    def __exit__(self, *_) -> None:
+        """Python workers outlive their tasks; what the task remembered goes with it."""
+        self.con.close()
+        self.known = {}
+        pa.default_memory_pool().release_unused()
 
     def _table(self, name: str, **columns) -> None:
         self.con.register(f"given_{name}", pa.table(columns))
+        self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given_{name}")
+        self.con.unregister(f"given_{name}")
 
     def _run(self, sql: str, **columns) -> pa.Table:
         self.con.register("given", pa.table(columns))
@@ -95,26 +113,69 @@ class Coder:
         return out
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word; a word that is a token is that token."""
+        """Ids of each word; a word that is a token is that token. Of any length, in time in proportion to it."""
         out: list[np.ndarray | None] = [np.array([self.ids[w]], np.int32) if w in self.ids else None for w in words]
         left = [k for k, ids in enumerate(out) if ids is None]
-        for k in left:
-            if len(words[k]) > LONG:
-                out[k] = self._merge_long(words[k])
-        left = [k for k in left if out[k] is None]
-        for at in range(0, len(left), WORDS):
-            block = left[at:at + WORDS]
-            data = [words[k] for k in block]
-            lens = np.fromiter(map(len, data), np.int32)
+        short = [k for k in left if len(words[k]) <= SHORT]
+        for k, ids in zip(short, self._merge_short([words[k] for k in short])):
+            out[k] = ids
+        long = [k for k in left if out[k] is None]
+        if long:
+            for k, ids in zip(long, self._merge_parts([words[k] for k in long])):
+                out[k] = ids
+        return out
+
+    def _merge_short(self, words: list[bytes]) -> list[np.ndarray]:
+        """Words of up to SHORT bytes, ROWS bytes a query."""
+        out: list[np.ndarray] = []
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        query = np.cumsum(sizes) // ROWS
+        for cut in np.split(np.arange(len(words)), np.flatnonzero(np.diff(query)) + 1):
+            if not len(cut):
+                continue
+            lens = sizes[cut]
             ends = np.cumsum(lens)
             place = np.arange(ends[-1]) - np.repeat(ends - lens, lens)
+            data = b"".join(words[cut[0]:cut[-1] + 1])
             found = self._run(
-                _MERGE, w=np.repeat(np.arange(len(data), dtype=np.int32), lens), i=place.astype(np.int32),
-                tok=self.bytes[np.frombuffer(b"".join(data), np.uint8)],
+                _MERGE, k=np.repeat(np.arange(len(cut)), lens) << 8 | place, tok=self.bytes[np.frombuffer(data, np.uint8)]
             )["ids"].combine_chunks()
             flat, cuts = found.values.to_numpy().astype(np.int32), found.offsets.to_numpy()
-            for n, k in enumerate(block):
-                out[k] = flat[cuts[n]:cuts[n + 1]]
+            out += [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return out
+
+    def _merge_parts(self, words: list[bytes]) -> list[np.ndarray]:
+        """Words of any length: parts are merged by themselves and then joined in pairs, all words at once.
+
+        Tokens are those of the whole word if and only if each two neighbours are the tokens of their two.
+        """
+        parts = [[w[k:k + PART] for k in range(0, len(w), PART)] for w in words]
+        made = iter(self.merge([p for ps in parts for p in ps]))
+        sides = [[next(made) for _ in ps] for ps in parts]
+        while any(len(s) > 1 for s in sides):
+            joined = iter(self._join([(s[k], s[k + 1]) for s in sides for k in range(0, len(s) - 1, 2)]))
+            sides = [[next(joined) if k + 1 < len(s) else s[k] for k in range(0, len(s), 2)] for s in sides]
+        return [s[0] for s in sides]
+
+    def _join(self, pairs: list[tuple[np.ndarray, np.ndarray]], reach: int = 4) -> list[np.ndarray]:
+        """The tokens of two neighbouring parts together: those around the border are merged anew, over twice as many
+        tokens each time, until the outermost of them stay as they are, so that they go on with their neighbours."""
+        out: list[np.ndarray | None] = [None] * len(pairs)
+        left = list(range(len(pairs)))
+        while left:
+            around = [(pairs[k][0][-reach:], pairs[k][1][:reach]) for k in left]
+            windows = [b"".join(self.tokens[t] for side in both for t in side.tolist()) for both in around]
+            short = [w for w in windows if len(w) <= SHORT]
+            found = iter(self.merge(short))
+            again = []
+            for k, (a, b), window in zip(left, around, windows):
+                ids = next(found) if len(window) <= SHORT else self._merge_long(window)
+                first, last = pairs[k]
+                if (len(a) == len(first) or ids[0] == a[0]) and (len(b) == len(last) or ids[-1] == b[-1]):
+                    out[k] = np.concatenate((first[:len(first) - len(a)], ids, last[len(b):]))
+                else:
+                    again.append(k)
+            left, reach = again, reach * 2
         return out
 
     def _merge_long(self, word: bytes) -> np.ndarray:
@@ -149,12 +210,6 @@ class Coder:
         return out
 
 
-@lru_cache(maxsize=2)
-def _coder(ranks: bytes, pattern: str) -> Coder:
-    """One for a Python worker, whatever the number of its tasks."""
-    return Coder(ranks, pattern)
-
-
 def _blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about `most` characters or ids each."""
     start = size = 0
@@ -172,14 +227,15 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     vocabulary) goes along with the tasks.
     """
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32()))])
+    vocabulary = Vocabulary(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks, pattern)
-        for batch in batches:
-            doc, texts = batch.columns
-            for a, b in _blocks(texts, _BLOCK):
-                ids = coder.encode([t.as_py() or "" for t in texts[a:b]])
-                yield pa.RecordBatch.from_arrays([doc[a:b], _lists(ids)], schema=schema)
+        with Coder(vocabulary, pattern) as coder:
+            for batch in batches:
+                doc, texts = batch.columns
+                for a, b in _blocks(texts, _BLOCK):
+                    ids = coder.encode([t.as_py() or "" for t in texts[a:b]])
+                    yield pa.RecordBatch.from_arrays([doc[a:b], _lists(ids)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"`{id_col}` bigint, ids array<int>")
@@ -193,14 +249,15 @@ def _lists(ids: list[np.ndarray]) -> pa.ListArray:
 def decode(encoded: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """`<id>, ids, decoded`: the bytes that the ids stand for. Null ids: no bytes. An id that is no token adds nothing."""
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+    vocabulary = Vocabulary(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks, pattern)
-        for batch in batches:
-            doc, ids = batch.columns
-            for a, b in _blocks(ids, _BLOCK // 8):
-                own = [x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32) for x in ids[a:b]]
-                made = coder.decode(own)
-                yield pa.RecordBatch.from_arrays([doc[a:b], ids[a:b], pa.array(made, pa.binary())], schema=schema)
+        with Coder(vocabulary, pattern) as coder:
+            for batch in batches:
+                doc, ids = batch.columns
+                for a, b in _blocks(ids, _BLOCK // 8):
+                    own = [x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32) for x in ids[a:b]]
+                    made = coder.decode(own)
+                    yield pa.RecordBatch.from_arrays([doc[a:b], ids[a:b], pa.array(made, pa.binary())], schema=schema)
 
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` bigint, ids array<int>, decoded binary")
