@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def without_repeated_lines(texts):
-    lines = sorted((i, n, l) for i, t in texts.items() for n, l in enumerate(t.split("\n")) if len(l) >= ld.MIN_CHARS and l.strip())
+    lines = sorted((i, n, l) for i, t in texts.items() for n, l in enumerate(t.split("\n")) if l.strip())
     gone, first, by_half = set(), {}, {}
     for i, n, l in lines:
         halves = {(k, side, l[:k] if side else l[len(l) - k:]) for k in {len(l) // 2 - 1, len(l) // 2} for side in (0, 1)}

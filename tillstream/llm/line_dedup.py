@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.llm.tables import join_checked, stored
 
-# Shorter lines are left alone, and only equal lines count under NEAR_CHARS.
-MIN_CHARS, NEAR_CHARS = 10, 20
+# Lines from so many characters on have near ones: of a single character, any other is one edit away.
+NEAR_CHARS = 2
 _BLOCK = 32
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """`id, d1, no, line` of the lines that count. `d1` tells texts apart that share an id."""
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`id, d1, no, line` of the lines that are not blank. `d1` tells texts apart that share an id."""
     text = F.col(text_col).cast("string")
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("d1"), F.posexplode(F.split(text, "\n")).alias("no", "line")
     )
-    return rows.filter("id IS NOT NULL").filter((F.char_length("line") >= min_chars) & F.col("line").rlike(r"[^\s]"))
+    return rows.filter("id IS NOT NULL").filter(F.col("line").rlike(r"[^\s]"))
 
 
 def _key(line: Column) -> list[Column]:
@@ -43,39 +43,45 @@ def half_keys(line: Column) -> Column:
     return F.array(*halves(n), *halves(n - 1))
 
 
-def deletion_keys(line: Column) -> Column:
-    """`k, place`: hashed variants of a line with one character less, and of the line as such a variant of one character more.
+def edit_blocks(line: Column) -> Column:
+    """The places where a line could differ from another by one edit, in blocks of 32: `b, start, taken, inside, last, alone`.
 
-    A key is (length of the longer line, place of the deleted character, what stands before it, what after it). All
-    lines that share one differ from each other in that place alone. What is far from the place enters by the hash of
-    all before and of all after its block of 32 characters, made once for a block.
+    Lines that differ inside one block only share its `b`, made from the longer one's length, the block's place, and
+    hashes of all before and all after. A line takes part as the longer of two, or one as long (`taken` 1: a character
+    of it is deleted), and as the shorter one (0). `alone`: the line has no other block, so that `b` rules nothing out.
     """
     n = F.char_length(line)
 
-    def keys(longer: Column, taken: int) -> Column:
-        """`taken`: characters of the line that are deleted in a variant, 1 or 0."""
-        def around(b: Column) -> Column:
-            start = b * _BLOCK
+    def blocks(longer: Column, taken: int) -> Column:
+        def around(block: Column) -> Column:
+            start = block * _BLOCK
+            before, after = line.substr(F.lit(1), start), line.substr(start + _BLOCK + taken, n)
             return F.struct(
-                longer.alias("longer"), start.alias("start"), line.substr(start + 1, F.lit(_BLOCK - 1 + taken)).alias("inside"),
-                F.xxhash64(line.substr(F.lit(1), start)).alias("before"),
-                F.xxhash64(line.substr(start + _BLOCK + taken, n)).alias("after"),
+                F.xxhash64(longer, start, F.xxhash64(before), F.xxhash64(after)).alias("b"), start.alias("start"),
+                F.lit(taken).alias("taken"), line.substr(start + 1, F.lit(_BLOCK - 1 + taken)).alias("inside"),
+                F.least(F.lit(_BLOCK - 1), longer - 1 - start).alias("last"), (longer <= _BLOCK).alias("alone"),
             )
 
-        def places(block: Column) -> Column:
-            last = F.least(F.lit(_BLOCK - 1), block["longer"] - 1 - block["start"])
-            return F.transform(F.sequence(F.lit(0), last), lambda q: F.struct(
-                F.xxhash64(
-                    block["longer"], block["start"] + q, block["before"],
-                    block["inside"].substr(F.lit(1), q), block["inside"].substr(q + 1 + taken, F.lit(_BLOCK)), block["after"],
-                ).alias("k"),
-                (block["start"] + q).alias("place"),
-            ))
+        return F.transform(F.sequence(F.lit(0), F.call_function("div", longer - 1, F.lit(_BLOCK)).cast("int")), around)
+
+    return F.concat(blocks(n, 1), blocks(n + 1, 0))
+
+
+def block_variants(block: Column) -> Column:
+    """`k, place`: the hashed deletion variants of a line at the places of one of its blocks, from 0 in the line.
+
+    All lines that share a key differ in that place alone.
+    """
+    taken = block["taken"]
+    return F.transform(F.sequence(F.lit(0), block["last"]), lambda q: F.struct(
+        F.xxhash64(block["b"], q, block["inside"].substr(F.lit(1), q), block["inside"].substr(q + 1 + taken, F.lit(_BLOCK))).alias("k"),
+        (block["start"] + q).alias("place"),
+    ))
 
-        blocks = F.sequence(F.lit(0), F.call_function("div", longer - 1, F.lit(_BLOCK)).cast("int"))
-        return F.flatten(F.transform(F.transform(blocks, around), places))
 
-    return F.concat(keys(n, 1), keys(n + 1, 0))
+def deletion_keys(line: Column) -> Column:
+    """`k, place`: all hashed variants of a line with one character less, and of the line as such a variant of a longer one."""
+    return F.flatten(F.transform(edit_blocks(line), block_variants))
 
 
 def one_edit_at(a: Column, b: Column, place: Column) -> Column:
@@ -91,8 +97,10 @@ def near_lines(lines: DataFrame) -> DataFrame:
     """`h1, h2` of the lines (`id, no, line, h1, h2`) of which an earlier other line is one edit away.
 
     1. Lines that share no half with another line have none near, and stop here: two numbers a key are shuffled.
-    2. The rest are one line per distinct text, at its earliest place, and emit their deletion variants.
-    3. Of equal variants the earliest line, a minimum combined map-side, goes back to the others; no group is paired.
+    2. The rest are one line per distinct text, numbered by their earliest place. Blocks of a line whose surroundings no
+       other line has hold no edit, and stop here: a 32nd of the variants.
+    3. What is left emits its deletion variants. Of equal variants the earliest line, a minimum combined map-side, goes
+       back to the others; no group is paired.
     4. That the line is one edit from that earliest line is verified on the texts.
     """
     keys = lines.select("h1", F.explode(half_keys(F.col("line"))).alias("k"))
@@ -101,30 +109,36 @@ def near_lines(lines: DataFrame) -> DataFrame:
     found = lines.select("h1", "h2", F.explode(half_keys(F.col("line"))).alias("k"))
     maybe = stored(join_checked(found, shared, ["k"], "left_semi").select("h1", "h2").distinct(), "maybe")
     texts = join_checked(lines, maybe, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(
-        F.min(F.struct("id", "no", "h1", "h2")).alias("at"), F.min("line").alias("line")
+        F.min(F.struct("id", "no")).alias("at"), F.min("line").alias("line")
     )
-    texts = stored(texts, "lines")
-
-    variants = texts.select("at", F.explode(deletion_keys(F.col("line"))).alias("v")).select("at", "v.k", "v.place")
-    earliest = variants.groupBy("k").agg(F.min("at").alias("first"), F.max("at").alias("last")).filter("first <> last")
-    hits = variants.join(earliest.select("k", "first"), "k").filter("first.id < at.id OR first.id = at.id AND first.no < at.no")
-    pairs = hits.groupBy("at").agg(F.min(F.struct("first", "place")).alias("hit")).select("at", "hit.first", "hit.place")
-    line = texts.select("at", "line")
-    other = texts.select(F.col("at").alias("first"), F.col("line").alias("_line"))
-    near = pairs.join(line, "at").join(other, "first").filter(one_edit_at(F.col("line"), F.col("_line"), F.col("place")))
-    return near.select("at.h1", "at.h2")
+    # numbered in order: parts of the sorted table follow each other
+    texts = stored(texts.orderBy("at").withColumn("r", F.monotonically_increasing_id()), "lines")
+
+    blocks = texts.select("r", F.explode(edit_blocks(F.col("line"))).alias("block"))
+    spread = blocks.filter("NOT block.alone")
+    doubtful = spread.groupBy(F.col("block.b").alias("b")).agg(F.min("r").alias("lo"), F.max("r").alias("hi")).filter("lo <> hi")
+    doubtful = stored(doubtful.select("b"), "blocks")
+    left = join_checked(spread.withColumn("b", F.col("block.b")), doubtful, ["b"], "left_semi").select("r", "block")
+    left = stored(left.unionByName(blocks.filter("block.alone")), "around")
+    variants = left.select("r", F.explode(block_variants(F.col("block"))).alias("v")).select("r", "v.k", "v.place")
+    earliest = variants.groupBy("k").agg(F.min("r").alias("first"), F.max("r").alias("last")).filter("first <> last")
+    hits = variants.join(earliest.select("k", "first"), "k").filter("first < r")
+    pairs = hits.groupBy("r").agg(F.min(F.struct("first", "place")).alias("hit")).select("r", "hit.first", "hit.place")
+    other = texts.select(F.col("r").alias("first"), F.col("at").alias("_at"), F.col("line").alias("_line"))
+    both = pairs.join(texts, "r").join(other, "first").filter("_at < at")  # not the same place of two texts that share an id
+    return both.filter(one_edit_at(F.col("line"), F.col("_line"), F.col("place"))).select("h1", "h2")
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS
 ) -> DataFrame:
     """`id, d1, no`: lines (numbered from 0) of which an equal or near line stands earlier, in order of (id, no).
 
     Lines are what `\\n` separates. Near is one character inserted, deleted or replaced, between lines that both have
-    `near_chars` characters or more. Lines under `min_chars` characters and blank lines do not count. Every line is
-    judged on the input: an earlier line counts whether or not it is removed itself.
+    `near_chars` characters or more. Blank lines do not count. Every line is judged on the input: an earlier line counts
+    whether or not it is removed itself.
     """
-    lines = _lines(docs, id_col, text_col, min_chars).select("id", "d1", "no", "line", *_key(F.col("line")))
+    lines = _lines(docs, id_col, text_col).select("id", "d1", "no", "line", *_key(F.col("line")))
     placed = stored(lines.select("id", "d1", "no", "h1", "h2"), "places")
     long = lines.filter(F.char_length("line") >= near_chars).select("id", "no", "line", "h1", "h2")
     near = near_lines(long).withColumn("near", F.lit(True))
@@ -136,7 +150,7 @@ def repeated_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS
 ) -> DataFrame:
     """The documents with their repeated lines taken out of the text; other columns and rows unchanged.
 
@@ -144,7 +158,7 @@ def dedup_lines(
     lines; rows that share an id and a text lose the same lines. `n_lines` and `n_removed` come as added columns
     `_n_lines`, `_n_removed`.
     """
-    gone = repeated_lines(docs, id_col, text_col, min_chars, near_chars)
+    gone = repeated_lines(docs, id_col, text_col, near_chars)
     # A bit for each line, 64 to a word, so that a line is looked up in one step however many a text has.
     bits = gone.groupBy("id", "d1", F.call_function("div", "no", F.lit(64)).cast("int").alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("no") % 64)).alias("bits")

@@ -121,19 +121,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_chat_format": op13_chat_format,
 }
 
-# Two lines within one edit have an equal half, cut in the middle of the shorter one.
+# Lines of two or more characters are near if, without one character of the longer (or of each), they are the same. Such
+# two have an equal half, cut in the middle of the shorter one.
 LINE_DEDUP_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents
-), counted AS (SELECT * FROM lines WHERE length(line) >= 10 AND regexp_matches(line, '[^\\s]')
+), counted AS (SELECT * FROM lines WHERE regexp_matches(line, '[^\\s]')
 ), distinct_lines AS (SELECT line, length(line) AS n, min((doc_id, no)) AS place FROM counted GROUP BY line
-), long AS (SELECT * FROM distinct_lines WHERE n >= 20
 ), keys AS (
-  SELECT line, place, n - j AS short, unnest([left(line, (n - j) // 2), right(line, n - j - (n - j) // 2)]) AS half, unnest([1, 2]) AS side
-  FROM long, (VALUES (0), (1)) v(j)
+  SELECT line, place, n, n - j AS short, unnest([left(line, (n - j) // 2), right(line, n - j - (n - j) // 2)]) AS half, unnest([1, 2]) AS side
+  FROM distinct_lines, (VALUES (0), (1)) v(j) WHERE n >= 2
+), pairs AS (
+  SELECT DISTINCT b.line, b.n, a.line AS other, a.n AS m FROM keys a JOIN keys b USING (short, half, side)
+  WHERE a.place < b.place AND abs(a.n - b.n) <= 1 AND a.line <> b.line
 ), near AS (
-  SELECT DISTINCT b.line FROM keys a JOIN keys b USING (short, half, side)
-  WHERE a.place < b.place AND levenshtein(a.line, b.line) <= 1
+  SELECT DISTINCT line FROM pairs WHERE len(list_filter(range(greatest(n, m)), lambda k: left(line, k) = left(other, k)
+    AND substr(line, k + 1 + (n >= m)::INTEGER) = substr(other, k + 1 + (m >= n)::INTEGER))) > 0
 ), gone AS (
   SELECT c.doc_id, c.no FROM counted c JOIN distinct_lines d USING (line)
   WHERE (c.doc_id, c.no) > d.place OR c.line IN (SELECT line FROM near)
