@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillstream.llm import byte_bpe
 from tillstream.llm.language_id import keep_identified
 from tillstream.llm.line_dedup import dedup_lines
-from tillstream.llm.near_copies import keep_one
+from tillstream.llm.simhash import keep_one
 from tillstream.llm.source_mixing import sample
 from tillstream.llm.tables import stored
 
@@ -31,7 +31,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of texts whose five-word shingles are 0.8 or more alike."""
+    """The smallest id of each group of texts whose fingerprints, of three-word shingles, link at three or fewer bits."""
     return keep_one(docs)
 
 
