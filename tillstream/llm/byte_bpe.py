@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 # Bytes of the words of one query; a word of more than SHORT bytes is merged in parts of PART bytes, by the same query.
 ROWS, SHORT, PART = 300_000, 255, 64
 # Words whose ids a task remembers, so that common words are merged once. Others are merged in each block.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 # Characters encoded, and tokens decoded, at a time.
 _BLOCK = 2_000_000
 
@@ -212,12 +213,10 @@ class Coder:
 
 def _blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about `most` characters or ids each."""
-    start = size = 0
-    for k, cell in enumerate(column):
-        size += len(cell.as_py() or ()) if pa.types.is_string(column.type) else len(cell.values or ())
-        if size >= most or k == len(column) - 1:
-            yield start, k + 1
-            start, size = k + 1, 0
+    sizes = pc.utf8_length(column) if pa.types.is_string(column.type) else pc.list_value_length(column)
+    block = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(column)]
+    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
 
 
 def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
