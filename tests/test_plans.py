@@ -56,7 +56,7 @@ def test_messages_are_parsed_once(plan, name):
 
 def test_filters_and_columns_reach_the_scan(plan):
     text = plan("source_point_get")
-    assert "EqualTo(p_partkey,42)" in text and "p_size" not in text
+    assert "EqualTo(id,42)" in text and "p_size" not in text
     text = plan("dau_by_hour")
     assert "EqualTo(event_type,view)" in text and "props" not in text
     text = plan("pipeline_order_wide")

@@ -201,7 +201,7 @@ def test_first_seen_moves_back_when_an_earlier_day_arrives(spark, path, records,
 def wide(spark, t, path, status):
     run(
         start_order_wide, spark, path, wide_path=f"{path}/wide", rejects_path=f"{path}/rejects", status=status,
-        provinces=lambda s: fx.provinces(t.nation), users=lambda s: enriched_users(t), snapshot_every=2, show_rows=1,
+        provinces=lambda s: fx.provinces(t.nation), users=lambda s, orders: enriched_users(t), snapshot_every=2, show_rows=1,
     )
     return batches.read_batches(spark, f"{path}/wide", schemas.ORDER_WIDE)
 

@@ -162,6 +162,7 @@ ORACLE: dict[str, str] = {
         SELECT CAST(user_id AS VARCHAR) AS user_id, '1' AS if_consumed, id AS first_order_id
         FROM flagged WHERE if_first_order = '1'""",
     "doc_match": f"WITH {DOCS} SELECT id, name FROM docs WHERE list_has_any(words, ['red', 'widget'])",
+    "doc_match_indexed": f"WITH {DOCS} SELECT id, name FROM docs WHERE list_has_any(words, ['red', 'widget'])",
     "doc_term_nested": f"WITH {DOCS} SELECT id, name FROM docs WHERE list_contains(actors, '{TERM}')",
     "join_order_user_status": f"""WITH {ORDERS}
         SELECT b.id, b.user_id, CASE WHEN s.user_id IS NULL THEN '1' ELSE '0' END AS if_first_order

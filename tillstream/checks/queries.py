@@ -18,14 +18,15 @@ from tillstream.plans.order_wide import order_wide as build_order_wide
 from tillstream.session import scratch_dir
 from tillstream.sinks import batches
 from tillstream.sinks.keyed_table import KeyedTable
+from tillstream.sinks.search_index import SearchIndex
 from tillstream.sinks.topics import start_topic_files
-from tillstream.sources.lookups import lookup_rows, point_get
+from tillstream.sources.lookups import lookup_rows, point_get, write_clustered
 from tillstream.sources.topics import file_topic, table_stream
 from tillstream.streaming.cdc import start_cdc_canal, start_cdc_maxwell
 from tillstream.streaming.daily_active import start_dau as run_dau, start_first_seen
 from tillstream.streaming.dims import start_dim_province as run_dim_province, start_dim_user as run_dim_user
 from tillstream.streaming.logs import start_log_landing, start_log_split
-from tillstream.streaming.orders import start_order_wide as run_order_wide
+from tillstream.streaming.orders import start_order_wide as run_order_wide, users_of
 
 GROUP = "daily_active"
 QUERY, TERM = "red widget", "Brand#13"
@@ -124,7 +125,9 @@ def source_lookup_sql(t: Tables) -> DataFrame:
 
 @query
 def source_point_get(t: Tables) -> DataFrame:
-    return point_get(fx.documents(t.part), POINT_ID).select("id", "name", "doubanScore")
+    path = scratch_dir(t.spark, "documents")
+    write_clustered(fx.documents(t.part), path, files=8)
+    return point_get(t.spark.read.parquet(path), POINT_ID).select("id", "name", "doubanScore")
 
 
 @query
@@ -145,6 +148,7 @@ def sink_upsert_table(t: Tables) -> DataFrame:
     versions = F.explode(F.array(F.lit(1), F.lit(2))).alias("offset")
     level = F.concat(segment, F.lit("_"), F.col("offset")).alias("user_level")
     target.upsert(changed.select(key, "c_mktsegment", versions).select("id", level, "offset"), 1, versions=["offset"])
+    target.snapshot(t.spark, 1)
     return target.read(t.spark)
 
 
@@ -305,6 +309,16 @@ def doc_match(t: Tables) -> DataFrame:
     return docs.doc_match(fx.documents(t.part), QUERY).select("id", "name")
 
 
+@query
+def doc_match_indexed(t: Tables) -> DataFrame:
+    """The same through an inverted index, two batches of documents, the second one changing some of the first."""
+    documents = fx.documents(t.part)
+    index = SearchIndex(scratch_dir(t.spark, "search_index"))
+    index.add(documents.withColumn("name", F.when(F.col("id") % 3 == 0, F.concat(F.lit(QUERY), F.lit(" "), "id")).otherwise(F.col("name"))), 0)
+    index.add(documents.filter(F.col("id") % 3 == 0), 1)
+    return index.match(documents, QUERY).select("id", "name")
+
+
 @query
 def doc_term_nested(t: Tables) -> DataFrame:
     return docs.doc_term_nested(fx.documents(t.part), TERM).select("id", "name")
@@ -458,9 +472,11 @@ def start_order_wide(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "start_order_wide")
     status = KeyedTable(f"{path}/status", schemas.USER_STATUS, ("user_id",))
     status.upsert(fx.user_status(t.orders), -1)
+    dim = KeyedTable(f"{path}/user", schemas.USER, ("id",))
+    dim.upsert(users(t).select(*t.spark.createDataFrame([], schemas.USER).columns), -1)
     records = fx.order_records(fx.order_batch(t.stream("orders")))
     finished(run_order_wide(
         records, f"{path}/wide", f"{path}/rejects", status,
-        lambda spark: fx.provinces(t.nation), lambda spark: users(t), f"{path}/checkpoint", trigger=ONCE,
+        lambda spark: fx.provinces(t.nation), users_of(dim), f"{path}/checkpoint", trigger=ONCE,
     ))
     return batches.read_batches(t.spark, f"{path}/wide", schemas.ORDER_WIDE)

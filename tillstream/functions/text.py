@@ -12,6 +12,12 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0)))
 
 
+def folded_tokens(text: Column) -> Column:
+    """Words in one spelling for all that matching without case takes as equal: of each character the lower case of its
+    upper case, as patterns compare them."""
+    return tokens(F.translate(F.upper(text), "\u0130", "I"))
+
+
 def any_token_pattern(query: str) -> Column:
     """Regex finding any query token as a whole word; null for a query without tokens.
 

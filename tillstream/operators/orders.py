@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillstream.functions.times import date_part, hour_part
-from tillstream.operators.joins import MAX_BROADCAST_ROWS, checked_left_join, in_list_lookup
+from tillstream.operators.joins import MAX_BROADCAST_ROWS, checked_left_join, matching_rows
 from tillstream.operators.records import parse_typed
 from tillstream.schemas import ORDER_FIELDS
+from tillstream.session import scratch_dir
 
 FIRST, NOT_FIRST = "1", "0"
 
@@ -34,13 +35,13 @@ def known_users(orders: DataFrame, status: DataFrame) -> DataFrame:
 
     What the lookup finds is the text of some order's user id, so the cast back is exact.
     """
-    found = in_list_lookup(status.select("user_id"), orders, "user_id", "user_id").distinct()
+    found = matching_rows(status.select("user_id"), orders, "user_id", "user_id").distinct()
     return found.select(F.col("user_id").cast("bigint").alias("user_id"), F.lit(True).alias("_known"))
 
 
 def user_columns(orders: DataFrame, users: DataFrame) -> DataFrame:
     """Dimension columns of the users of the orders, by `user_id`."""
-    found = in_list_lookup(users.select("id", "age_group", "gender_name"), orders, "id", "user_id")
+    found = matching_rows(users.select("id", "age_group", "gender_name"), orders, "id", "user_id")
     return found.select(
         F.col("id").cast("bigint").alias("user_id"),
         F.col("age_group").alias("user_age_group"),
@@ -55,23 +56,36 @@ def join_order_user_status(orders: DataFrame, status: DataFrame) -> DataFrame:
     return joined.withColumn("if_first_order", flag).drop("_known")
 
 
-def group_orders_by_user(orders: DataFrame, span: int = 1_000, columns: Sequence[str] | None = None) -> DataFrame:
-    """`user_id, n_orders, part, orders`: each user's orders by `(create_time, id)` and how many the user has.
+def numbered_by_user(orders: DataFrame, path: str) -> DataFrame:
+    """The orders with `_nth`, the order's number among its user's by `(create_date, create_time, id)`, and `n_orders`.
 
-    A row holds at most `span` orders; a user with more has more parts, numbered from 0 by time. Orders are numbered
-    from counts per user and day, which combine map-side, and ranks within a day, so no task sees all orders of a
-    hot user. Orders without a date come first.
+    Rows are dealt out in ranges of all four columns and written in order, so that a user's orders, of one day too, go to
+    as many tasks as they fill. A number is the row's place in its part of the table, plus the user's rows in the parts
+    before: counts by user and part are all that is added up.
+    """
+    order = ["user_id", "create_date", "create_time", "id"]
+    dealt = orders.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    dealt.write.mode("overwrite").parquet(path)
+    placed = orders.sparkSession.read.schema(dealt.schema).parquet(path).withColumn("_run", F.struct("user_id", F.shiftright("_at", 33).alias("part")))
+    runs = placed.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    user = Window.partitionBy("_run.user_id")
+    before = F.sum("_n").over(user.orderBy("_run.part").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select("_run", "_first", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(user).alias("n_orders"))
+    nth = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return placed.join(runs, "_run").select(*orders.columns, "n_orders", nth.alias("_nth"))
+
+
+def group_orders_by_user(orders: DataFrame, span: int = 1_000, columns: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
+    """`user_id, n_orders, part, orders`: each user's orders by `(create_date, create_time, id)` and how many the user has.
+
+    A row holds at most `span` orders; a user with more has more parts, numbered from 0 by time. Orders without a date
+    come first, orders without a user are one user's. See `numbered_by_user`; `path` is where it keeps its table, by
+    default in the shared scratch folder.
     """
     kept = columns or [c for c in orders.columns if c not in ("user_id", "create_date", "create_time", "id")]
-    days = orders.groupBy("user_id", "create_date").agg(F.count(F.lit(1)).alias("_n"))
-    user = Window.partitionBy("user_id")
-    before = F.sum("_n").over(user.orderBy("create_date").rowsBetween(Window.unboundedPreceding, -1))
-    days = days.select(
-        F.struct("user_id", "create_date").alias("_day"), F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(user).alias("n_orders")
-    )
-    nth = F.row_number().over(Window.partitionBy("user_id", "create_date").orderBy("create_time", "id"))
-    ranked = orders.withColumns({"_nth": nth, "_day": F.struct("user_id", "create_date")}).join(days, "_day")
-    part = F.call_function("div", F.col("_before") + F.col("_nth") - 1, F.lit(span))
+    used = orders.select("user_id", "create_date", "create_time", "id", *kept)
+    ranked = numbered_by_user(used, path or scratch_dir(orders.sparkSession, "orders_by_user"))
+    part = F.call_function("div", F.col("_nth") - 1, F.lit(span))
     order = F.struct("create_time", "id", *kept)
     return ranked.groupBy("user_id", "n_orders", part.alias("part")).agg(F.sort_array(F.collect_list(order)).alias("orders"))
 

@@ -68,7 +68,7 @@ def read_day_index(
     if not fs.exists(spark, root):
         return spark.createDataFrame([], schema)
     columns = spark.createDataFrame([], schema).columns
-    docs = spark.read.schema(_with_batch_id(schema)).parquet(root)
+    docs = _day_rows(spark, root, schema, day)
     chosen = first_per_key(docs, [day, key], ["batch_id"]) if first else latest_per_key(docs, [day, key], ["batch_id"])
     return chosen.select(*columns)
 
@@ -78,28 +78,91 @@ def read_daily_active(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return read_day_index(spark, root, schema, key="mid", first=True)
 
 
+# Folding a day. `_folds/<day>=<date>` in the index, hidden from readers of its folders, holds the folded copy as
+# `batch_id=<n>`, and, once the copy is complete, the empty folders `replaces=<batch>`, last of all `intent=<n>`.
+_FOLDS = "_folds"
+
+
+def _day_rows(spark: SparkSession, root: str, schema: str, day: str) -> DataFrame:
+    """All rows of the index. Where a fold was begun, its copy counts instead of the folders that it replaces."""
+    with_batch = _with_batch_id(schema)
+    rows = spark.read.schema(with_batch).parquet(root)
+    for date, into, replaced in _intents(spark, root, day):
+        rows = rows.filter(~((F.col(day) == date) & F.col("batch_id").isin(replaced)))
+        place = f"{root}/{_FOLDS}/{day}={date}/batch_id={into}"
+        if not fs.exists(spark, place):  # moved to its place already
+            place = f"{root}/{day}={date}/batch_id={into}"
+        schema_there = spark.createDataFrame([], with_batch).drop(day, "batch_id").schema
+        copy = spark.read.schema(schema_there).parquet(place)
+        rows = rows.unionByName(copy.withColumns({day: F.lit(date), "batch_id": F.lit(into).cast("bigint")}))
+    return rows
+
+
+def _intents(spark: SparkSession, root: str, day: str) -> list[tuple[str, int, list[int]]]:
+    """Folds begun and not done: the day, the batch that the copy stands for, and the batches that it replaces."""
+    found = []
+    for date in fs.named(spark, f"{root}/{_FOLDS}", day):
+        here = f"{root}/{_FOLDS}/{day}={date}"
+        for into in fs.numbered(spark, here, "intent"):
+            found.append((date, into, fs.numbered(spark, here, "replaces")))
+    return found
+
+
+def finish_folds(spark: SparkSession, root: str, day: str = "dt") -> None:
+    """Carry out the folds that have an intent. Each step can be taken again: folders go only while the copy, complete,
+    is still beside, or has taken its place. What a fold without an intent left goes."""
+    for date, into, replaced in _intents(spark, root, day):
+        here, folder = f"{root}/{_FOLDS}/{day}={date}", f"{root}/{day}={date}"
+        beside = fs.exists(spark, f"{here}/batch_id={into}")
+        for batch in replaced:
+            if beside or batch != into:
+                fs.delete_dir(spark, f"{folder}/batch_id={batch}")
+        if beside:
+            fs.make_dir(spark, folder)
+            if not fs.rename(spark, f"{here}/batch_id={into}", f"{folder}/batch_id={into}"):
+                raise OSError(f"cannot move the folded copy of {folder}")
+        fs.delete_dir(spark, f"{here}/intent={into}")  # first: without it nothing else here counts
+    for date in fs.named(spark, f"{root}/{_FOLDS}", day):
+        fs.delete_dir(spark, f"{root}/{_FOLDS}/{day}={date}")
+
+
 def compact_day(
-    spark: SparkSession, root: str, schema: str, date: str, key: str | None, day: str = "dt", first: bool = False
+    spark: SparkSession, root: str, schema: str, date: str, key: str | None, day: str = "dt", first: bool = False,
+    before: int | None = None,
 ) -> None:
     """Fold a closed day into its oldest batch's folder, so that a day does not keep a folder per batch. Without `key`
-    all rows stay.
+    all rows stay. With `before`, only batches before that one are folded.
 
-    The folded rows are written beside and read back before anything goes; a repeat after a failure folds the same rows
-    again. Run it when the day gets no more batches: a batch that is repeated meanwhile could write its folder anew.
+    The folded copy is written beside; then an intent names it and the folders that it replaces; then these go and the
+    copy takes their place. After a failure before the intent nothing has happened, after it whoever folds next finishes
+    the fold, and readers take the copy meanwhile. A batch that is being written or repeated must not be folded.
     """
-    folder = f"{root}/{day}={date}"
-    batches = fs.complete_batches(spark, folder, marked=False)
-    if len(batches) < 2:
+    finish_folds(spark, root, day)
+    folder, here = f"{root}/{day}={date}", f"{root}/{_FOLDS}/{day}={date}"
+    folded = [b for b in fs.complete_batches(spark, folder, marked=False) if before is None or b < before]
+    if len(folded) < 2:
         return
-    rows = read_day_index(spark, root, schema, key, day, first) if key else read_batches(spark, root, schema)
-    rows = rows.filter(F.col(day) == date)
-    beside = f"{root}/_compacting/{day}={date}"
-    rows.drop(day).coalesce(1).write.mode("overwrite").parquet(beside)
-    folded = spark.read.schema(spark.createDataFrame([], schema).drop(day).schema).parquet(beside)
-    folded.write.mode("overwrite").parquet(f"{folder}/batch_id={batches[0]}")
-    for batch in batches[1:]:
-        fs.delete_dir(spark, f"{folder}/batch_id={batch}")
-    fs.delete_dir(spark, beside)
+    rows = spark.read.schema(_with_batch_id(schema)).parquet(root).filter((F.col(day) == date) & F.col("batch_id").isin(folded))
+    if key:
+        rows = first_per_key(rows, [key], ["batch_id"]) if first else latest_per_key(rows, [key], ["batch_id"])
+    fs.delete_dir(spark, here)
+    rows.select(*[c for c in spark.createDataFrame([], schema).columns if c not in (day, "batch_id")]).hint("rebalance").write.parquet(
+        f"{here}/batch_id={folded[0]}"
+    )
+    for batch in folded:
+        fs.make_dir(spark, f"{here}/replaces={batch}")
+    fs.make_dir(spark, f"{here}/intent={folded[0]}")
+    finish_folds(spark, root, day)
+
+
+def fold_closed_days(
+    spark: SparkSession, root: str, schema: str, key: str | None, open_days: int, day: str = "dt", before: int | None = None, first: bool = False
+) -> None:
+    """Fold every day of the index but the newest `open_days`. Days with one folder cost a listing."""
+    finish_folds(spark, root, day)
+    days = fs.named(spark, root, day)
+    for date in days[:len(days) - open_days] if open_days else days:
+        compact_day(spark, root, schema, date, key, day, first, before)
 
 
 def day_index_stream(spark: SparkSession, root: str, schema: str) -> DataFrame:

@@ -1,21 +1,22 @@
-"""A table upserted by key from a stream, kept as Parquet folders.
+"""A table upserted by key from a stream, kept as Parquet folders and hashed into buckets by key.
 
-`changes/batch_id=<n>` holds the rows batch n upserted, one per key; `snapshots/batch_id=<n>`
-the whole table as of batch n. A repeated batch rewrites its own folder and reads only what lies before
-it, so repeating it changes nothing. A table belongs to one stream and its checkpoint, whose batch ids it is
-ordered by; rows from before the stream go in as batch -1.
+`changes/batch_id=<n>/bucket=<b>` holds the rows batch n upserted, one per key; `snapshots/batch_id=<n>/bucket=<b>` a whole
+bucket as of batch n. A snapshot writes only the buckets that have changed since the one before; of each bucket the
+newest counts. A repeated batch rewrites its own folder and reads only what lies before it, so repeating it changes
+nothing. A table belongs to one stream and its checkpoint, whose batch ids it is ordered by; rows from before the
+stream go in as batch -1. A table keeps the number of buckets that it was begun with.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillstream import fs
+from tillstream.operators.joins import in_list_lookup
 from tillstream.operators.keyed import latest_per_key, overlay
-from tillstream.sinks.batches import write_batch
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class KeyedTable:
     root: str
     schema: str
     keys: tuple[str, ...]
+    buckets: int = 64
 
     @property
     def _changes(self) -> str:
@@ -32,48 +34,97 @@ class KeyedTable:
     def _snapshots(self) -> str:
         return f"{self.root}/snapshots"
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Latest row per key, of batches before the given one."""
+    def _columns(self, spark: SparkSession) -> list[str]:
+        return spark.createDataFrame([], self.schema).columns
+
+    def bucket(self, *keys: Column) -> Column:
+        """Bucket of a key, of the table's key columns by default. Keys are hashed as text, so that they may come in
+        another type."""
+        columns = keys or tuple(F.col(k) for k in self.keys)
+        return F.pmod(F.xxhash64(*[c.cast("string") for c in columns]), F.lit(self.buckets)).cast("int")
+
+    def buckets_of(self, rows: DataFrame, *keys: Column) -> list[int]:
+        """The buckets that rows fall into: at most as many numbers as the table has buckets."""
+        return sorted(r["b"] for r in rows.select(self.bucket(*keys).alias("b")).distinct().collect())
+
+    def read(self, spark: SparkSession, before: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Latest row per key, of batches before the given one, of the given buckets or of all. Other buckets' files are
+        not listed."""
         def usable(batch: int) -> bool:
             return before is None or batch < before
 
-        snapshot = max(filter(usable, fs.complete_batches(spark, self._snapshots)), default=None)
-        later = [
-            b for b in fs.complete_batches(spark, self._changes)
-            if usable(b) and (snapshot is None or b > snapshot)
-        ]
-        base = None
-        if snapshot is not None:
-            base = spark.read.schema(self.schema).parquet(f"{self._snapshots}/batch_id={snapshot}")
-        if not later:
-            return spark.createDataFrame([], self.schema) if base is None else base
-        changes = self._read_changes(spark, later)
-        return changes if base is None else overlay(base, changes, self.keys)
-
-    def _read_changes(self, spark: SparkSession, batches: list[int]) -> DataFrame:
-        reader = spark.read.schema(f"{self.schema}, batch_id BIGINT").option("basePath", self._changes)
-        rows = reader.parquet(*[f"{self._changes}/batch_id={b}" for b in batches])
-        if len(batches) > 1:
-            rows = latest_per_key(rows, self.keys, ["batch_id"])
-        return rows.drop("batch_id")
+        wanted = None if buckets is None else list(buckets)
+        snapshots = [b for b in fs.complete_batches(spark, self._snapshots) if usable(b)]
+        later = [b for b in fs.complete_batches(spark, self._changes) if usable(b) and (not snapshots or b > snapshots[-1])]
+        newest = {bucket: batch for batch in snapshots for bucket in self._written(spark, self._snapshots, batch)}
+        base = self._load(spark, self._snapshots, sorted((batch, bucket) for bucket, batch in newest.items()), wanted)
+        places = [(batch, bucket) for batch in later for bucket in self._written(spark, self._changes, batch)]
+        changes = self._load(spark, self._changes, places, wanted)
+        if changes is not None:
+            changes = latest_per_key(changes, self.keys, ["batch_id"]) if len(later) > 1 else changes
+            changes = changes.drop("batch_id")
+        if base is None or changes is None:
+            found = base if changes is None else changes
+            return spark.createDataFrame([], self.schema) if found is None else found.select(*self._columns(spark))
+        return overlay(base.drop("batch_id"), changes, ["bucket", *self.keys]).select(*self._columns(spark))
+
+    def _written(self, spark: SparkSession, root: str, batch: int) -> list[int]:
+        return fs.numbered(spark, f"{root}/batch_id={batch}", "bucket")
+
+    def _load(self, spark: SparkSession, root: str, places: list[tuple[int, int]], wanted: list[int] | None) -> DataFrame | None:
+        kept = [(batch, bucket) for batch, bucket in places if wanted is None or bucket in wanted]
+        if not kept:
+            return None
+        reader = spark.read.schema(f"{self.schema}, batch_id BIGINT, bucket INT").option("basePath", root)
+        rows = reader.parquet(*[f"{root}/batch_id={batch}/bucket={bucket}" for batch, bucket in kept])
+        return rows if wanted is None else rows.filter(F.col("bucket").isin(wanted))
+
+    def lookup(self, rows: DataFrame, keys: Sequence[Column], before: int | None = None) -> DataFrame:
+        """The table's rows whose key occurs in `rows`, where `keys` are its columns.
+
+        Two steps: only the buckets of those keys are read, and of them what a Bloom filter of the keys lets pass is
+        joined exactly.
+        """
+        wanted = rows.select(*[k.cast("string").alias(name) for k, name in zip(keys, self.keys)]).distinct()
+        found = self.read(rows.sparkSession, before, self.buckets_of(wanted))
+        if len(self.keys) == 1:
+            return in_list_lookup(found, wanted, self.keys[0], self.keys[0])
+        return found.join(wanted, list(self.keys), "left_semi")
+
+    def _write(self, rows: DataFrame, root: str, batch_id: int) -> None:
+        """To `root/batch_id=<n>/bucket=<b>/`, replacing the batch's folder."""
+        bucketed = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
+        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch_id={batch_id}")
 
     def upsert(self, rows: DataFrame, batch_id: int, versions: Sequence[str] = ()) -> None:
         """Upsert a batch. Of several rows of a key the last by `versions` wins; without `versions`
         rows must be unique by key."""
         latest = latest_per_key(rows, self.keys, versions) if versions else rows
-        columns = rows.sparkSession.createDataFrame([], self.schema).columns
-        write_batch(latest.select(*columns), self._changes, batch_id)
+        self._write(latest.select(*self._columns(rows.sparkSession)), self._changes, batch_id)
 
     def snapshot(self, spark: SparkSession, as_of: int, keep: int = 2) -> None:
-        """Write the whole table as of a batch; later reads start from it.
+        """Fold the changes up to a batch into their buckets; later reads start from there. Other buckets stay as they are.
 
         The newest `keep` snapshots stay, with all changes since the oldest of them, so readers and
-        a repeated batch still find what they need. What is older goes.
+        a repeated batch still find what they need. What newer ones replace goes.
         """
-        if as_of not in fs.complete_batches(spark, self._snapshots):
-            write_batch(self.read(spark, before=as_of + 1), self._snapshots, as_of)
-        kept = fs.complete_batches(spark, self._snapshots)[-keep:]
-        for folder in (self._snapshots, self._changes):
-            for batch in fs.complete_batches(spark, folder):
-                if batch < kept[0] or (batch == kept[0] and folder == self._changes):
-                    fs.delete_dir(spark, f"{folder}/batch_id={batch}")
+        done = fs.complete_batches(spark, self._snapshots)
+        if as_of not in done:
+            last = max((b for b in done if b < as_of), default=None)
+            changed = [b for b in fs.complete_batches(spark, self._changes) if b <= as_of and (last is None or b > last)]
+            touched = sorted({bucket for batch in changed for bucket in self._written(spark, self._changes, batch)})
+            self._write(self.read(spark, before=as_of + 1, buckets=touched), self._snapshots, as_of)
+        done = fs.complete_batches(spark, self._snapshots)
+        oldest = done[-keep:][0]
+        replaced: set[int] = set()
+        for batch in sorted((b for b in done if b <= oldest), reverse=True):
+            here = self._written(spark, self._snapshots, batch)
+            gone = [bucket for bucket in here if bucket in replaced]
+            for bucket in gone:
+                fs.delete_dir(spark, f"{self._snapshots}/batch_id={batch}/bucket={bucket}")
+            if batch != oldest and len(gone) == len(here):
+                fs.delete_dir(spark, f"{self._snapshots}/batch_id={batch}")
+            replaced.update(here)
+        for batch in fs.complete_batches(spark, self._changes):
+            if batch <= oldest:
+                fs.delete_dir(spark, f"{self._changes}/batch_id={batch}")

@@ -18,6 +18,14 @@ def jdbc_lookup(spark: SparkSession, url: str, sql: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, query=sql, **options).load()
 
 
+def write_clustered(docs: DataFrame, path: str, id_column: str = "id", files: int | None = None) -> None:
+    """Write documents so that one id is in one file: in ranges of ids, sorted, with a Bloom filter of the ids in every
+    row group. Statistics of the files and row groups rule out all others, the filter an id that is in none."""
+    ranges = [files] if files else []
+    dealt = docs.repartitionByRange(*ranges, id_column).sortWithinPartitions(id_column)
+    dealt.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{id_column}", "true").parquet(path)
+
+
 def point_get(docs: DataFrame, doc_id, id_column: str = "id") -> DataFrame:
     """The document with one id. The equality reaches the scan as a pushed filter."""
     return docs.filter(F.col(id_column) == F.lit(doc_id))

@@ -6,7 +6,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream.operators.logs import dau_record, derive_dt_hr, parse_app_log
 from tillstream.operators.records import rejected, text_of_rejects_only
 from tillstream.operators.serving import first_seen
-from tillstream.sinks.batches import counted, write_day_index, write_rejects
+from tillstream.schemas import DAU
+from tillstream.sinks.batches import counted, fold_closed_days, write_day_index, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
@@ -65,9 +66,16 @@ def start_dau(
     checkpoint: str,
     keep_for: str = "1 day",
     trigger: dict | None = None,
+    fold_every: int = 200,
+    open_days: int = 2,
 ) -> StreamingQuery:
-    """Maintain the daily-active index, a folder per day of the log."""
+    """Maintain the daily-active index, a folder per day of the log.
+
+    Every `fold_every` batches the folders of closed days, all but the newest `open_days`, are folded into one a day.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % fold_every == 0:
+            fold_closed_days(batch.sparkSession, index_path, DAU, "mid", open_days, before=batch_id, first=True)
         batch = batch.persist()
         try:
             opens = dau_record(batch.filter(F.col("reason").isNull()))
@@ -91,13 +99,14 @@ def start_first_seen(
     """Maintain the first-seen table from a stream of daily-active records, repeats allowed.
 
     It may follow the index or the start topic itself, which needs no listing of files. Every batch looks its devices
-    up in the whole table, so batches are larger and rarer than those of the index.
+    up in their buckets of the table; many devices are in all of them, so batches are larger and rarer than those of
+    the index.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch_id and batch_id % snapshot_every == 0:
             seen.snapshot(spark, as_of=batch_id - 1)
-        seen.upsert(new_devices(batch, seen.read(spark, before=batch_id)), batch_id)
+        seen.upsert(new_devices(batch, seen.lookup(batch, [F.col("mid")], before=batch_id)), batch_id)
 
     return (
         opens.writeStream.foreachBatch(write)
