@@ -195,6 +195,7 @@ ORACLE: dict[str, str] = {
     "pipeline_order_wide": ORDER_WIDE,
     "start_dau": f"""WITH {FIRST_OPENS}
         SELECT *, min(dt) OVER (PARTITION BY mid) AS first_dt FROM opens""",
+    "start_hourly": f"WITH {FIRST_OPENS} SELECT dt, hr, count(*) AS n FROM opens GROUP BY dt, hr",
     "start_cdc_canal": CANAL,
     "start_cdc_maxwell": MAXWELL,
     "start_dim_province": f"WITH {ORDERS} SELECT * FROM provinces",

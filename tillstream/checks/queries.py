@@ -18,12 +18,13 @@ from tillstream.plans.order_wide import order_wide as build_order_wide
 from tillstream.session import scratch_dir
 from tillstream.sinks import batches
 from tillstream.sinks.keyed_table import KeyedTable
+from tillstream.sinks.rollup import HourlyActives
 from tillstream.sinks.search_index import SearchIndex
 from tillstream.sinks.topics import start_topic_files
 from tillstream.sources.lookups import lookup_rows, point_get, write_clustered
 from tillstream.sources.topics import file_topic, table_stream
 from tillstream.streaming.cdc import start_cdc_canal, start_cdc_maxwell
-from tillstream.streaming.daily_active import start_dau as run_dau, start_first_seen
+from tillstream.streaming.daily_active import start_dau as run_dau, start_first_seen, start_hourly as run_hourly
 from tillstream.streaming.dims import start_dim_province as run_dim_province, start_dim_user as run_dim_user
 from tillstream.streaming.logs import start_log_landing, start_log_split
 from tillstream.streaming.orders import start_order_wide as run_order_wide, users_of
@@ -433,6 +434,16 @@ def start_dau(t: Tables) -> DataFrame:
     return index.join(seen.read(t.spark), "mid", "left").select(*schemas.DAU_COLUMNS, "first_dt")
 
 
+@query
+def start_hourly(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "start_hourly")
+    rollup = HourlyActives(f"{path}/rollup", buckets=4)
+    in_files(fx.start_log_records(t.events), f"{path}/topic", ["timestamp", "partition", "offset"])
+    records = file_topic(t.spark, f"{path}/topic", max_files_per_trigger=1)
+    finished(run_hourly(records, rollup, f"{path}/checkpoint", snapshot_every=2, trigger=ONCE))
+    return rollup.read(t.spark)
+
+
 @named("start_cdc_canal")
 def start_cdc_canal_rows(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "start_cdc_canal")

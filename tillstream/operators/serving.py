@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.functions.times import previous_day
 
@@ -21,6 +23,24 @@ def dau_by_hour(dau: DataFrame) -> DataFrame:
     return dau.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"))
 
 
+def earlier_opens(opens: DataFrame, known: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Opens, one per day and device, that come before what is known of the device's day, by `order`; with `known_hr`, the
+    hour known so far, null for a device new on that day."""
+    before = known.select("dt", "mid", F.col("hr").alias("known_hr"), F.struct(*order).alias("_known"))
+    joined = opens.join(before, ["dt", "mid"], "left")
+    return joined.filter(F.col("_known").isNull() | (F.struct(*order) < F.col("_known"))).drop("_known")
+
+
+def hourly_changes(moved: DataFrame) -> DataFrame:
+    """What `earlier_opens` change in the counts per day and hour: one more in the new hour, one less in the known one."""
+    both = F.array_compact(F.array(
+        F.struct("hr", F.lit(1).alias("n")),
+        F.when(F.col("known_hr").isNotNull(), F.struct(F.col("known_hr").alias("hr"), F.lit(-1).alias("n"))),
+    ))
+    each = moved.select("dt", F.explode(both).alias("c")).select("dt", "c.hr", "c.n")
+    return each.groupBy("dt", "hr").agg(F.sum("n").alias("change")).filter("change <> 0")
+
+
 def hour_map(hourly: DataFrame, date: str) -> DataFrame:
     """One row: hour -> count of a day. At most 24 entries."""
     entries = F.collect_list(F.struct("hr", "n"))
@@ -60,12 +80,20 @@ def first_seen(dau: DataFrame) -> DataFrame:
     )
 
 
+def _metric(rows: DataFrame, value: Column, label: tuple[str, str]) -> DataFrame:
+    return rows.agg(value.alias("value")).select(F.lit(label[0]).alias("id"), F.lit(label[1]).alias("name"), "value")
+
+
 def realtime_totals(dau: DataFrame, seen: DataFrame, date: str) -> DataFrame:
     """Metric rows `id, name, value`: devices of the day, and devices never seen before it."""
-    def metric(rows: DataFrame, label: tuple[str, str]) -> DataFrame:
-        return rows.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit(label[0]).alias("id"), F.lit(label[1]).alias("name"), "value"
-        )
-
+    n = F.count(F.lit(1))
     new = seen.filter(F.col("first_dt") == date)
-    return metric(dau.filter(F.col("dt") == date), DAU_METRIC).union(metric(new, NEW_DEVICE_METRIC))
+    return _metric(dau.filter(F.col("dt") == date), n, DAU_METRIC).union(_metric(new, n, NEW_DEVICE_METRIC))
+
+
+def counted_totals(hourly: DataFrame, new: DataFrame, date: str) -> DataFrame:
+    """The same from counts: `dt, hr, n` of devices per hour, `first_dt, n` of new devices per day."""
+    n = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
+    return _metric(hourly.filter(F.col("dt") == date), n, DAU_METRIC).union(
+        _metric(new.filter(F.col("first_dt") == date), n, NEW_DEVICE_METRIC)
+    )

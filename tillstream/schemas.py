@@ -42,6 +42,8 @@ PROVINCE = "id STRING, name STRING, area_code STRING, iso_code STRING"
 USER = "id STRING, user_level STRING, birthday STRING, gender STRING, age_group STRING, gender_name STRING"
 USER_STATUS = "user_id STRING, if_consumed STRING, first_order_id BIGINT"
 DOCUMENT = "id BIGINT, name STRING, doubanScore FLOAT, actorList ARRAY<STRUCT<id: BIGINT, name: STRING>>"
+FIRST_OPEN = "dt STRING, mid STRING, hr STRING, ts BIGINT, partition INT, offset BIGINT"
+HOURLY = "dt STRING, hr STRING, n BIGINT"
 FIRST_SEEN = "mid STRING, first_dt STRING"
 LEDGER = "topic STRING, `group` STRING, partition INT, until_offset BIGINT"
 REJECT = "topic STRING, partition INT, offset BIGINT, value STRING, reason STRING"

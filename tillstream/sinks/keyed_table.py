@@ -5,10 +5,14 @@ bucket as of batch n. A snapshot writes only the buckets that have changed since
 newest counts. A repeated batch rewrites its own folder and reads only what lies before it, so repeating it changes
 nothing. A table belongs to one stream and its checkpoint, whose batch ids it is ordered by; rows from before the
 stream go in as batch -1. A table keeps the number of buckets that it was begun with.
+
+With a `day`, one of the keys, every day has buckets of its own: rows of a batch are looked up among those of their days
+only, and buckets of days gone by are not written again.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +29,7 @@ class KeyedTable:
     schema: str
     keys: tuple[str, ...]
     buckets: int = 64
+    day: str | None = None
 
     @property
     def _changes(self) -> str:
@@ -41,7 +46,15 @@ class KeyedTable:
         """Bucket of a key, of the table's key columns by default. Keys are hashed as text, so that they may come in
         another type."""
         columns = keys or tuple(F.col(k) for k in self.keys)
-        return F.pmod(F.xxhash64(*[c.cast("string") for c in columns]), F.lit(self.buckets)).cast("int")
+        hashed = F.pmod(F.xxhash64(*[c.cast("string") for c in columns]), F.lit(self.buckets)).cast("int")
+        if self.day is None:
+            return hashed
+        return F.unix_date(F.to_date(columns[self.keys.index(self.day)])) * F.lit(self.buckets) + hashed
+
+    def read_days(self, spark: SparkSession, dates: Sequence[str], before: int | None = None) -> DataFrame:
+        """The rows of these days. Only their buckets are read."""
+        firsts = [(datetime.date.fromisoformat(d) - datetime.date(1970, 1, 1)).days * self.buckets for d in dates]
+        return self.read(spark, before, [first + i for first in firsts for i in range(self.buckets)])
 
     def buckets_of(self, rows: DataFrame, *keys: Column) -> list[int]:
         """The buckets that rows fall into: at most as many numbers as the table has buckets."""

@@ -9,6 +9,7 @@ from tillstream.operators.serving import first_seen
 from tillstream.schemas import DAU
 from tillstream.sinks.batches import counted, fold_closed_days, write_day_index, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
+from tillstream.sinks.rollup import HourlyActives, add_counts
 from tillstream.sinks.topics import EVERY_5_SECONDS
 
 EVERY_10_MINUTES = {"processingTime": "10 minutes"}
@@ -52,11 +53,22 @@ def first_opens(start_records: DataFrame, keep_for: str = "1 day") -> DataFrame:
 
 
 def new_devices(opens: DataFrame, seen: DataFrame) -> DataFrame:
-    """First-seen rows to upsert: devices unknown so far, or now known from an earlier day."""
+    """First-seen rows to upsert: devices unknown so far, or now known from an earlier day, and `known_dt`, the day known
+    before."""
     batch = first_seen(opens)
-    before = seen.join(batch.select("mid"), "mid", "left_semi").withColumnRenamed("first_dt", "_before")
+    before = seen.join(batch.select("mid"), "mid", "left_semi").withColumnRenamed("first_dt", "known_dt")
     joined = batch.join(before, "mid", "left")
-    return joined.filter(F.col("_before").isNull() | (F.col("first_dt") < F.col("_before"))).select("mid", "first_dt")
+    return joined.filter(F.col("known_dt").isNull() | (F.col("first_dt") < F.col("known_dt"))).select("mid", "first_dt", "known_dt")
+
+
+def new_device_changes(moved: DataFrame) -> DataFrame:
+    """What `new_devices` change in the counts of new devices per day."""
+    both = F.array_compact(F.array(
+        F.struct("first_dt", F.lit(1).alias("n")),
+        F.when(F.col("known_dt").isNotNull(), F.struct(F.col("known_dt").alias("first_dt"), F.lit(-1).alias("n"))),
+    ))
+    each = moved.select(F.explode(both).alias("c")).select("c.first_dt", "c.n")
+    return each.groupBy("first_dt").agg(F.sum("n").alias("change")).filter("change <> 0")
 
 
 def start_dau(
@@ -94,9 +106,11 @@ def start_dau(
 
 
 def start_first_seen(
-    opens: DataFrame, seen: KeyedTable, checkpoint: str, snapshot_every: int = 20, trigger: dict | None = None
+    opens: DataFrame, seen: KeyedTable, checkpoint: str, snapshot_every: int = 20, trigger: dict | None = None,
+    per_day: KeyedTable | None = None,
 ) -> StreamingQuery:
-    """Maintain the first-seen table from a stream of daily-active records, repeats allowed.
+    """Maintain the first-seen table from a stream of daily-active records, repeats allowed; and with `per_day`, a table of
+    `first_dt, n` by `first_dt`, the number of new devices per day.
 
     It may follow the index or the start topic itself, which needs no listing of files. Every batch looks its devices
     up in their buckets of the table; many devices are in all of them, so batches are larger and rarer than those of
@@ -105,8 +119,15 @@ def start_first_seen(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch_id and batch_id % snapshot_every == 0:
-            seen.snapshot(spark, as_of=batch_id - 1)
-        seen.upsert(new_devices(batch, seen.lookup(batch, [F.col("mid")], before=batch_id)), batch_id)
+            for table in filter(None, (seen, per_day)):
+                table.snapshot(spark, as_of=batch_id - 1)
+        moved = new_devices(batch, seen.lookup(batch, [F.col("mid")], before=batch_id)).persist()
+        try:
+            seen.upsert(moved, batch_id)
+            if per_day:
+                add_counts(per_day, new_device_changes(moved), batch_id)
+        finally:
+            moved.unpersist()
 
     return (
         opens.writeStream.foreachBatch(write)
@@ -114,3 +135,24 @@ def start_first_seen(
         .trigger(**(trigger or EVERY_10_MINUTES))
         .start()
     )
+
+
+def start_hourly(
+    start_records: DataFrame, rollup: HourlyActives, checkpoint: str, snapshot_every: int = 20, trigger: dict | None = None
+) -> StreamingQuery:
+    """Maintain the counts of daily actives per day and hour from the start topic. Rejects are left to `start_dau`.
+
+    It needs no state of its own: what is known of a batch's devices comes from the buckets of their days.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % snapshot_every == 0:
+            rollup.snapshot(batch.sparkSession, as_of=batch_id - 1)
+        rollup.update(batch, batch_id)
+
+    logs = derive_dt_hr(parse_app_log(start_records).filter(F.col("reason").isNull()))
+    return (
+        logs.select("dt", "mid", "hr", "ts", "partition", "offset").writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or EVERY_10_MINUTES))
+        .start()
+    )
