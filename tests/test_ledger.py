@@ -1,0 +1,70 @@
+"""Offsets saved by a listener against those of the data."""
+
+import json
+
+import pytest
+
+from tillstream.operators import offsets
+from tillstream.session import scratch_dir
+from tillstream.sinks.ledger import SavesOffsets, offset_ledger
+from tillstream.streaming.daily_active import start_dau
+from test_streams import append, forget_commit, log, run
+
+
+@pytest.fixture
+def path(spark):
+    return scratch_dir(spark, "ledger")
+
+
+def observed_dau(spark, path, partitions, error=None):
+    """One run of the daily-active job under a listener."""
+    saving = SavesOffsets(spark, offset_ledger(f"{path}/ledger"), "g", f"dau_{path[-8:]}", topic="t", snapshot_every=2)
+
+    def start(topic, **kwargs):
+        stream = offsets.observed_offsets(topic, "t", partitions)
+        return start_dau(stream, f"{path}/index", f"{path}/rejects", name=saving.query_name, **kwargs)
+
+    spark.streams.addListener(saving)
+    try:
+        run(start, spark, path)
+        if error:
+            with pytest.raises(error):
+                saving.wait()
+        else:
+            saving.wait()
+    finally:
+        spark.streams.removeListener(saving)
+    return saving.ledger.read(spark)
+
+
+def test_the_ledger_follows_the_data_over_a_restart_and_a_repeat(spark, path, records, rows):
+    def arrive(partition, start, n):
+        some = records(*[log(f"m{i % 3}", i) for i in range(n)], "{bad", partition=partition)
+        append(some.withColumn("offset", some["offset"] + start), path)
+
+    arrive(0, 10, 5)
+    arrive(1, 0, 3)
+    arrive(0, 16, 2)
+    ends = observed_dau(spark, path, [0, 1, 2])
+    assert rows(ends, "topic", "group", "partition", "until_offset") == [("t", "g", 0, 19), ("t", "g", 1, 4)]
+    forget_commit(path, 1, last=3)
+    arrive(2, 7, 1)
+    ends = observed_dau(spark, path, [0, 1, 2])
+    data = spark.read.parquet(f"{path}/topic")
+    want = offsets.offsets_save(ends.limit(0), offsets.offsets_range(data), "g")
+    assert rows(ends, "partition", "until_offset") == rows(want, "partition", "until_offset") == [(0, 19), (1, 4), (2, 9)]
+    assert offsets.resume(data, offsets.offsets_read(ends, "t", "g"), "earliest").count() == 0, "nothing is left to read"
+
+
+def test_an_unknown_partition_is_an_error_and_is_not_passed_over(spark, path, records):
+    append(records(log("a", 1), partition=5), path)
+    ends = observed_dau(spark, path, [0], error=ValueError)
+    assert ends.count() == 0
+
+
+def test_ranges_of_a_broker_from_its_own_report(spark, path, rows):
+    saving = SavesOffsets(spark, offset_ledger(f"{path}/ledger"), "g", "q")
+    for batch, (start, end) in enumerate([(None, {"t": {"0": 5, "1": 2}}), ({"t": {"0": 5, "1": 2}}, {"t": {"0": 9, "1": 2}})]):
+        source = {"startOffset": json.dumps(start) if start else None, "endOffset": json.dumps(end)}
+        saving.save(offsets.progress_ranges(spark, {"sources": [source]}), batch)
+    assert rows(saving.ledger.read(spark), "partition", "until_offset") == [(0, 9), (1, 2)]

@@ -195,6 +195,8 @@ ORACLE: dict[str, str] = {
     "pipeline_order_wide": ORDER_WIDE,
     "start_dau": f"""WITH {FIRST_OPENS}
         SELECT *, min(dt) OVER (PARTITION BY mid) AS first_dt FROM opens""",
+    "start_offsets": f"""WITH {LOGS}, {RANGES}
+        SELECT topic, '{GROUP}' AS "group", "partition", until_offset FROM ranges""",
     "start_hourly": f"WITH {FIRST_OPENS} SELECT dt, hr, count(*) AS n FROM opens GROUP BY dt, hr",
     "start_cdc_canal": CANAL,
     "start_cdc_maxwell": MAXWELL,

@@ -18,6 +18,7 @@ from tillstream.plans.order_wide import order_wide as build_order_wide
 from tillstream.session import scratch_dir
 from tillstream.sinks import batches
 from tillstream.sinks.keyed_table import KeyedTable
+from tillstream.sinks.ledger import SavesOffsets, offset_ledger
 from tillstream.sinks.rollup import HourlyActives
 from tillstream.sinks.search_index import SearchIndex
 from tillstream.sinks.topics import start_topic_files
@@ -434,6 +435,24 @@ def start_dau(t: Tables) -> DataFrame:
     return index.join(seen.read(t.spark), "mid", "left").select(*schemas.DAU_COLUMNS, "first_dt")
 
 
+@query
+def start_offsets(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "start_offsets")
+    records = fx.app_log_records(t.events)
+    partitions = [r["partition"] for r in records.select("partition").distinct().collect()]  # few, by the fixture
+    in_files(records, f"{path}/topic", ["timestamp", "partition", "offset"])
+    stream = offsets.observed_offsets(file_topic(t.spark, f"{path}/topic", max_files_per_trigger=1), "app_log", partitions)
+    name = f"offsets_{path[-8:]}"
+    saving = SavesOffsets(t.spark, offset_ledger(f"{path}/ledger"), GROUP, name, topic="app_log", snapshot_every=2)
+    t.spark.streams.addListener(saving)
+    try:
+        finished(run_dau(stream, f"{path}/index", f"{path}/rejects", f"{path}/checkpoint", trigger=ONCE, name=name))
+        saving.wait()
+    finally:
+        t.spark.streams.removeListener(saving)
+    return saving.ledger.read(t.spark)
+
+
 @query
 def start_hourly(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "start_hourly")

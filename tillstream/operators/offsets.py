@@ -7,7 +7,7 @@ stream where another consumer stopped.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,3 +69,27 @@ def resume(records: DataFrame, saved: DataFrame, starting: str = "latest") -> Da
         known = F.broadcast(known)
     joined = records.join(known, "partition", "left")
     return joined.filter(F.col("offset") >= F.coalesce("_from", F.lit(0))).drop("_from").select(*records.columns)
+
+
+def observed_offsets(records: DataFrame, topic: str, partitions: Iterable[int], name: str = "offsets") -> DataFrame:
+    """The same stream, with the range of offsets of each partition reported in every batch as metric `name`.
+
+    It is for sources whose own progress is not in offsets of the topic, such as files. One number each way for each of
+    the topic's partitions, taken on the way; rows of other partitions or topics are counted as `other`.
+    """
+    known = sorted(set(partitions))
+    here = F.coalesce((F.col("topic") == topic) & F.col("partition").isin(known), F.lit(False))
+    ends = [
+        end(F.when(here & (F.col("partition") == p), F.col("offset"))).alias(f"{label}_{p}")
+        for p in known for label, end in (("first", F.min), ("last", F.max))
+    ]
+    return records.observe(name, F.count_if(~here).alias("other"), *ends)
+
+
+def observed_ranges(spark: SparkSession, observed: Mapping, topic: str) -> DataFrame:
+    """Ranges of one batch from that metric; partitions without rows are absent."""
+    ranges = [
+        (topic, int(label.removeprefix("first_")), first, observed[f"last_{label.removeprefix('first_')}"] + 1)
+        for label, first in observed.items() if label.startswith("first_") and first is not None
+    ]
+    return spark.createDataFrame(ranges, "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT")

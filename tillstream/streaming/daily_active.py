@@ -80,8 +80,9 @@ def start_dau(
     trigger: dict | None = None,
     fold_every: int = 200,
     open_days: int = 2,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Maintain the daily-active index, a folder per day of the log.
+    """Maintain the daily-active index, a folder per day of the log. The `name` is for listeners, such as `SavesOffsets`.
 
     Every `fold_every` batches the folders of closed days, all but the newest `open_days`, are folded into one a day.
     """
@@ -97,8 +98,9 @@ def start_dau(
             batch.unpersist()
 
     opens = counted(first_opens(start_records, keep_for), "dau_index", F.col("reason").isNull())
+    writer = opens.writeStream.queryName(name) if name else opens.writeStream
     return (
-        opens.writeStream.foreachBatch(write)
+        writer.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_5_SECONDS))
         .start()
