@@ -18,7 +18,7 @@ def chains(text):
     out = set()
     for i, w in enumerate(words):
         if w in ss.ANCHORS:
-            out.add((w, *[x for x in words[i + 1:i + 1 + ss.REACH] if x not in ss.ANCHORS][:ss.CHAIN]))
+            out.add((w, *[x for x in words[i + 1:] if x not in ss.ANCHORS][:ss.CHAIN]))
     return out or {("", *words[i:i + ss.CHAIN]) for i in range(len(words))}
 
 
@@ -82,3 +82,33 @@ def test_similar_pairs_against_all(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, signs array<bigint>")
     got = sorted((r.a, r.b, round(r.likeness, 9)) for r in ss.similar_pairs(df).collect())
     assert got == want and len(want) > 10
+
+
+def test_every_link_of_every_document(spark):
+    rng = random.Random(8)
+    sets = [sorted(rng.sample(range(40), rng.randint(5, 20))) for _ in range(25)]
+    sets += [sorted({*s, 50 + i}) for i, s in enumerate(sets[:12])]  # near
+    sets += [s for s in sets for _ in range(rng.randint(0, 4))]  # copies
+    sets += [[], []]
+    rows = list(enumerate(sets))
+    want = {
+        i: (min(j for j, t in rows if t == s), sum(j != i and jaccard(set(s), set(t)) >= 0.8 for j, t in rows)) for i, s in rows
+    }
+    df = spark.createDataFrame([*rows, (None, sets[0])], "doc_id bigint, signs array<bigint>")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ss.similar_documents(df).collect()}
+    assert got == want and len({c for c, _ in want.values()}) < len(rows) - 20
+    assert ss.similar_documents(df.limit(0)).count() == 0
+
+
+def test_five_equal_texts_are_one_class(spark):
+    docs = spark.createDataFrame([(i, "The cat and the dog are in a house") for i in range(5)], "doc_id bigint, text string")
+    signed = docs.select("doc_id", ss.signatures(F.col("text")).alias("signs"))
+    assert {tuple(r) for r in ss.similar_documents(signed).collect()} == {(i, 0, 4) for i in range(5)}
+
+
+def test_chains_reach_over_any_number_of_anchors(spark):
+    text = "the " + "of a " * 40 + "far word"
+    docs = spark.createDataFrame([(1, text), (2, "the far word"), (3, "word and"), (4, "no such words")], "doc_id bigint, text string")
+    got = {r.doc_id: set(r.signs) for r in docs.select("doc_id", ss.signatures(F.col("text")).alias("signs")).collect()}
+    assert len(got[1]) == len(chains(text)) == 3 and got[2] <= got[1]
+    assert len(got[3]) == 1 and len(got[4]) == 3

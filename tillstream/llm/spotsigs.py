@@ -13,35 +13,38 @@ ANCHORS = [
     "un", "une", "das", "dem", "den", "der", "die", "ein", "eine", "ist", "mit", "nicht", "sich", "und", "von", "zu", "con",
     "del", "el", "los", "por", "se", "su",
 ]
-CHAIN, REACH = 2, 12
+CHAIN = 2
 SIMILAR = 0.8
 
 
-def signatures(text: Column, chain: int = CHAIN, reach: int = REACH) -> Column:
+def signatures(text: Column, chain: int = CHAIN) -> Column:
     """Sorted distinct hashes of a text's chains.
 
-    Words are runs of letters and digits, lower-cased. A chain is an anchor with the first `chain` other words among
-    the `reach` words after it, fewer at the end of a text. A text without an anchor has a chain at each word instead,
-    so that every text with a word has signatures; null texts and texts without words have none.
+    Words are runs of letters and digits, lower-cased. A chain is an anchor with the next `chain` other words, however
+    far they are, fewer at the end of a text. A text without an anchor has a chain at each word instead, so that every
+    text with a word has signatures; null texts and texts without words have none.
     """
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.transform(F.array(words), lambda ws: _hashed_chains(ws, chain, reach))[0]
+    return F.transform(F.array(words), lambda ws: _hashed_chains(ws, chain))[0]
 
 
-def _hashed_chains(words: Column, chain: int, reach: int) -> Column:
+def _hashed_chains(words: Column, chain: int) -> Column:
     # Content words keep their text, anchors become null, once for a text
     marked = F.transform(words, lambda w: F.when(~w.isin(ANCHORS), w))
 
-    def chains(ms: Column) -> Column:
+    def chains(pair: Column) -> Column:
+        marks, content = pair["marks"], pair["content"]
         places = F.sequence(F.lit(1), F.size(words))
-        spots = F.filter(places, lambda i: F.get(ms, i - 1).isNull())
-        anchored = F.transform(spots, lambda i: F.xxhash64(
-            F.get(words, i - 1), F.array_join(F.slice(F.array_compact(F.slice(ms, i + 1, F.lit(reach))), 1, chain), " ")
+        spots = F.filter(places, lambda i: F.get(marks, i - 1).isNull())
+        # Before the k-th anchor (from 0), at place i (from 1), stand i - 1 - k content words
+        anchored = F.transform(spots, lambda i, k: F.xxhash64(
+            F.get(words, i - 1), F.array_join(F.slice(content, i - k, F.lit(chain)), " ")
         ))
         plain = F.transform(places, lambda i: F.xxhash64(F.lit(""), F.array_join(F.slice(words, i, F.lit(chain)), " ")))
         return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).when(F.size(spots) > 0, anchored).otherwise(plain)
 
-    return F.array_sort(F.array_distinct(F.transform(F.array(marked), chains)[0]))
+    both = F.transform(F.array(marked), lambda m: F.struct(m.alias("marks"), F.array_compact(m).alias("content")))
+    return F.array_sort(F.array_distinct(F.transform(both, chains)[0]))
 
 
 def rendered(signs: Column) -> Column:
@@ -119,17 +122,42 @@ def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def similar_pairs(signed: DataFrame, id_col: str = "doc_id", at_least: float = SIMILAR) -> DataFrame:
-    """`a, b, likeness` of documents (`<id>, signs`) with a likeness of `at_least` or more, smaller id first.
+def classes(signed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """`class_id, n_docs, signs`: the documents with equal signatures (`<id>, signs`), named by the smallest id, and how
+    many they are. Those without signatures are one class. Rows without an id are in none; a repeated row counts again."""
+    known = signed.filter(F.col(id_col).isNotNull() & F.col("signs").isNotNull())
+    return known.groupBy("signs").agg(F.min(id_col).alias("class_id"), F.count(F.lit(1)).alias("n_docs")).select(
+        "class_id", "n_docs", "signs"
+    )
+
+
+def similar_documents(signed: DataFrame, id_col: str = "doc_id", at_least: float = SIMILAR) -> DataFrame:
+    """`<id>, class_id, n_links` for each document with an id: its class of equal signatures, and how many other documents
+    are as alike as `at_least`, those of its own class included. With the pairs of `similar_pairs`, which are of classes,
+    this holds every link, without copies expanded into pairs."""
+    sets = stored(classes(signed, id_col), "classes")
+    pairs = similar_pairs(signed, id_col, at_least, sets)
+    ends = pairs.select("a", "b").union(pairs.select("b", "a"))
+    sizes = sets.select(F.col("class_id").alias("b"), "n_docs")
+    linked = ends.join(sizes, "b").groupBy(F.col("a").alias("class_id")).agg(F.sum("n_docs").alias("_others"))
+    links = (F.col("n_docs") - 1 + F.coalesce("_others", F.lit(0))).alias("n_links")
+    counted = sets.join(linked, "class_id", "left").select("class_id", links, "signs")
+    return signed.select(id_col, "signs").filter(F.col(id_col).isNotNull()).join(counted, "signs").select(id_col, "class_id", "n_links")
 
-    Equal sets are one class and pair through its smallest id. Classes are partitioned by set length: lengths from l to
+
+def similar_pairs(
+    signed: DataFrame, id_col: str = "doc_id", at_least: float = SIMILAR, sets: DataFrame | None = None
+) -> DataFrame:
+    """`a, b, likeness` of classes of documents (`<id>, signs`) with a likeness of `at_least` or more, smaller id first.
+
+    Equal sets are one class (`classes`, or `sets` if they are stored already) and pair through its smallest id. Classes are partitioned by set length: lengths from l to
     l / at_least are compared with l only. Within these, two sets so alike share one of the first
     n - ceil(at_least * n) + 1 signatures of each, in the order of rarity, so only rare ones are joined on, and
-    candidates are pruned by where the shared one stands. Documents without signatures pair with nothing.
+    candidates are pruned by where the shared one stands. Documents without signatures pair
+    with no others. Each id is to have one set: rows repeated with another text are not told apart.
     """
-    sets = stored(
-        signed.filter(F.size("signs") > 0).groupBy("signs").agg(F.min(id_col).alias("id")).select("id", "signs"), "sets"
-    )
+    sets = stored(classes(signed, id_col), "classes") if sets is None else sets
+    sets = sets.filter(F.size("signs") > 0).select(F.col("class_id").alias("id"), "signs")
     seen = sets.select(F.explode("signs").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     ranked = sets.select("id", F.explode("signs").alias("s")).join(seen, "s").groupBy("id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("df", "s"))), lambda x: x["s"]).alias("rare")
