@@ -53,3 +53,28 @@ def test_odd_rows(spark):
     empty = docs.limit(0)
     assert li.identify(empty).count() == 0 and li.keep_identified(empty).count() == 0
     assert li.identify(odd).filter("lang_pred <> 'und' AND lang_pred <> 'en'").count() == 0
+
+
+def test_copies_take_no_places(spark):
+    base = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    model = li.fit_documents(base)
+    texts = base.filter("lang = 'en'").orderBy("doc_id").limit(3)
+    copies = texts.crossJoin(spark.range(700)).selectExpr("100000 + 1000 * doc_id + id AS doc_id", "text", "lang")
+    copied = li.fit_documents(base.union(copies))
+    held = base.filter(li.is_held_out(base.doc_id)).collect()
+    assert len(copied.languages) == len(model.languages)
+    hits = [copied.predict(r.text)[0] == r.lang for r in held if r.lang == "en"]
+    assert len(hits) > 20 and sum(hits) / len(hits) > 0.95
+
+
+def test_very_long_texts_go_as_vectors(spark):
+    long = [(i, f"word{i} and the " * 200_000, "en") for i in range(8)]
+    docs = spark.createDataFrame([*long, *((100 + i, f"le mot {i} et la", "fr") for i in range(8))], "doc_id bigint, text string, lang string")
+    got = li.identify(docs).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id < 100 else "fr") for r in got) and len(got) == 16
+
+
+def test_the_model_is_the_same_however_rows_are_dealt(spark):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one, two = (li.fit_documents(docs) for docs in (base, base.repartition(7, "text")))
+    assert one.languages == two.languages and (one.idf == two.idf).all() and np.allclose(one.centroids, two.centroids)

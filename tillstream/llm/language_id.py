@@ -18,7 +18,7 @@ UNDETERMINED = "und"
 DIMENSIONS = 4096
 ORDERS = 3
 CENTROIDS = 3
-# Labelled texts per language from which centroids are made; counts of n-grams use all of them.
+# Distinct labelled texts per language from which centroids are made; counts of n-grams use all of them.
 PER_LANGUAGE = 500
 # A text is rejected if it is less like its nearest centroid than this part of the likeness of the centroid's
 # least like hundredth of texts.
@@ -105,8 +105,9 @@ class LanguageModel:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS, reject: float = REJECT) -> LanguageModel:
     """Model from `text, lang` rows with neither null.
 
-    Document frequencies count every row. Centroids are made, a language per task, from the `per_language` texts of
-    smallest hash; the driver gets only centroids. No rows: a model that says `und`.
+    Document frequencies count every row. Centroids are made from the `per_language` distinct texts of smallest hash, so
+    copies take no places, a language per task, which gets vectors of fixed length, however long the texts; the driver
+    gets only centroids. No rows: a model that says `und`.
     """
     df_schema = pa.schema([("i", pa.int32()), ("n", pa.int64())])
 
@@ -125,24 +126,29 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int =
         n[i] = count
     idf = np.log((1 + n[-1]) / (1 + n[:-1])) + 1
 
-    sizes = stored(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_size")), "languages")
     order = F.xxhash64("text")
+    sizes = stored(labelled.groupBy("lang").agg(F.count_distinct(order).alias("_size")), "languages")
     likely = join_checked(labelled.select("text", "lang"), sizes, ["lang"]).filter(
         F.pmod(order, F.lit(1 << 30)) * F.col("_size") <= F.lit(2.0 * per_language * (1 << 30))
-    )
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(order, "text"))
+    ).select("lang", "text").distinct()
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(order, F.lit(1 << 30)), "text"))
     sample = likely.withColumn("_turn", turn).filter(F.col("_turn") <= per_language).select("lang", "text")
 
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, text in zip(*batch.columns):
+                if (tf := counts(text.as_py())) is not None:
+                    x = pa.array([weighted(tf, idf)], pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()], pa.string()), x], ["lang", "x"])
+
     def centres(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        vectors = [weighted(tf, idf) for tf in map(counts, rows["text"]) if tf is not None]
-        if not vectors:
-            return pd.DataFrame({"lang": [], "least": [], "centre": []})
-        x = np.stack(vectors)
+        x = np.stack(rows["x"].sort_values(key=lambda v: v.map(np.ndarray.tobytes)))
         made, likeness = cluster(x, centroids)
         own = (x @ made.T).argmax(1)
         least = [reject * float(np.quantile(likeness[own == j], 0.01)) if (own == j).any() else 0.0 for j in range(len(made))]
         return pd.DataFrame({"lang": key[0], "least": least, "centre": [c.astype(np.float32) for c in made]})
 
+    sample = sample.mapInArrow(vectors, "lang string, x array<double>")
     found = sample.groupBy("lang").applyInPandas(centres, "lang string, least double, centre array<float>").collect()
     found = sorted(found, key=lambda r: r.lang)  # `centroids` rows for each language
     return LanguageModel(
