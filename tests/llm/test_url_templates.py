@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,75 @@ def test_branches_below_the_sixth_level(spark):
     groups = [(f"{top}/good/{chr(97 + i)}", 4, False) for i in range(26)] + [(f"{top}/bad/{chr(97 + i)}", 4, True) for i in range(26)]
     got = _judged(spark, groups + [(f"{top}/bad/zz", 1, False)])
     assert got[f"{top}/good/c"] == "allow" and got[f"{top}/bad/c"] == got[f"{top}/bad/zz"] == "block"
+
+
+def plain_templates(paths):
+    """Templates by recursion, segment by segment; `paths`: {segments: (n, labelled, bad)}."""
+    out = {}
+
+    def smoothed(bad, labelled, share):
+        return (bad + ut.PRIOR * share) / (labelled + ut.PRIOR)
+
+    def down(group, at, template):
+        for segs in group:
+            if len(segs) == at:
+                out[segs] = template
+        kids = {}
+        for segs in group:
+            if len(segs) > at:
+                kids.setdefault(segs[at], []).append(segs)
+        total = {k: [sum(paths[s][i] for s in v) for i in range(3)] for k, v in kids.items()}
+        light = {k for k, t in total.items() if t[0] < ut.MIN_SEEN}
+        share = (sum(t[2] for t in total.values()) + 1) / (sum(t[1] for t in total.values()) + 2)
+        steps = {}
+        for k, (_, labelled, bad) in total.items():
+            error = ut.Z * (share * (1 - share) / (labelled + ut.PRIOR)) ** 0.5
+            off = smoothed(bad, labelled, share) - share
+            if len(light) >= ut.MIN_KIDS and k in light:
+                step = "*"
+            elif len(kids) == 1:
+                step = k
+            else:
+                step = "*-" if off < -error else "*" if off <= error else k
+            steps.setdefault(step, []).extend(kids[k])
+        for step, below in steps.items():
+            rests = {s[at + 1:] for s in below}
+            if len(rests) == 1:  # taken as it is
+                out.update({s: "/".join([f"{template}/{step}", *s[at + 1:]]) for s in below})
+            else:
+                down(below, at + 1, f"{template}/{step}")
+
+    down(list(paths), 0, "")
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_templates_are_those_of_a_plain_recursion(spark, seed):
+    rng = np.random.default_rng(seed)
+    paths = {}
+    for _ in range(700):
+        segs = [str(rng.choice(["a", "b", "*", "%2A"])) for _ in range(rng.integers(0, 4))] + ["x", "y"][: rng.integers(0, 3)]
+        segs += [f"s{chr(97 + int(k))}" for k in rng.integers(0, 25, rng.integers(0, 3))]
+        labelled = int(rng.integers(0, 9))
+        paths[tuple(segs)] = (int(rng.integers(1, 12)), labelled, int(rng.binomial(labelled, 0.9 if "b" in segs[:1] else 0.1)))
+    rows = [(h, list(s), *c) for s, c in paths.items() for h in ("h", "other")]
+    df = spark.createDataFrame(rows, "host string, segs array<string>, n bigint, labelled bigint, bad bigint")
+    got = ut.templates(df).collect()
+    want = plain_templates(paths)
+    assert len(got) == 2 * len(want) and all(r.template == want[tuple(r.segs)] for r in got)
+
+
+def test_rounds_follow_branchings_not_depth(spark, monkeypatch):
+    made = []
+    stored = ut.stored
+    monkeypatch.setattr(ut, "stored", lambda df, label: made.append(label) or stored(df, label))
+    deep = "/" + "/".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    got = _judged(spark, [(f"{deep}/one/{deep[1:]}/good", 40, False), (f"{deep}/one/{deep[1:]}/bad", 40, True)])
+    assert made.count("nodes") == 1
+    assert got[f"{deep}/one/{deep[1:]}/good"] == "allow" and got[f"{deep}/one/{deep[1:]}/bad"] == "block"
+
+
+def test_a_literal_star_is_no_wildcard(spark):
+    groups = [(f"/{chr(97 + i)}/p", 40, False) for i in range(12)] + [("/*/p", 40, True)]
+    got = _judged(spark, groups)
+    assert got.pop("/*/p") == "block" and set(got.values()) == {"allow"}

@@ -36,11 +36,13 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
 
 
 def segments(path: Column, levels: int | None = LEVELS) -> Column:
-    """Segments without empty ones, each run of digits being `{n}` and each long run of hex digits `{x}`; without `levels`, all."""
+    """Segments without empty ones, each run of digits being `{n}` and each long run of hex digits `{x}`; without `levels`,
+    all. A star is written `%2A`, so that no segment has the name of a wildcard."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.regexp_replace(
         F.regexp_replace(s, r"(?i)\b(?=[a-f]*[0-9])[0-9a-f]{8,}\b", "{x}"), r"[0-9]+", "{n}"
     ))
+    parts = F.transform(parts, lambda s: F.replace(s, F.lit("*"), F.lit("%2A")))
     if levels is None:
         return parts
     deep = F.array_join(F.slice(parts, levels, F.greatest(F.size(parts), F.lit(1))), "/")
@@ -51,24 +53,31 @@ def _smoothed(bad: str, labelled: str, share: Column) -> Column:
     return (F.col(bad) + PRIOR * share) / (F.col(labelled) + PRIOR)
 
 
+def _below(template: str, chain: Column) -> Column:
+    return F.concat(template, F.when(F.size(chain) > 0, F.concat(F.lit("/"), F.array_join(chain, "/"))).otherwise(""))
+
+
 def templates(paths: DataFrame) -> DataFrame:
     """`host, segs, template` of distinct paths (`host, segs, n, labelled, bad`: pages, labelled and bad ones).
 
-    Level by level below each host, each child is judged by itself. The light children of a variable node become `*`. Of
-    the others, those whose smoothed bad share is within Z standard errors of all siblings' together are alike and merge
-    into one `*`; a branch that differs stays apart and has a subtree of its own. Counts combine map-side, and hosts
-    share no task by design: the keys hold the segment. Each level is written, so that the plan does not double with
-    depth. Levels go on while some template has paths with different rests; a rest without branches is taken as it is.
+    From each host down, each child is judged by itself. The light children of a variable node become `*`. Of the
+    others, those whose smoothed bad share is within Z standard errors of all siblings' together are alike and merge
+    into one `*`; a branch that differs stays apart and has a subtree of its own. Segments that all paths of a node go
+    on with are passed in one step, a rest that all of them share is taken as it is: there is a round for each branching
+    on the way down, not for each segment. Counts combine map-side, and hosts share no task by design: the keys hold the
+    segment. Each round is written, so that the plan does not double with depth.
     """
-    tree, ended, level = paths.withColumn("template", F.lit("")), None, 0
+    tree, ended = paths.withColumns({"template": F.lit(""), "at": F.lit(0)}), None
+    columns = [*paths.columns, "template", "at"]
     while True:
-        rest = F.array_join(F.slice("segs", F.lit(level + 1), F.size("segs")), "/")
-        branches = tree.groupBy("host", "template").agg((F.min(rest) < F.max(rest)).alias("branches"))
-        marked = stored(join_checked(tree, stored(branches, "branches"), ["host", "template"]), "marked")
-        whole = F.concat("template", F.when(rest == "", "").otherwise(F.concat(F.lit("/"), rest)))
-        done = marked.filter("NOT branches").withColumn("template", whole).select(*paths.columns, "template")
+        rest = F.slice("segs", F.col("at") + 1, F.size("segs"))
+        differ = F.zip_with(F.min(rest), F.max(rest), lambda low, high: ~low.eqNullSafe(high))
+        ahead = tree.groupBy("host", "template").agg(F.array_position(differ, True).cast("int").alias("branch"))
+        marked = stored(join_checked(tree, stored(ahead, "ahead"), ["host", "template"]), "marked")
+        done = marked.filter("branch = 0").withColumn("template", _below("template", rest)).select(*paths.columns, "template")
         ended = done if ended is None else ended.union(done)
-        here = marked.filter("branches").drop("branches").withColumn("seg", F.get("segs", F.lit(level)))
+        here = marked.filter("branch > 0").withColumn("template", _below("template", F.slice("segs", F.col("at") + 1, F.col("branch") - 1)))
+        here = here.withColumn("at", F.col("at") + F.col("branch")).withColumn("seg", F.get("segs", F.col("at") - 1)).drop("branch")
         if here.isEmpty():
             return stored(ended, "tree")
         nodes = here.filter("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
@@ -89,7 +98,7 @@ def templates(paths: DataFrame) -> DataFrame:
         merged = joined.select("host", "template", "seg", step.alias("step"))
         tree = join_checked(here, stored(merged, "steps"), ["host", "template", "seg"], "left")
         tree = tree.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "step"), F.lit(""))))
-        tree, level = stored(tree.select(*paths.columns, "template"), "tree"), level + 1
+        tree = stored(tree.select(*columns), "tree")
 
 
 def judge(
