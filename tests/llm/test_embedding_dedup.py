@@ -47,6 +47,28 @@ def test_links_and_recall(spark):
     assert np.mean([got[i][1] == want[i][1] for i in want]) > 0.97
 
 
+def test_recall_by_band_and_few_candidates(spark):
+    """Pairs planted at cosines from 0.93 on are found in each band, and unlike vectors are hardly ever compared."""
+    rng = np.random.default_rng(4)
+    rows, planted_at = [], {}
+    for k in range(0, 3000, 2):
+        x, noise = rng.normal(size=(2, 64))
+        x /= np.linalg.norm(x)
+        noise -= (noise @ x) * x
+        cosine = rng.uniform(0.931, 0.999)
+        y = cosine * x + (1 - cosine**2) ** 0.5 * noise / np.linalg.norm(noise)
+        rows += [(k, x.tolist(), 0), (k + 1, y.tolist(), 0)]
+        planted_at[k] = cosine
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in ed.link_vectors(df).collect()}
+    for low, high in ((0.931, 0.94), (0.94, 0.96), (0.96, 1.0)):
+        band = [k for k, c in planted_at.items() if low <= c < high]
+        recall = np.mean([got[k] >= 1 and got[k + 1] >= 1 for k in band])
+        assert len(band) > 100 and recall > (0.95 if low < 0.94 else 0.99), (low, recall)
+    coded = ed._coded(ed._classed(df, "vec_id", "embedding", "label").select("c", "label", "v"), ed.FITTED)
+    assert ed.candidates(coded, ed.APART).count() < len(planted_at) + 0.0003 * len(rows) ** 2 / 2
+
+
 def test_bits_are_balanced():
     x = np.array([v for _, v, _ in planted(2, 300)]) + 0.5
     mean, rotation = ed.fit_rotation(x, 64)
