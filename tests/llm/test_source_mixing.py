@@ -75,6 +75,12 @@ def test_rare_categories_do_not_set_the_yield(spark):
         assert out.loc[out["source"] == "rare", "_off_source"].iloc[0] < -1e-3
 
 
+def test_no_least_yield_meets_the_targets_exactly(spark):
+    out = sm.mixed(_rare(spark), topic_col="topic", least_kept=0.0).toPandas()
+    assert (out["_tokens"] * out["_probability"]).sum() / out["_tokens"].sum() < sm.LEAST_KEPT
+    assert all(out[f"_off_{d}"].abs().max() < 1e-9 for d in sm.DIMENSIONS)
+
+
 def test_clipped_cells_leave_the_others_on_target():
     codes = np.array([[s, l] for s in range(4) for l in range(3)]).T
     tokens = np.array([9e5, 4e5, 3e5, 5e5, 6e5, 2e5, 8e5, 1e5, 7e5, 30, 20, 10])

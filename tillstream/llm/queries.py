@@ -14,7 +14,7 @@ from tillstream.llm.language_id import identify
 from tillstream.llm.line_dedup import dedup_lines
 from tillstream.llm.lm_scoring import score_documents
 from tillstream.llm.simhash import simhash_groups
-from tillstream.llm.source_mixing import mixed
+from tillstream.llm.source_mixing import DIMENSIONS, mixed
 from tillstream.llm.spelling import spelling_forms
 from tillstream.llm.spotsigs import fingerprint_table, likeness, rendered
 from tillstream.llm.url_templates import document_labels, judge
@@ -88,6 +88,7 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
         F.col("_weight").alias("weight"), F.col("_probability").alias("probability"), F.col("_kept").alias("kept"),
+        *[F.col(f"_off_{d}").alias(f"off_{d}") for d in DIMENSIONS],
     )
 
 

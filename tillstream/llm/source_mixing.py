@@ -17,7 +17,8 @@ TOPICS = 8
 # A target share is proportional to the tokens to this power: between 1 (as they are) and 0 (all equal).
 FLATTEN = 0.7
 SEED = 10
-# Without an explicit share, no less of all tokens is kept, however rare a category is.
+# The yield: the share of all tokens that is kept at least, however rare a category is. A setting of `mixed`, to be chosen
+# by how many tokens are wanted; what it costs is in the `_off_` columns.
 LEAST_KEPT = 0.4
 _NULL = "\x00"
 
@@ -83,18 +84,19 @@ def _scale(weights: np.ndarray, room: np.ndarray, total: float) -> float:
 
 
 def probabilities(
-    tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], weights: np.ndarray, keep: float | None = None
+    tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], weights: np.ndarray, keep: float | None = None,
+    least_kept: float = LEAST_KEPT,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and probabilities of the cells, which keep the share `keep` of all tokens in expectation.
 
     `weights` are the raked ones. As long as none is over 1 at that share, they are only scaled. Else probabilities are
     the weights clipped at 1, and the weights are raked again with clipped cells counted as clipped, to the targets as
-    far as a category's tokens suffice. No `keep`: what the raked weights keep with the largest at 1, or LEAST_KEPT.
+    far as a category's tokens suffice. No `keep`: what the raked weights keep with the largest at 1, or `least_kept` if more.
     """
     total = tokens.sum()
     exact = (tokens * weights).sum() / weights.max() / total
     if keep is None:
-        keep = max(exact, LEAST_KEPT)
+        keep = max(exact, least_kept)
     if keep <= exact:
         return weights, weights / weights.max() * (keep / exact)
     goal = min(keep * total, tokens[weights > 0].sum())
@@ -115,13 +117,14 @@ def probabilities(
 def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, flatten: float = FLATTEN, topic_col: str | None = None,
     seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", keep: float | None = None,
+    least_kept: float = LEAST_KEPT,
 ) -> DataFrame:
     """The documents with `_topic, _tokens, _weight, _probability, _kept, _off_source, _off_lang, _off_topic` added.
 
     Tokens are words between ASCII white space. Their counts by (source, language, topic) are raked to the target
     shares: of `targets` for the dimensions it names (values it leaves out get nothing), else proportional to tokens to
     the power `flatten`. Probabilities are in proportion to the weights and keep the share `keep` of all tokens: as much
-    as meets the targets exactly if it is not given, but LEAST_KEPT at least. Where that takes cells at more than 1, they
+    as meets the targets exactly if it is not given, but `least_kept` at least (0: always exact). Where that takes cells at more than 1, they
     are clipped and the others raked again, see `probabilities`; `_off_<dimension>` is then how far the expected share of
     a row's category is from its target (0 where it is met; null in cells without tokens). A document is kept if a number in [0, 1) made from
     its id and text is under its probability: the same in every run and on every executor. Null categories are a
@@ -153,7 +156,7 @@ def mixed(
     chances = weights
     if len(cells):
         tokens = cells["n"].to_numpy(float)
-        weights, chances = probabilities(tokens, np.array(codes), shares, weights, keep)
+        weights, chances = probabilities(tokens, np.array(codes), shares, weights, keep, least_kept)
     cells["_weight"], cells["_probability"] = weights, chances
     for d, code, share in zip(DIMENSIONS, codes, shares):
         have = np.bincount(code, cells["n"].to_numpy(float) * chances, len(share))
