@@ -41,10 +41,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`doc_id, n_tokens, ids, text`: token ids, and the text that they decode to."""
+    """`doc_id, n_tokens, ids, text`: token ids, and the text that they decode to. The ids are written between, so that
+    no task holds an encoder and a decoder at once."""
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = file.read()
-    ids = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    ids = stored(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), "ids")
     back = byte_bpe.decode(ids, ranks, public_tokenizers.PATTERN)
     return back.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("text"))
 
