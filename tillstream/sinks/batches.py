@@ -73,6 +73,16 @@ def read_day_index(
     return chosen.select(*columns)
 
 
+def keys_of_days(
+    spark: SparkSession, root: str, schema: str, dates: list[str], key: str, before: int | None = None, day: str = "dt"
+) -> DataFrame:
+    """Day and key of the documents of these days, repeats allowed; with `before`, of batches before that one only."""
+    if not fs.exists(spark, root):
+        return spark.createDataFrame([], schema).select(day, key)
+    rows = _day_rows(spark, root, schema, day).filter(F.col(day).isin(dates))
+    return (rows if before is None else rows.filter(F.col("batch_id") < before)).select(day, key)
+
+
 def read_daily_active(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """The daily-active index: each day's devices once, as first written."""
     return read_day_index(spark, root, schema, key="mid", first=True)

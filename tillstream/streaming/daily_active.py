@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -7,10 +9,11 @@ from tillstream.operators.logs import dau_record, derive_dt_hr, parse_app_log
 from tillstream.operators.records import rejected, text_of_rejects_only
 from tillstream.operators.serving import first_seen
 from tillstream.schemas import DAU
-from tillstream.sinks.batches import counted, fold_closed_days, write_day_index, write_rejects
+from tillstream.sinks.batches import counted, fold_closed_days, keys_of_days, write_day_index, write_rejects
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.rollup import HourlyActives, add_counts
 from tillstream.sinks.topics import EVERY_5_SECONDS
+from tillstream.streaming.day_state import first_of_days, is_closed
 
 EVERY_10_MINUTES = {"processingTime": "10 minutes"}
 
@@ -32,6 +35,11 @@ def collapse_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.mapInArrow(first_of_each, rows.schema)
 
 
+def _dated(start_records: DataFrame) -> DataFrame:
+    parsed = text_of_rejects_only(parse_app_log(start_records)).drop("start")
+    return derive_dt_hr(parsed.withColumn("ts", F.when(F.col("reason").isNull(), F.col("ts"))))
+
+
 def first_opens(start_records: DataFrame, keep_for: str = "1 day") -> DataFrame:
     """Streaming form of the daily-active table: first arrival per day and device, plus every reject.
 
@@ -40,9 +48,7 @@ def first_opens(start_records: DataFrame, keep_for: str = "1 day") -> DataFrame:
     a device with a wrong clock loses rows. A device that comes back for the same day after its state has gone is
     written again; readers of the index take the first of both. Rejects do not pass the de-duplication.
     """
-    parsed = text_of_rejects_only(parse_app_log(start_records)).drop("start")
-    logs = derive_dt_hr(parsed.withColumn("ts", F.when(F.col("reason").isNull(), F.col("ts"))))
-    seen_at = logs.withColumn("_seen_at", F.current_timestamp())
+    seen_at = _dated(start_records).withColumn("_seen_at", F.current_timestamp())
     good = seen_at.filter(F.col("reason").isNull())
     opens = (
         collapse_repeats(good, ["dt", "mid"])
@@ -52,6 +58,27 @@ def first_opens(start_records: DataFrame, keep_for: str = "1 day") -> DataFrame:
     return opens.unionByName(seen_at.filter(F.col("reason").isNotNull())).drop("_seen_at")
 
 
+def first_opens_by_day(start_records: DataFrame, index_path: str, open_hours: int) -> DataFrame:
+    """The same with a state that ends with its day: a device is remembered until `open_hours` after the day's end, by the
+    clock of the processing. A new checkpoint starts from the index's rows of the days still open."""
+    spark, logs = start_records.sparkSession, _dated(start_records)
+    good = collapse_repeats(logs.filter(F.col("reason").isNull()), ["dt", "mid"])
+    today = spark.sql("SELECT current_date() AS d").first().d
+    days = [str(today + timedelta(days=n)) for n in range(-1 - -(-open_hours // 24), 2)]
+    opens = first_of_days(good, keys_of_days(spark, index_path, DAU, days, "mid").distinct(), open_hours)
+    return opens.unionByName(logs.filter(F.col("reason").isNotNull()))
+
+
+def without_indexed(opens: DataFrame, index_path: str, batch_id: int, open_hours: int) -> DataFrame:
+    """Opens without those of closed days that an earlier batch wrote. Only the folders of those days are read, and none
+    if all days are open; rejects pass."""
+    days = [r.dt for r in opens.filter(is_closed(F.col("dt"), open_hours)).select("dt").distinct().collect()]
+    if not days:
+        return opens
+    known = keys_of_days(opens.sparkSession, index_path, DAU, days, "mid", before=batch_id)
+    return opens.join(known, ["dt", "mid"], "left_anti")
+
+
 def new_devices(opens: DataFrame, seen: DataFrame) -> DataFrame:
     """First-seen rows to upsert: devices unknown so far, or now known from an earlier day, and `known_dt`, the day known
     before."""
@@ -81,23 +108,36 @@ def start_dau(
     fold_every: int = 200,
     open_days: int = 2,
     name: str | None = None,
+    open_hours: int | None = None,
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Maintain the daily-active index, a folder per day of the log. The `name` is for listeners, such as `SavesOffsets`.
 
     Every `fold_every` batches the folders of closed days, all but the newest `open_days`, are folded into one a day.
+
+    With `open_hours` a device is remembered until so long after its day's end instead of `keep_for`
+    (`first_opens_by_day`), and rows of closed days are looked up in the index: no device is written twice for a day, but
+    for one whose clock was first over a day ahead. A new checkpoint goes on with an index by `first_batch`, a number
+    over all batches that the index has.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first_batch
         if batch_id and batch_id % fold_every == 0:
             fold_closed_days(batch.sparkSession, index_path, DAU, "mid", open_days, before=batch_id, first=True)
         batch = batch.persist()
         try:
-            opens = dau_record(batch.filter(F.col("reason").isNull()))
+            if open_hours is not None:
+                fresh = without_indexed(batch, index_path, batch_id, open_hours)
+            else:
+                fresh = batch
+            opens = dau_record(fresh.filter(F.col("reason").isNull()))
             write_day_index(opens, index_path, batch_id)
             write_rejects(rejected(batch), rejects_path, batch_id)
         finally:
             batch.unpersist()
 
-    opens = counted(first_opens(start_records, keep_for), "dau_index", F.col("reason").isNull())
+    found = first_opens(start_records, keep_for) if open_hours is None else first_opens_by_day(start_records, index_path, open_hours)
+    opens = counted(found, "dau_index", F.col("reason").isNull())
     writer = opens.writeStream.queryName(name) if name else opens.writeStream
     return (
         writer.foreachBatch(write)
