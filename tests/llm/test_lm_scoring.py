@@ -96,3 +96,27 @@ def test_probabilities_of_all_tokens_sum_to_one(spark):
     assert words.total == sum(len(t.split()) + 1 for t in texts) and words.distinct == 7 and words.known == 2
     share = [(c + 0.1) / words.other_mass for t, k in words.ids.items() if k > words.known for c in [words.counts[k]]]
     assert math.isclose(sum(share) + 0.1 / words.other_mass, 1)
+
+
+def test_every_training_text_is_learned_once(spark, tmp_path, monkeypatch):
+    """The model goes through each text in one shard of one round, however large the corpus is said to be."""
+    rows = [(i, f"w{i} " * (i % 7 + 1)) for i in range(300)] + [(400, "same id"), (400, "other text")]
+    docs = lm._keyed(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text")
+    words = lm.frequent_words(lm.token_counts(lm._training(docs)), frequent=1000, vocabulary=1000)
+    large = lm.Words(words.ids, words.counts, words.known, 100_000_000, words.distinct)
+    seen = str(tmp_path)
+
+    class Noted(Gru):
+        def train(self, texts, **kwargs):
+            import uuid
+
+            np.save(f"{seen}/{uuid.uuid4().hex}.npy", np.concatenate(texts))
+            return Gru(self.at)
+
+    monkeypatch.setattr(lm.Gru, "start", classmethod(lambda cls, *a, **k: Noted({"E": np.zeros((2, 2), np.float32)})))
+    monkeypatch.setattr(lm.Gru, "filled", lambda self, values: self)
+    lm.train(lm._training(docs), large)
+    passed = [np.load(p) for p in tmp_path.iterdir()]
+    assert len(passed) > 20
+    got = Counter(np.concatenate(passed).tolist())
+    assert got == {k: int(c) for k, c in enumerate(words.counts) if k}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,18 +12,18 @@ LN10 = float(np.log(10))
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.exp(np.negative(x, out=x), out=x)
+    return np.reciprocal(np.add(x, 1, out=x), out=x)
 
 
-def _log_softmax(x):
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _with_ones(x):
+    return np.concatenate((x, np.ones((1, x.shape[1]), x.dtype)))
 
 
-def _picked(logits, columns):
-    """Log-probability of one column in each row. Logits here stay far from the limits of exp."""
-    own = logits[np.arange(len(logits)), columns].astype(np.float64)
-    return own - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype))
+def _exp_and_sums(logits):
+    """In place, and the sums of the columns. Logits here stay far from the limits of exp."""
+    return np.exp(logits, out=logits), np.ones(len(logits), logits.dtype) @ logits
 
 
 @dataclass
@@ -60,110 +61,165 @@ class Gru:
             k += v.size
         return Gru(out)
 
-    def step(self, h: np.ndarray, x: np.ndarray):
-        n, p = self.hidden, self.at
-        g, a = h @ p["U"], p["E"].take(x, 0)
-        a += p["b"]
-        gates = _sigmoid(a[:, :2 * n] + g[:, :2 * n])
-        r, z = gates[:, :n], gates[:, n:]
-        new = np.tanh(a[:, 2 * n:] + r * g[:, 2 * n:])
-        return h + z * (new - h), (r, z, new, g[:, 2 * n:])
-
-    def _by_class(self, words: np.ndarray):
-        """Rows of each class that occurs, for one matrix product a class."""
-        classes = words // MEMBERS
-        order = np.argsort(classes, kind="stable")
-        cuts = np.flatnonzero(np.diff(classes[order], prepend=-1))
-        return classes, [(int(classes[order[s]]), order[s:e]) for s, e in zip(cuts, [*cuts[1:], len(order)])]
+    def _start_of_step(self, words: np.ndarray) -> np.ndarray:
+        """What words bring into the gates: a column for each."""
+        return self.at["E"].take(words.ravel(), 0).T + self.at["b"][:, None]
+
+    def step(self, h: np.ndarray, a: np.ndarray):
+        """`h` and `a` (words as gates' inputs) hold a column for each lane."""
+        n = self.hidden
+        g = self.at["U"].T @ h
+        gates = _sigmoid(a[:2 * n] + g[:2 * n])
+        r, z = gates[:n], gates[n:]
+        new = r * g[2 * n:]
+        new += a[2 * n:]
+        np.tanh(new, out=new)
+        out = new - h
+        out *= z
+        out += h
+        return out, (r, z, new, g[2 * n:])
+
+    def _by_word(self, words: np.ndarray):
+        """The order of words, and the range of each class that occurs in that order, for one matrix product a class."""
+        order = np.argsort(words.astype(np.uint16) if len(self.at["E"]) <= 1 << 16 else words, kind="stable")
+        classes = words[order] // MEMBERS
+        cuts = np.flatnonzero(np.diff(classes, prepend=-1))
+        return order, [(int(classes[s]), int(s), int(e)) for s, e in zip(cuts, [*cuts[1:], len(order)])]
+
+    def _outputs(self):
+        """Weights of classes and members, with their biases as a last row."""
+        p = self.at
+        return np.concatenate((p["C"], p["c"][None])), np.concatenate((p["W"], p["w"][:, None]), 1)
+
+    def _members(self, weights: np.ndarray, states: np.ndarray, ranges) -> np.ndarray:
+        logits = np.empty((MEMBERS, states.shape[1]), states.dtype)
+        for k, s, e in ranges:
+            np.matmul(weights[k].T, states[:, s:e], out=logits[:, s:e])
+        return logits
 
     def log_probabilities(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of each word after its state."""
-        classes, groups = self._by_class(words)
-        out = _picked(states @ self.at["C"] + self.at["c"], classes)
-        for k, rows in groups:
-            out[rows] += _picked(states[rows] @ self.at["W"][k] + self.at["w"][k], words[rows] % MEMBERS)
+        """Natural logarithm of the probability of each word after its state, a row of `states`."""
+        return self._logs(np.ascontiguousarray(states.T), words)
+
+    def _logs(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
+        order, ranges = self._by_word(words)
+        states, words = _with_ones(states.take(order, 1)), words[order]
+        of_class, of_member = self._outputs()
+        every, found = np.arange(len(words)), np.zeros(len(words))
+        for logits, own in ((of_class.T @ states, words // MEMBERS), (self._members(of_member, states, ranges), words % MEMBERS)):
+            found += logits[own, every]
+            found -= np.log(_exp_and_sums(logits)[1].astype(np.float64))
+        out = np.empty(len(words))
+        out[order] = found
         return out
 
-    def score(self, texts: list[np.ndarray], lanes: int = 512, window: int = 64) -> np.ndarray:
-        """Natural log-likelihood of each whole word sequence, from a zero state that is carried from window to window."""
-        out = np.zeros(len(texts))
-        order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
-        for at in range(0, len(order), lanes):
-            own = order[at:at + lanes]
-            lens = np.array([len(texts[k]) for k in own])
-            h = np.zeros((len(own), self.hidden), self.at["U"].dtype)
-            for start in range(0, int(lens[0]) if len(own) else 0, window):
-                live = int((lens > start).sum())
-                part = np.zeros((window, live), np.int64)
-                for lane in range(live):
-                    words = texts[own[lane]][start:start + window]
-                    part[: len(words), lane] = words
-                left = np.minimum(lens[:live] - start, window)
-                h, states, words, lane_of = h[:live], [], [], []
-                for t in range(int(left[0])):
-                    n = int((left > t).sum())
-                    states.append(h[:n])
-                    words.append(part[t, :n])
-                    lane_of.append(np.arange(n))
-                    moved, _ = self.step(h[:n], part[t, :n])
-                    h = moved if n == live else np.concatenate((moved, h[n:]))
-                found = self.log_probabilities(np.concatenate(states), np.concatenate(words))
-                out[own[:live]] += np.bincount(np.concatenate(lane_of), found, live)
-        return out
+    def _states(self, words: np.ndarray, starts: np.ndarray, h: np.ndarray):
+        """The state before each word of a window (steps x lanes), what its steps keep, and the state after it; a column
+        for each lane. The state is zero where a text starts."""
+        lanes, inputs = words.shape[1], self._start_of_step(words)
+        going = (~starts).astype(h.dtype)
+        before, parts = [], []
+        for t in range(len(words)):
+            h = h * going[t]
+            before.append(h)
+            h, kept = self.step(h, inputs[:, t * lanes:(t + 1) * lanes])
+            parts.append(kept)
+        return before, parts, h, going
+
+    def score(self, texts: list[np.ndarray], lanes: int = 512, window: int = 32) -> np.ndarray:
+        """Natural log-likelihood of each whole word sequence, from a zero state that is carried from window to window.
+
+        The texts are laid end to end in lanes of about the longest one's length.
+        """
+        lens = np.array([len(t) for t in texts], np.int64)
+        out = np.zeros(len(texts) + 1)  # the last for what is beyond a lane's end
+        lanes = min(lanes, -(-int(lens.sum()) // max(int(lens.max(initial=0)), 1)))
+        if not lanes:
+            return out[:-1]
+        filled = [(0, lane) for lane in range(lanes)]
+        places = []
+        for k in np.argsort(-lens, kind="stable").tolist():
+            at, lane = filled[0]
+            places.append((k, lane, at))
+            heapq.heapreplace(filled, (at + int(lens[k]), lane))
+        steps = max(at for at, _ in filled)
+        words, owner = np.zeros((lanes, steps), np.int32), np.full((lanes, steps), len(texts), np.int32)
+        starts = np.zeros((lanes, steps + 1), bool)
+        for k, lane, at in places:
+            words[lane, at:at + lens[k]], owner[lane, at:at + lens[k]], starts[lane, at] = texts[k], k, True
+        h = np.zeros((self.hidden, lanes), self.at["U"].dtype)
+        for at in range(0, steps, window):
+            part = slice(at, min(at + window, steps))
+            own = np.ascontiguousarray(words[:, part].T)
+            before, _, h, _ = self._states(own, starts[:, part].T, h)
+            out += np.bincount(owner[:, part].T.ravel(), self._logs(np.concatenate(before, 1), own.ravel()), len(out))
+        return out[:-1]
 
     def gradients(self, words: np.ndarray, starts: np.ndarray, h: np.ndarray):
-        """Summed loss of a window (steps x lanes), its gradients, and the state after it.
+        """Summed loss of a window (steps x lanes), its gradients, and the state after it (lanes x hidden).
 
         `starts` is true where a word is its text's first: the state is zero there. Errors go back to the window's
         first step and no further; the state goes on into the next window.
         """
         p, n = self.at, self.hidden
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        before, parts = [], []
-        for x, first in zip(words, starts):
-            h = np.where(first[:, None], 0, h).astype(h.dtype)
-            before.append(h)
-            h, kept = self.step(h, x)
-            parts.append(kept)
-        states, flat = np.concatenate(before), words.ravel()
-        classes, groups = self._by_class(flat)
-        logs = _log_softmax(states @ p["C"] + p["c"])
-        every = np.arange(len(flat))
-        loss = -float(logs[every, classes].sum())
-        d = np.exp(logs)
-        d[every, classes] -= 1
-        grads["C"], grads["c"] = states.T @ d, d.sum(0)
-        d_states = d @ p["C"].T
-        for k, rows in groups:
-            logs = _log_softmax(states[rows] @ p["W"][k] + p["w"][k])
-            member = flat[rows] % MEMBERS
-            loss -= float(logs[np.arange(len(rows)), member].sum())
-            d = np.exp(logs)
-            d[np.arange(len(rows)), member] -= 1
-            grads["W"][k], grads["w"][k] = states[rows].T @ d, d.sum(0)
-            d_states[rows] += d @ p["W"][k].T
-        d_states = d_states.reshape(*words.shape, n)
-        d_inputs = np.zeros((*words.shape, 3 * n), h.dtype)
+        (steps, lanes), flat = words.shape, words.ravel()
+        before, parts, h, going = self._states(words, starts, h.T)
+        order, ranges = self._by_word(flat)
+        states, found = _with_ones(np.concatenate(before, 1).take(order, 1)), flat[order]
+        of_class, of_member = self._outputs()
+        every, loss = np.arange(len(flat)), 0.0
+
+        def errors(logits, own):
+            nonlocal loss
+            loss -= float(logits[own, every].sum(dtype=np.float64))
+            d, sums = _exp_and_sums(logits)
+            loss += float(np.log(sums).sum(dtype=np.float64))
+            d *= 1 / sums
+            d[own, every] -= 1
+            return d
+
+        d = errors(of_class.T @ states, found // MEMBERS)
+        grad_c, d_sorted = states @ d.T, p["C"] @ d
+        d = errors(self._members(of_member, states, ranges), found % MEMBERS)
+        grad_w = np.zeros_like(of_member)
+        for k, s, e in ranges:
+            np.matmul(states[:, s:e], d[:, s:e].T, out=grad_w[k])
+            d_sorted[:, s:e] += p["W"][k] @ d[:, s:e]
+        d_states = np.empty_like(d_sorted)
+        d_states[:, order] = d_sorted
+
+        # Rows of `d_inputs`: reset, update and new gate by their words; `d_new` by the state.
+        d_inputs, d_news = np.empty((3 * n, len(flat)), h.dtype), np.empty((n, len(flat)), h.dtype)
         dh = np.zeros_like(h)
-        for t in range(len(words) - 1, -1, -1):
-            (r, z, new, g), hp = parts[t], before[t]
-            d_new = dh * z * (1 - new * new)
-            d_r, d_z = d_new * g * r * (1 - r), dh * (new - hp) * z * (1 - z)
-            d_inputs[t] = np.concatenate((d_r, d_z, d_new), 1)
-            d_g = np.concatenate((d_r, d_z, d_new * r), 1)
-            grads["U"] += hp.T @ d_g
-            dh = (dh * (1 - z) + d_g @ p["U"].T + d_states[t]) * ~starts[t][:, None]
-        d_inputs = d_inputs.reshape(-1, 3 * n)
-        grads["b"] = d_inputs.sum(0)
-        order = np.argsort(flat, kind="stable")
-        cuts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        grads["E"][flat[order[cuts]]] = np.add.reduceat(d_inputs[order], cuts)
-        return loss, grads, h
-
-    def train(self, texts: list[np.ndarray], lanes: int = 48, window: int = 16, rate: float = 0.1) -> "Gru":
-        """One pass by Adagrad over the texts, laid end to end and cut into lanes, with truncated backpropagation."""
+        for t in range(steps - 1, -1, -1):
+            (r, z, new, g), hp, at = parts[t], before[t], slice(t * lanes, (t + 1) * lanes)
+            d_n, d_r, d_z = d_inputs[2 * n:, at], d_inputs[:n, at], d_inputs[n:2 * n, at]
+            np.multiply(dh * z, 1 - new * new, out=d_n)
+            np.multiply(d_n, r, out=d_news[:, at])
+            np.multiply(d_news[:, at], g * (1 - r), out=d_r)
+            np.multiply(dh * (new - hp), z * (1 - z), out=d_z)
+            dh = dh - dh * z
+            dh += p["U"][:, :2 * n] @ d_inputs[:2 * n, at]
+            dh += p["U"][:, 2 * n:] @ d_news[:, at]
+            dh += d_states[:, at]
+            dh *= going[t]
+        past = np.concatenate(before, 1)
+        grads = {
+            "E": np.zeros_like(p["E"]), "U": np.concatenate((past @ d_inputs[:2 * n].T, past @ d_news.T), 1), "b": d_inputs.sum(1),
+            "C": grad_c[:-1], "c": grad_c[-1], "W": grad_w[:, :-1], "w": grad_w[:, -1],
+        }
+        cuts = np.flatnonzero(np.diff(found, prepend=-1))
+        grads["E"][found[cuts]] = np.add.reduceat(d_inputs.take(order, 1), cuts, axis=1).T
+        return loss, grads, h.T
+
+    def train(self, texts: list[np.ndarray], lanes: int | None = None, window: int = 16, rate: float = 0.1) -> "Gru":
+        """One pass by Adagrad over the texts, laid end to end and cut into lanes, with truncated backpropagation.
+
+        By default there are 48 lanes, and up to 256 as far as some 400 steps are left.
+        """
         texts = [t for t in texts if len(t)]
         stream = np.concatenate(texts)
+        lanes = lanes or min(256, max(48, len(stream) // (window * 400)))
         first = np.zeros(len(stream), bool)
         first[np.cumsum([0] + [len(t) for t in texts[:-1]])] = True
         lanes = max(1, min(lanes, len(stream) // window))

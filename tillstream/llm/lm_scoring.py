@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.llm.gru import LN10, Gru
@@ -21,10 +22,10 @@ HIDDEN = 16
 VOCABULARY = 2048  # outputs of the recurrent model: the most frequent tokens, and one for all others
 FREQUENT = 131_072  # tokens whose counts the tasks carry with them; counts of others are joined
 ROUNDS = 2
-# Part of the training texts that each round of the recurrent model goes through, and tokens for which it takes more
-# of a small corpus; tokens of a shard, which one task trains on. More text is more shards.
-SHARE, LEAST_TOKENS, SHARD_TOKENS = 1 / 64, 400_000, 300_000
+SHARD_TOKENS = 2_000_000  # of a shard, which one task trains on. More text is more shards.
 RATE = 0.2
+# Rows and characters of text scored at a time.
+_ROWS, _CHARACTERS = 8192, 16_000_000
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -111,32 +112,42 @@ def frequent_words(counts: DataFrame, frequent: int = FREQUENT, vocabulary: int
     )
 
 
-def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, share: float = SHARE, hidden: int = HIDDEN, seed: int = 0) -> Gru:
-    """A model trained by rounds of averaging.
+def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, hidden: int = HIDDEN, seed: int = 0) -> Gru:
+    """A model trained on all texts by rounds of averaging.
 
-    In each round other training texts, chosen by hash, are dealt into shards of some SHARD_TOKENS tokens, whatever
-    the number of partitions. A task trains a copy of the model on a shard, and the copies are averaged by tokens: each number is summed over shards
-    map-side. The texts trained on and the shards grow in proportion to the corpus; the model does not.
+    Each text is in one round, by hash. A round's texts are dealt into shards of some SHARD_TOKENS tokens, whatever the
+    number of partitions, and cross as numbers of outputs. A task trains a copy of the model on a shard, and the copies are
+    averaged by tokens: each number is summed over shards map-side. The shards grow in proportion to the corpus; the
+    model does not.
     """
     model = Gru.start(words.model_counts(), hidden, seed)
-    share = min(1 / rounds, max(share, LEAST_TOKENS / max(words.total, 1)))
-    shards = max(1, round(words.total * share / SHARD_TOKENS))
+    shards = max(1, round(words.total / rounds / SHARD_TOKENS))
     parameters = len(model.flat())
     carried = rows.sparkSession.sparkContext.broadcast(words)
+    number = np.min_scalar_type(words.known)
+    schema = pa.schema([("id", pa.int64()), ("shard", pa.int64()), ("numbers", pa.binary())])
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = carried.value
+        for batch in batches:
+            out = []
+            for text in batch.column(2):
+                found = own.numbers(text.as_py())[1]
+                out.append(np.where(found > own.known, 0, found).astype(number).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], schema=schema)
+
     for turn in range(rounds):
-        place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        chosen = rows.filter((place >= turn / rounds) & (place < turn / rounds + share))
-        shard = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(shards)).alias("shard")
+        chosen = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "id", "d1"), F.lit(rounds)) == turn)
+        shard = F.pmod(F.xxhash64(F.lit(seed + 1), "id", "d1"), F.lit(shards)).alias("shard")
 
         def run(rows: pd.DataFrame) -> pd.DataFrame:
-            own = carried.value
-            texts = [own.numbers(t)[1] for t in rows.sort_values(["id", "text"])["text"]]
-            texts = [np.where(t > own.known, 0, t) for t in texts]
+            texts = [np.frombuffer(t, number).astype(np.int32) for t in rows.sort_values(["id", "numbers"])["numbers"]]
             size = sum(map(len, texts))
             values = np.append(model.train(texts, rate=RATE).flat().astype(np.float64), 1.0) * size
             return pd.DataFrame({"i": np.arange(len(values), dtype=np.int32), "v": values})
 
-        trained = chosen.select("id", "text", shard).groupBy("shard").applyInPandas(run, "i int, v double")
+        coded = chosen.select("id", shard, "text").mapInArrow(numbered, "id bigint, shard bigint, numbers binary")
+        trained = coded.groupBy("shard").applyInPandas(run, "i int, v double")
         summed = trained.groupBy("i").agg(F.sum("v").alias("v"))
         values = np.zeros(parameters + 1)
         found = summed.toArrow()  # a row for each parameter
@@ -146,6 +157,14 @@ def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, share: float = SH
     return model
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most _ROWS rows and about _CHARACTERS characters."""
+    sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = np.stack((np.arange(len(sizes)) // _ROWS, np.cumsum(sizes) // _CHARACTERS))
+    cuts = [0, *(np.flatnonzero(np.diff(block).any(0)) + 1).tolist(), len(sizes)]
+    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
+
+
 def _scored(rows: DataFrame, words: Words, model: Gru) -> DataFrame:
     """For each text what the tasks can tell by themselves, and its tokens that are not frequent as `rare`."""
     carried = rows.sparkSession.sparkContext.broadcast((words, model))
@@ -160,8 +179,8 @@ def _scored(rows: DataFrame, words: Words, model: Gru) -> DataFrame:
         own, gru = carried.value
         logs = np.log10(own.counts + 0.1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for a, b in _parts(batch.column(3)):
+                part = batch.slice(a, b - a)
                 out = [[] for _ in range(7)]
                 numbers = []
                 for text in part.column(3):
@@ -187,12 +206,12 @@ def _scored(rows: DataFrame, words: Words, model: Gru) -> DataFrame:
 
 def score_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, vocabulary: int = VOCABULARY,
-    rounds: int = ROUNDS, share: float = SHARE,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """`<id>, held_out, n_tokens, n_known, train_tokens, base_score, score` for each row.
 
     Tokens are words between ASCII white space with A-Z lower-cased, and an end. Training texts are those whose id's
-    CRC-32 is not 0 modulo 10; `held_out` are the others, rows without an id are neither. `base_score` is the
+    CRC-32 is not 0 modulo 10, for the counts as for the recurrent model; `held_out` are the others, rows without an id are neither. `base_score` is the
     sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))). `score` is the recurrent model's log10 probability: it
     predicts each token from all before it, and shares what it gives "another token" among the tokens that are no
     outputs, unseen ones included, in proportion to the word model, so that all probabilities sum to one. Null texts
@@ -201,7 +220,7 @@ def score_documents(
     rows = _keyed(docs, id_col, text_col)
     counts = stored(token_counts(_training(rows)), "counts")
     words = frequent_words(counts, frequent, vocabulary)
-    model = train(_training(rows), words, rounds, share)
+    model = train(_training(rows), words, rounds)
     scored = stored(_scored(rows, words, model), "scored")
 
     # Texts that share id and text come as often as they are repeated; `copies` counts that out of the sums.
