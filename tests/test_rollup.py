@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream import schemas
+from tillstream.checks import queries
 from tillstream.operators import serving
 from tillstream.plans.daily_active import daily_active
 from tillstream.session import scratch_dir
@@ -108,3 +109,18 @@ def test_new_devices_per_day(spark, path, rows):
     assert rows(got) == rows(serving.realtime_totals(index, seen.read(spark), date))
     nothing = serving.counted_totals(serving.dau_by_hour(index), per_day.read_days(spark, ["2030-01-01"]), "2030-01-01")
     assert {r["value"] for r in nothing.collect()} == {0}
+
+
+def test_a_large_part_of_the_query_s_topic_has_many_files_and_is_one_batch(spark, tmp_path, monkeypatch, rows):
+    """No task of the query writes or parses a part by itself; the batches do not grow in number, the counts are the same."""
+    folder = tmp_path / "tables"
+    spark.range(900).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 97) AS ts", "id % 40 AS user_id", "'view' AS event_type",
+    ).union(spark.sql("SELECT NULL, timestamp '2024-01-02 03:00:00', 5, 'view'")).write.parquet(f"{folder}/events.parquet")
+    read = []
+    update = HourlyActives.update
+    monkeypatch.setattr(HourlyActives, "update", lambda self, opens, n: (read.append(opens.rdd.getNumPartitions()), update(self, opens, n))[1])
+    want = rows(queries.REGISTRY["dau_by_hour"](spark, str(folder)))
+    monkeypatch.setattr(queries, "FILE_ROWS", 20)
+    assert rows(queries.REGISTRY["start_hourly"](spark, str(folder))) == want
+    assert len(read) <= 5 and max(read) >= 4, read

@@ -34,6 +34,7 @@ GROUP = "daily_active"
 QUERY, TERM = "red widget", "Brand#13"
 POINT_ID = 42
 ONCE = {"availableNow": True}
+FILE_ROWS = 20_000  # of a topic's file, where a batch may take several
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,15 +70,22 @@ def finished(running: StreamingQuery) -> StreamingQuery:
     return running
 
 
-def in_files(records: DataFrame, path: str, order: list[str], n: int = 4) -> None:
-    """The records as a topic of n files, which hold them in order and are written in order."""
+def in_files(records: DataFrame, path: str, order: list[str], n: int = 4, rows: int | None = None) -> int:
+    """The records as a topic of n parts, which are written in order: a file each, which holds them in order; or with
+    `rows`, for readers to whom the order within a part is all one, a file for each so many rows of a part, so that no
+    task writes or reads more. The number of files of a part, on average."""
     seconds = F.unix_seconds("timestamp")
-    cuts = records.select(F.percentile_approx(seconds, [k / n for k in range(1, n)]).alias("c")).first()["c"] or []
-    bounds = [None, *sorted(set(cuts)), None]
+    cuts = F.percentile_approx(seconds, [k / n for k in range(1, n)]).alias("cuts")
+    found = records.agg(cuts, F.count(F.lit(1)).alias("all")).first()
+    bounds = [None, *sorted(set(found["cuts"] or [])), None]
+    files = 1 if rows is None else -(-found["all"] // (rows * (len(bounds) - 1))) or 1
     for low, high in zip(bounds, bounds[1:]):
         part = records if low is None else records.filter(seconds >= low)
         part = part if high is None else part.filter(seconds < high)
-        part.repartition(1).sortWithinPartitions(*order).write.mode("append").parquet(path)
+        dealt = part.repartition(1) if files == 1 else part.repartition(files, F.xxhash64(*order))
+        dealt.sortWithinPartitions(*order).write.mode("append").parquet(path)
+    written = len(records.sparkSession.read.schema(schemas.TOPIC).parquet(path).inputFiles())
+    return -(-written // (len(bounds) - 1)) or 1
 
 
 def dated_orders(t: Tables) -> DataFrame:
@@ -457,8 +465,8 @@ def start_offsets(t: Tables) -> DataFrame:
 def start_hourly(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "start_hourly")
     rollup = HourlyActives(f"{path}/rollup", buckets=4)
-    in_files(fx.start_log_records(t.events), f"{path}/topic", ["timestamp", "partition", "offset"])
-    records = file_topic(t.spark, f"{path}/topic", max_files_per_trigger=1)
+    files = in_files(fx.start_log_records(t.events), f"{path}/topic", ["timestamp", "partition", "offset"], rows=FILE_ROWS)
+    records = file_topic(t.spark, f"{path}/topic", max_files_per_trigger=files)
     finished(run_hourly(records, rollup, f"{path}/checkpoint", snapshot_every=2, trigger=ONCE))
     return rollup.read(t.spark)
 
