@@ -93,3 +93,12 @@ def test_odd_rows(spark):
     got = sorted(((r.doc_id, len(r.ids), bytes(r.decoded)) for r in back.collect()), key=repr)
     assert got == sorted([(1, 0, b""), (2, 0, b""), (None, 2, b"x y"), (3, 2, b"x y"), (3, 2, b"x y")], key=repr)
     assert byte_bpe.decode(byte_bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_a_block_is_decoded_by_one_ordered_aggregation(coder, monkeypatch):
+    ids, made = coder.ids, []
+    run = coder._run
+    monkeypatch.setattr(coder, "_run", lambda *a, **k: made.append(run(*a, **k)) or made[-1])
+    texts = [[ids[b"b"], 10_000_000, ids[b"a"], -1], [], [ids[b"\xff"]], [10_000_000], [ids[b"a"]]]
+    assert coder.decode([byte_bpe.np.array(t, byte_bpe.np.int32) for t in texts]) == [b"ba", b"", b"\xff", b"", b"a"]
+    assert [t.num_rows for t in made] == [1]

@@ -60,7 +60,8 @@ WITH RECURSIVE state(step, i, tok) AS (
 SELECT step, i, tok FROM state WHERE step = (SELECT max(step) FROM state) ORDER BY i
 """
 
-_DECODE = "SELECT d, string_agg(piece, '' ORDER BY i) AS text FROM given JOIN pieces USING (tok) GROUP BY d ORDER BY d"
+# Of all texts of a block at once, as one sort costs less than one for each text; they are cut by their lengths.
+_DECODE = "SELECT string_agg(piece, '' ORDER BY i) AS text FROM given JOIN pieces USING (tok)"
 
 
 class Vocabulary:
@@ -85,6 +86,8 @@ class Coder:
         self.pieces = regex.compile(pattern).findall
         self.ids, self.bytes = vocabulary.ids, vocabulary.bytes
         self.tokens = {number: token for token, number in self.ids.items()}
+        self.sizes = np.zeros(max(self.tokens, default=0) + 2, np.int64)  # bytes of each token; the last is of none
+        self.sizes[list(self.tokens)] = [len(t) for t in self.tokens.values()]
         self.known: dict[str, bytes] = {}
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         a, b, rank = vocabulary.merges
@@ -189,26 +192,25 @@ class Coder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [self.pieces(t) for t in texts]
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
+        new = list(set().union(*words).difference(known))
         if new:
             made = {w: ids.tobytes() for w, ids in zip(new, self.merge([w.encode("utf-8", "surrogatepass") for w in new]))}
             if len(known) + len(made) <= REMEMBERED:
                 known.update(made)
             else:
                 known = {**{w: known[w] for ws in words for w in ws if w in known}, **made}
-        return [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in words]
+        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in words]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        out = [b""] * len(ids)
-        lens = np.array([len(x) for x in ids])
-        if lens.sum():
-            found = self._run(
-                _DECODE, d=np.repeat(np.arange(len(ids), dtype=np.int32), lens), i=np.arange(lens.sum(), dtype=np.int32),
-                tok=np.concatenate(ids).astype(np.int32),
-            )
-            for d, text in zip(found["d"].to_pylist(), found["text"].to_pylist()):
-                out[d] = text.encode("utf-16-le")[::2]
-        return out
+        lens = [len(x) for x in ids]
+        if not sum(lens):
+            return [b""] * len(ids)
+        tok = np.concatenate(ids).astype(np.int32)
+        found = self._run(_DECODE, i=np.arange(len(tok), dtype=np.int32), tok=tok)["text"][0].as_py()
+        data = (found or "").encode("utf-16-le")[::2]
+        known = np.where((tok >= 0) & (tok < len(self.sizes)), tok, len(self.sizes) - 1)
+        ends = np.concatenate(([0], np.cumsum(self.sizes[known])))[np.cumsum([0, *lens])].tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def _blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
