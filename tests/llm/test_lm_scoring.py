@@ -120,3 +120,32 @@ def test_every_training_text_is_learned_once(spark, tmp_path, monkeypatch):
     assert len(passed) > 20
     got = Counter(np.concatenate(passed).tolist())
     assert got == {k: int(c) for k, c in enumerate(words.counts) if k}
+
+
+def test_texts_are_coded_once(spark, monkeypatch):
+    """Training and scoring read the numbers that one pass over the texts has written."""
+    given = {}
+    for name in ("train", "_scored"):
+        made = getattr(lm, name)
+        monkeypatch.setattr(lm, name, lambda rows, *a, name=name, made=made, **k: given.update({name: rows.columns}) or made(rows, *a, **k))
+    rows = [(i, f"w{i % 5} " * (i % 7)) for i in range(60)] + [(None, "w1 w9"), (70, None), (71, "w1"), (71, "w1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    same(lm.score_documents(docs).collect(), brute(rows))
+    assert set(given) == {"train", "_scored"}
+    assert all("numbers" in columns and "text" not in columns for columns in given.values())
+
+
+@pytest.mark.parametrize("vocabulary", [3, 300, 2048])
+def test_coded_texts(spark, vocabulary):
+    rows = [(i, " ".join(f"W{k}" for k in range(i * 20))) for i in range(30)] + [(None, ""), (50, None)]
+    docs = lm._keyed(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text")
+    words = lm.frequent_words(lm.token_counts(lm._training(docs)), frequent=400, vocabulary=vocabulary)
+    kind = np.min_scalar_type(words.known)
+    got = lm.coded(docs, words).join(docs.select("d1", "text").distinct(), "d1").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        own = tokens(r.text)
+        places = [words.ids.get(t.encode(), 0) for t in own]
+        assert np.frombuffer(r.numbers, kind).tolist() == [p if p <= words.known else 0 for p in places]
+        assert list(map(bytes, r.rare)) == [t.encode() for t, p in zip(own, places) if not p] and r.n_tokens == len(own)
+        assert r.n_other == sum(not p or p > words.known for p in places) and r.n_frequent == len(own) - len(r.rare)

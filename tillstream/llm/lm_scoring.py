@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -90,8 +91,7 @@ class Words:
 
     def numbers(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
         tokens = words_of(text, lower=True) + [END]
-        get = self.ids.get
-        return tokens, np.array([get(t, 0) for t in tokens], np.int32)
+        return tokens, np.fromiter(map(self.ids.get, tokens, repeat(0)), np.int32, len(tokens))
 
 
 def frequent_words(counts: DataFrame, frequent: int = FREQUENT, vocabulary: int = VOCABULARY) -> Words:
@@ -112,8 +112,55 @@ def frequent_words(counts: DataFrame, frequent: int = FREQUENT, vocabulary: int
     )
 
 
+def _parts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most _ROWS rows and about _CHARACTERS characters of text, or bytes of numbers."""
+    sizes = (pc.utf8_length if pa.types.is_string(column.type) else pc.binary_length)(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = np.stack((np.arange(len(sizes)) // _ROWS, np.cumsum(sizes) // _CHARACTERS))
+    cuts = [0, *(np.flatnonzero(np.diff(block).any(0)) + 1).tolist(), len(sizes)]
+    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
+
+
+def coded(rows: DataFrame, words: Words) -> DataFrame:
+    """For each text what the tasks can tell by themselves: its words as outputs of the recurrent model in `numbers`, in
+    the least type that holds them, its sums of the word model, and its tokens that are not frequent as `rare`."""
+    carried = rows.sparkSession.sparkContext.broadcast(words)
+    number = np.min_scalar_type(words.known)
+    names = ["n_tokens", "n_frequent", "n_other"]
+    sums = ["frequent_sum", "other_sum"]
+    schema = pa.schema(
+        [("id", pa.int64()), ("d1", pa.int64()), ("held_out", pa.bool_()), *[(c, pa.int64()) for c in names],
+         *[(c, pa.float64()) for c in sums], ("numbers", pa.binary()), ("rare", pa.list_(pa.binary()))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = carried.value
+        logs = np.log10(own.counts + 0.1)
+        for batch in batches:
+            for a, b in _parts(batch.column(3)):
+                part = batch.slice(a, b - a)
+                out = [[] for _ in range(7)]
+                for text in part.column(3):
+                    tokens, found = own.numbers(text.as_py())
+                    rare = np.flatnonzero(found == 0)
+                    other = found > own.known
+                    values = logs[found]
+                    values[rare] = 0
+                    found[other] = 0
+                    for column, value in zip(out, (
+                        len(found), len(found) - len(rare), int(other.sum()) + len(rare), float(values.sum()),
+                        float(values[other].sum()), found.astype(number).tobytes(), [tokens[k] for k in rare.tolist()],
+                    )):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], *[pa.array(c, f.type) for c, f in zip(out, list(schema)[3:])]], schema=schema
+                )
+
+    ddl = "id bigint, d1 bigint, held_out boolean, " + ", ".join([*[f"{c} bigint" for c in names], *[f"{c} double" for c in sums]])
+    return rows.select("id", "d1", "held_out", "text").mapInArrow(run, ddl + ", numbers binary, rare array<binary>")
+
+
 def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, hidden: int = HIDDEN, seed: int = 0) -> Gru:
-    """A model trained on all texts by rounds of averaging.
+    """A model trained on all texts, `coded` or not yet, by rounds of averaging.
 
     Each text is in one round, by hash. A round's texts are dealt into shards of some SHARD_TOKENS tokens, whatever the
     number of partitions, and cross as numbers of outputs. A task trains a copy of the model on a shard, and the copies are
@@ -123,18 +170,8 @@ def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, hidden: int = HID
     model = Gru.start(words.model_counts(), hidden, seed)
     shards = max(1, round(words.total / rounds / SHARD_TOKENS))
     parameters = len(model.flat())
-    carried = rows.sparkSession.sparkContext.broadcast(words)
     number = np.min_scalar_type(words.known)
-    schema = pa.schema([("id", pa.int64()), ("shard", pa.int64()), ("numbers", pa.binary())])
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = carried.value
-        for batch in batches:
-            out = []
-            for text in batch.column(2):
-                found = own.numbers(text.as_py())[1]
-                out.append(np.where(found > own.known, 0, found).astype(number).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], schema=schema)
+    rows = rows if "numbers" in rows.columns else coded(rows, words)
 
     for turn in range(rounds):
         chosen = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "id", "d1"), F.lit(rounds)) == turn)
@@ -146,8 +183,7 @@ def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, hidden: int = HID
             values = np.append(model.train(texts, rate=RATE).flat().astype(np.float64), 1.0) * size
             return pd.DataFrame({"i": np.arange(len(values), dtype=np.int32), "v": values})
 
-        coded = chosen.select("id", shard, "text").mapInArrow(numbered, "id bigint, shard bigint, numbers binary")
-        trained = coded.groupBy("shard").applyInPandas(run, "i int, v double")
+        trained = chosen.select("id", shard, "numbers").groupBy("shard").applyInPandas(run, "i int, v double")
         summed = trained.groupBy("i").agg(F.sum("v").alias("v"))
         values = np.zeros(parameters + 1)
         found = summed.toArrow()  # a row for each parameter
@@ -157,51 +193,24 @@ def train(rows: DataFrame, words: Words, rounds: int = ROUNDS, hidden: int = HID
     return model
 
 
-def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most _ROWS rows and about _CHARACTERS characters."""
-    sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    block = np.stack((np.arange(len(sizes)) // _ROWS, np.cumsum(sizes) // _CHARACTERS))
-    cuts = [0, *(np.flatnonzero(np.diff(block).any(0)) + 1).tolist(), len(sizes)]
-    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
-
-
 def _scored(rows: DataFrame, words: Words, model: Gru) -> DataFrame:
-    """For each text what the tasks can tell by themselves, and its tokens that are not frequent as `rare`."""
-    carried = rows.sparkSession.sparkContext.broadcast((words, model))
-    names = ["n_tokens", "n_frequent", "n_other"]
-    sums = ["frequent_sum", "other_sum", "model_score"]
-    schema = pa.schema(
-        [("id", pa.int64()), ("d1", pa.int64()), ("held_out", pa.bool_()), *[(c, pa.int64()) for c in names],
-         *[(c, pa.float64()) for c in sums], ("rare", pa.list_(pa.binary()))]
-    )
+    """Rows as `coded`, with `model_score` in place of their numbers."""
+    carried = rows.sparkSession.sparkContext.broadcast(model)
+    number = np.min_scalar_type(words.known)
+    kept = [f for f in rows.schema if f.name not in ("numbers", "rare")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, gru = carried.value
-        logs = np.log10(own.counts + 0.1)
+        gru = carried.value
         for batch in batches:
-            for a, b in _parts(batch.column(3)):
+            for a, b in _parts(batch.column(0)):
                 part = batch.slice(a, b - a)
-                out = [[] for _ in range(7)]
-                numbers = []
-                for text in part.column(3):
-                    tokens, found = own.numbers(text.as_py())
-                    rare = np.flatnonzero(found == 0)
-                    other = found > own.known
-                    values = logs[found]
-                    values[rare] = 0
-                    numbers.append(np.where(other, 0, found))
-                    for column, value in zip(out, (
-                        len(found), len(found) - len(rare), int(other.sum()) + len(rare), float(values.sum()),
-                        float(values[other].sum()), None, [tokens[k] for k in rare],
-                    )):
-                        column.append(value)
-                out[5] = gru.score(numbers) / LN10
+                numbers = [np.frombuffer(t.as_buffer(), number).astype(np.int32) for t in part.column(0)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *[pa.array(c, f.type) for c, f in zip(out, list(schema)[3:])]], schema=schema
+                    [*part.columns[1:], pa.array(gru.score(numbers) / LN10)], [*part.schema.names[1:], "model_score"]
                 )
 
-    ddl = "id bigint, d1 bigint, held_out boolean, " + ", ".join([*[f"{c} bigint" for c in names], *[f"{c} double" for c in sums]])
-    return rows.select("id", "d1", "held_out", "text").mapInArrow(run, ddl + ", rare array<binary>")
+    ddl = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in kept], "model_score double"])
+    return rows.select("numbers", *[f.name for f in kept]).mapInArrow(run, ddl)
 
 
 def score_documents(
@@ -220,17 +229,18 @@ def score_documents(
     rows = _keyed(docs, id_col, text_col)
     counts = stored(token_counts(_training(rows)), "counts")
     words = frequent_words(counts, frequent, vocabulary)
-    model = train(_training(rows), words, rounds)
-    scored = stored(_scored(rows, words, model), "scored")
+    known = stored(coded(rows, words), "coded")
+    model = train(_training(known), words, rounds)
+    scored = _scored(known, words, model)
 
     # Texts that share id and text come as often as they are repeated; `copies` counts that out of the sums.
-    rare = scored.select("id", "d1", F.posexplode("rare").alias("i", "token")).join(counts, "token", "left").groupBy("id", "d1").agg(
+    rare = known.select("id", "d1", F.posexplode("rare").alias("i", "token")).join(counts, "token", "left").groupBy("id", "d1").agg(
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("s"), F.count("c").alias("n"), F.count_if(F.col("i") == 0).alias("copies")
     )
     rare = rare.select(
         F.struct("id", "d1").alias("key"), (F.col("s") / F.col("copies")).alias("rare_sum"), (F.col("n") / F.col("copies")).alias("rare_known")
     )
-    own = scored.drop("rare").withColumn("key", F.struct("id", "d1")).join(rare, "key", "left")
+    own = scored.withColumn("key", F.struct("id", "d1")).join(rare, "key", "left")
     rare_sum = F.coalesce("rare_sum", F.lit(0.0))
     base_mass, other_mass = float(np.log10(max(words.base_mass, 1e-300))), float(np.log10(max(words.other_mass, 1e-300)))
     return own.select(
