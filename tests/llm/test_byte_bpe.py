@@ -102,3 +102,14 @@ def test_a_block_is_decoded_by_one_ordered_aggregation(coder, monkeypatch):
     texts = [[ids[b"b"], 10_000_000, ids[b"a"], -1], [], [ids[b"\xff"]], [10_000_000], [ids[b"a"]]]
     assert coder.decode([byte_bpe.np.array(t, byte_bpe.np.int32) for t in texts]) == [b"ba", b"", b"\xff", b"", b"a"]
     assert [t.num_rows for t in made] == [1]
+
+
+def test_words_come_out_of_the_merge_as_rows(coder, library, monkeypatch):
+    """A row for each token, without an aggregation over each word; leftmost pairs first, up to the longest short word."""
+    made = []
+    run = coder._run
+    monkeypatch.setattr(coder, "_run", lambda *a, **k: made.append(run(*a, **k)) or made[-1])
+    words = [b"q", b"zqxj", b"a" * 255, b"ab" * 127, b" unrememberedly", "\u6f22\u5b57\u304b".encode(), b"\xff\xfe\xff"]
+    got = coder._merge_short(words)
+    assert [t.column_names for t in made] == [["k", "tok"]] and made[0].num_rows == sum(map(len, got))
+    assert [x.tolist() for x in got] == [library._encode_single_piece(w) for w in words]

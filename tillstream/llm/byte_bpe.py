@@ -20,22 +20,23 @@ REMEMBERED = 400_000
 _BLOCK = 2_000_000
 
 # A row for each token of each word, keyed by word << 8 | position. Every step joins neighbours to the merge table,
-# finds each word's pair of least rank, leftmost among equals, and puts the merged token in the place of the two. Words
-# without a pair are done: they come out once more, marked, and drop out of the steps.
+# finds each word's pair of least rank, leftmost among equals, and puts the merged token in the place of the two: rank,
+# place and the place of the second in one number, so that one minimum tells all. Words without a pair are done: they
+# come out once more, marked, and drop out of the steps.
 _MERGE = """
 WITH RECURSIVE state(done, k, tok) AS (
   SELECT false, k, tok FROM given
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-     SELECT s.k, s.j, s.tok, m.rank::BIGINT << 8 | (s.k & 255) AS here
+     SELECT (s.k >> 8)::INTEGER AS w, s.k, s.tok, (m.rank::BIGINT << 16) | ((s.k & 255) << 8) | (s.j & 255) AS here
      FROM (SELECT k, tok, lead(tok) OVER place AS nxt, lead(k) OVER place AS j
            FROM state WHERE NOT done WINDOW place AS (ORDER BY k)) s
      LEFT JOIN merges m ON m.a = s.tok AND m.b = s.nxt AND s.j >> 8 = s.k >> 8),
-   best AS (SELECT k >> 8 AS w, min(here) AS least, arg_min(j, here) AS gone FROM pairs GROUP BY k >> 8)
-   SELECT least IS NULL, p.k, CASE WHEN here = least THEN (least >> 8)::INTEGER ELSE p.tok END
-   FROM pairs p JOIN best ON best.w = p.k >> 8 WHERE gone IS NULL OR p.k <> gone)
+   best AS (SELECT w, min(here) AS least FROM pairs GROUP BY w)
+   SELECT least IS NULL, p.k, CASE WHEN here = least THEN (least >> 16)::INTEGER ELSE p.tok END
+   FROM pairs p JOIN best ON best.w = p.w WHERE least IS NULL OR (p.k & 255) <> (least & 255))
 )
-SELECT list(tok ORDER BY k) AS ids FROM state WHERE done GROUP BY k >> 8 ORDER BY k >> 8
+SELECT k, tok FROM state WHERE done ORDER BY k
 """
 
 # The same for one window too long for that, a few steps at a time: each step merges, from the left, every pair of the
@@ -143,9 +144,10 @@ class Coder:
             data = b"".join(words[cut[0]:cut[-1] + 1])
             found = self._run(
                 _MERGE, k=np.repeat(np.arange(len(cut)), lens) << 8 | place, tok=self.bytes[np.frombuffer(data, np.uint8)]
-            )["ids"].combine_chunks()
-            flat, cuts = found.values.to_numpy().astype(np.int32), found.offsets.to_numpy()
-            out += [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            )
+            flat = found["tok"].to_numpy().astype(np.int32)
+            cuts = np.searchsorted(found["k"].to_numpy() >> 8, np.arange(len(cut) + 1)).tolist()
+            out += [flat[a:b] for a, b in zip(cuts, cuts[1:])]
         return out
 
     def _merge_parts(self, words: list[bytes]) -> list[np.ndarray]:
