@@ -113,3 +113,38 @@ def test_words_come_out_of_the_merge_as_rows(coder, library, monkeypatch):
     got = coder._merge_short(words)
     assert [t.column_names for t in made] == [["k", "tok"]] and made[0].num_rows == sum(map(len, got))
     assert [x.tolist() for x in got] == [library._encode_single_piece(w) for w in words]
+
+
+def test_certain_pairs_are_merged_before_the_query(coder, library, monkeypatch):
+    given = []
+    run = coder._run
+    monkeypatch.setattr(coder, "_run", lambda sql, **k: given.append(k) or run(sql, **k))
+    words = [b" thountou", b" queche\xc3\xa7enelle", b"\xff\xfe", b"zqxj", b" ofntblest", b"ab" * 127, b"e" * 255]
+    got = coder._merge_short(words)
+    assert [x.tolist() for x in got] == [library._encode_single_piece(w) for w in words]
+    assert len(given[0]["tok"]) < 0.8 * sum(map(len, words)) and (given[0]["tok"] > 255).any()
+    assert [x.tolist() for x in coder._merge_short([b""])] == [[]]
+
+
+def test_vocabularies_of_any_ranks():
+    """Also where a token has a lesser rank than those that it is made of, and where bytes have any."""
+    rng = random.Random(5)
+    for n in range(12):
+        alphabet = rng.choice([b"ab", b"abc", b"abcd"])
+        longer = {bytes(rng.choices(alphabet, k=rng.randint(2, 5))) for _ in range(rng.randint(0, 40))}
+        tokens = [bytes([b]) for b in range(256)] + rng.sample(sorted(longer), len(longer))
+        numbers = rng.sample(range(len(tokens)), len(tokens)) if n % 2 else range(len(tokens))
+        ranks = dict(zip(tokens, numbers))
+        file = b"".join(b"%s %d\n" % (base64.b64encode(t), r) for t, r in ranks.items())
+        words = [bytes(rng.choices(alphabet, k=rng.randint(1, 14))) for _ in range(100)]
+        with byte_bpe.Coder(byte_bpe.Vocabulary(file), public_tokenizers.PATTERN) as own:
+            assert [x.tolist() for x in own.merge(words)] == [_plain(ranks, w) for w in words]
+
+
+def _plain(ranks, word):
+    """The pair of least rank, leftmost among equals, one at a time."""
+    parts = [word] if word in ranks else [bytes([b]) for b in word]
+    while any(a + b in ranks for a, b in zip(parts, parts[1:])):
+        _, k = min((ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks)
+        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+    return [ranks[p] for p in parts]

@@ -19,6 +19,9 @@ REMEMBERED = 400_000
 # Characters encoded, and tokens decoded, at a time.
 _BLOCK = 2_000_000
 
+# A rank beyond all others, and the number of no pair of bytes.
+_NEVER, _NONE = np.iinfo(np.int32).max, 1 << 16
+
 # A row for each token of each word, keyed by word << 8 | position. Every step joins neighbours to the merge table,
 # finds each word's pair of least rank, leftmost among equals, and puts the merged token in the place of the two: rank,
 # place and the place of the second in one number, so that one minimum tells all. Words without a pair are done: they
@@ -78,6 +81,27 @@ class Vocabulary:
             (ids[t[:k]], ids[t[k:]], r) for t, r in ids.items() for k in range(1, len(t)) if t[:k] in ids and t[k:] in ids
         ]
         self.merges = np.array(merges or np.zeros((0, 3)), np.int32).T.copy()
+        self.first, self.over, self.under = self._byte_pairs()
+
+    def _byte_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each pair of bytes x << 8 | y, and last for none: its rank, if no pair with its token has that or a lesser
+        one; the least rank of a token that ends in x with the byte y; that of the byte x with a token that begins with
+        y, one more if that is the byte y."""
+        size = max(self.ids.values(), default=0) + 1
+        head, tail, long = np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(size, bool)
+        for token, number in self.ids.items():
+            head[number], tail[number], long[number] = token[0], token[-1], len(token) > 1
+        a, b, rank = self.merges
+        later, first, over, under = (np.full(n, _NEVER, np.int32) for n in (size, _NONE + 1, _NONE + 1, _NONE + 1))
+        np.minimum.at(later, a, rank)
+        np.minimum.at(later, b, rank)
+        pair = tail[a] << 8 | head[b]
+        ends, begins = ~long[b], ~long[a]
+        np.minimum.at(over, pair[ends], rank[ends])
+        np.minimum.at(under, pair[begins], rank[begins] + ~long[b][begins])
+        kept = ends & begins & (later[rank] > rank)
+        first[pair[kept]] = rank[kept]
+        return first, over, under
 
 
 class Coder:
@@ -86,6 +110,7 @@ class Coder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.pieces = regex.compile(pattern).findall
         self.ids, self.bytes = vocabulary.ids, vocabulary.bytes
+        self.first, self.over, self.under = vocabulary.first, vocabulary.over, vocabulary.under
         self.tokens = {number: token for token, number in self.ids.items()}
         self.sizes = np.zeros(max(self.tokens, default=0) + 2, np.int64)  # bytes of each token; the last is of none
         self.sizes[list(self.tokens)] = [len(t) for t in self.tokens.values()]
@@ -141,15 +166,29 @@ class Coder:
             lens = sizes[cut]
             ends = np.cumsum(lens)
             place = np.arange(ends[-1]) - np.repeat(ends - lens, lens)
-            data = b"".join(words[cut[0]:cut[-1] + 1])
-            found = self._run(
-                _MERGE, k=np.repeat(np.arange(len(cut)), lens) << 8 | place, tok=self.bytes[np.frombuffer(data, np.uint8)]
-            )
+            data = np.frombuffer(b"".join(words[cut[0]:cut[-1] + 1]), np.uint8)
+            tok, kept = self._begin(data, ends)
+            k = np.repeat(np.arange(len(cut)), lens) << 8 | place
+            found = self._run(_MERGE, k=k[kept].astype(np.int32), tok=tok[kept])
             flat = found["tok"].to_numpy().astype(np.int32)
             cuts = np.searchsorted(found["k"].to_numpy() >> 8, np.arange(len(cut) + 1)).tolist()
             out += [flat[a:b] for a, b in zip(cuts, cuts[1:])]
         return out
 
+    def _begin(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The token at each byte of the words that end at `ends`, and whether one begins there, after the merges of two
+        bytes that are certain: of lesser rank than any that either byte can have with what its other neighbour may
+        become, and than any of their token. Taken in any order, these change none of the others, so that the query,
+        which takes one merge of a word a step, has the rest to do."""
+        pairs = np.full(len(data) + 2, _NONE, np.int32)  # with the next byte, and none before the first
+        pairs[1:-2] = data[:-1].astype(np.int32) << 8 | data[1:]
+        pairs[ends] = _NONE
+        rank = self.first[pairs[1:-1]]
+        sure = rank < np.minimum(self.over[pairs[:-2]], self.under[pairs[2:]])
+        kept = np.ones(len(data), bool)
+        kept[1:] = ~sure[:-1]
+        return np.where(sure, rank, self.bytes[data]), kept
+
     def _merge_parts(self, words: list[bytes]) -> list[np.ndarray]:
         """Words of any length: parts are merged by themselves and then joined in pairs, all words at once.
 
