@@ -6,11 +6,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillstream.llm import lm_scoring as lm
-from tillstream.llm.gru import Gru
+from tillstream.llm.gru import Gru, _product
 from tillstream.llm.queries import QUERIES
+from tillstream.llm.words import words_of, words_of_all
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -149,3 +151,51 @@ def test_coded_texts(spark, vocabulary):
         assert np.frombuffer(r.numbers, kind).tolist() == [p if p <= words.known else 0 for p in places]
         assert list(map(bytes, r.rare)) == [t.encode() for t, p in zip(own, places) if not p] and r.n_tokens == len(own)
         assert r.n_other == sum(not p or p > words.known for p in places) and r.n_frequent == len(own) - len(r.rare)
+
+
+ODD = ["", None, " ", "\n\n", "A", "  a\x0b\x1cB\u00a0c \u0085 \u00c9 a\t", "x" * 70_000, "\x00 \x1f\x7f", "İ K \u2028 ǅ", "b a a", None]
+
+
+def test_words_of_a_whole_array_at_once():
+    want = [words_of(t, lower=True) for t in ODD]
+    for a, b in ((0, len(ODD)), (3, 7), (4, 4), (1, 2)):
+        words, lens = words_of_all(pa.array(ODD, pa.string()).slice(a, b - a))
+        assert lens.tolist() == [len(w) for w in want[a:b]] and words.to_pylist() == [w for ws in want[a:b] for w in ws]
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 3, 100])
+def test_numbers_of_a_whole_array_at_once(frequent):
+    own = [tokens(t) for t in ODD]
+    rows = Counter(w.encode() for ws in own for w in ws).most_common(frequent)
+    words = lm.Words({t: k + 1 for k, (t, _) in enumerate(rows)}, np.array([0] + [c for _, c in rows]), len(rows), 0, 0)
+    found, lens, rare = words.numbers(pa.array(ODD, pa.string()))
+    assert found.tolist() == [words.ids.get(w.encode(), 0) for ws in own for w in ws] and lens.tolist() == list(map(len, own))
+    assert rare.to_pylist() == [w.encode() for ws in own for w in ws if w.encode() not in words.ids]
+
+
+@pytest.mark.parametrize("most", [1, 3, 200_000])
+def test_counts_are_whole_however_often_they_are_sent_on(spark, most):
+    texts = [" ".join(f"w{i % 9} W{i % 4} u{i}" for i in range(k)) for k in range(40)] + [t for t in ODD if t is not None]
+    got = lm.token_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), most).collect()
+    assert len(got) == len({bytes(r.token) for r in got})
+    assert {bytes(r.token).decode(): r.c for r in got} == Counter(w for t in texts for w in tokens(t))
+
+
+@pytest.mark.parametrize("width", [0, 1, 511, 1535, 1536, 1537, 4096, 5000])
+def test_product_by_blocks(width):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=(7, 5)), rng.normal(size=(5, width + 9))[:, 3:width + 3]
+    out = np.zeros((7, width + 4))
+    _product(a, b, out[:, 2:-2])
+    assert np.allclose(out[:, 2:-2], a @ b) and np.allclose(_product(a, b), a @ b) and not out[:, [0, 1, -2, -1]].any()
+
+
+def test_gradients_of_a_wide_window():
+    """As of its lanes one at a time."""
+    rng = np.random.default_rng(3)
+    model = Gru.start(rng.integers(1, 50, 100), 5, dtype=np.float64)
+    words, starts, h = rng.integers(0, 100, (7, 300)), rng.random((7, 300)) < 0.02, rng.normal(size=(300, 5))
+    loss, grads, after = model.gradients(words, starts, h)
+    alone = [model.gradients(words[:, [k]], starts[:, [k]], h[[k]]) for k in range(300)]
+    assert math.isclose(loss, sum(a[0] for a in alone)) and np.allclose(after, np.concatenate([a[2] for a in alone]))
+    assert all(np.allclose(g, sum(a[1][name] for a in alone)) for name, g in grads.items())

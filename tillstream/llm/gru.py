@@ -9,6 +9,7 @@ import numpy as np
 
 MEMBERS = 64  # words of a class: word i is member i % MEMBERS of class i // MEMBERS
 LN10 = float(np.log(10))
+_BLOCK = 512  # columns of a product of a small matrix that are done at a time: BLAS is half as fast on wide ones
 
 
 def _sigmoid(x):
@@ -17,8 +18,26 @@ def _sigmoid(x):
     return np.reciprocal(np.add(x, 1, out=x), out=x)
 
 
-def _with_ones(x):
-    return np.concatenate((x, np.ones((1, x.shape[1]), x.dtype)))
+def _product(a, b, out=None):
+    """`a @ b` by blocks of columns; two blocks or more are left to the last, which then rounds as the whole does."""
+    out = np.empty((len(a), b.shape[1]), b.dtype) if out is None else out
+    last = max(0, b.shape[1] // _BLOCK - 2) * _BLOCK
+    for k in range(0, last, _BLOCK):
+        np.matmul(a, b[:, k:k + _BLOCK], out=out[:, k:k + _BLOCK])
+    np.matmul(a, b[:, last:], out=out[:, last:])
+    return out
+
+
+def _columns(x, order):
+    """Columns of `x` in some order. The places are known to be good: `clip` spares a check of each."""
+    return x.take(order, 1, mode="clip")
+
+
+def _with_ones(x, order):
+    """Columns in some order, and a row of ones below."""
+    out = np.ones((len(x) + 1, len(order)), x.dtype)
+    x.take(order, 1, out[:-1], "clip")
+    return out
 
 
 def _exp_and_sums(logits):
@@ -61,16 +80,13 @@ class Gru:
             k += v.size
         return Gru(out)
 
-    def _start_of_step(self, words: np.ndarray) -> np.ndarray:
-        """What words bring into the gates: a column for each."""
-        return self.at["E"].take(words.ravel(), 0).T + self.at["b"][:, None]
-
     def step(self, h: np.ndarray, a: np.ndarray):
         """`h` and `a` (words as gates' inputs) hold a column for each lane."""
         n = self.hidden
         g = self.at["U"].T @ h
-        gates = _sigmoid(a[:2 * n] + g[:2 * n])
-        r, z = gates[:n], gates[n:]
+        gates = g[:2 * n]
+        gates += a[:2 * n]
+        r, z = _sigmoid(gates).reshape(2, n, -1)
         new = r * g[2 * n:]
         new += a[2 * n:]
         np.tanh(new, out=new)
@@ -94,7 +110,7 @@ class Gru:
     def _members(self, weights: np.ndarray, states: np.ndarray, ranges) -> np.ndarray:
         logits = np.empty((MEMBERS, states.shape[1]), states.dtype)
         for k, s, e in ranges:
-            np.matmul(weights[k].T, states[:, s:e], out=logits[:, s:e])
+            _product(weights[k].T, states[:, s:e], logits[:, s:e])
         return logits
 
     def log_probabilities(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -103,11 +119,11 @@ class Gru:
 
     def _logs(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         order, ranges = self._by_word(words)
-        states, words = _with_ones(states.take(order, 1)), words[order]
+        states, words = _with_ones(states, order), words[order]
         of_class, of_member = self._outputs()
         every, found = np.arange(len(words)), np.zeros(len(words))
-        for logits, own in ((of_class.T @ states, words // MEMBERS), (self._members(of_member, states, ranges), words % MEMBERS)):
-            found += logits[own, every]
+        for logits, own in ((_product(of_class.T, states), words // MEMBERS), (self._members(of_member, states, ranges), words % MEMBERS)):
+            found += logits.take(own * len(words) + every)
             found -= np.log(_exp_and_sums(logits)[1].astype(np.float64))
         out = np.empty(len(words))
         out[order] = found
@@ -116,13 +132,14 @@ class Gru:
     def _states(self, words: np.ndarray, starts: np.ndarray, h: np.ndarray):
         """The state before each word of a window (steps x lanes), what its steps keep, and the state after it; a column
         for each lane. The state is zero where a text starts."""
-        lanes, inputs = words.shape[1], self._start_of_step(words)
-        going = (~starts).astype(h.dtype)
+        inputs = self.at["E"] + self.at["b"]
+        going, breaks = (~starts).astype(h.dtype), starts.any(1).tolist()
         before, parts = [], []
         for t in range(len(words)):
-            h = h * going[t]
+            if breaks[t]:
+                h = h * going[t]
             before.append(h)
-            h, kept = self.step(h, inputs[:, t * lanes:(t + 1) * lanes])
+            h, kept = self.step(h, inputs.take(words[t], 0).T)
             parts.append(kept)
         return before, parts, h, going
 
@@ -164,52 +181,69 @@ class Gru:
         p, n = self.at, self.hidden
         (steps, lanes), flat = words.shape, words.ravel()
         before, parts, h, going = self._states(words, starts, h.T)
+        breaks = starts.any(1).tolist()
         order, ranges = self._by_word(flat)
-        states, found = _with_ones(np.concatenate(before, 1).take(order, 1)), flat[order]
+        past = np.concatenate(before, 1)
+        states, found = _with_ones(past, order), flat[order]
         of_class, of_member = self._outputs()
         every, loss = np.arange(len(flat)), 0.0
 
         def errors(logits, own):
             nonlocal loss
-            loss -= float(logits[own, every].sum(dtype=np.float64))
+            at = own * len(flat) + every
+            loss -= float(logits.take(at).sum(dtype=np.float64))
             d, sums = _exp_and_sums(logits)
             loss += float(np.log(sums).sum(dtype=np.float64))
             d *= 1 / sums
-            d[own, every] -= 1
+            d.reshape(-1)[at] -= 1
             return d
 
-        d = errors(of_class.T @ states, found // MEMBERS)
-        grad_c, d_sorted = states @ d.T, p["C"] @ d
+        d = errors(_product(of_class.T, states), found // MEMBERS)
+        grad_c, d_sorted = states @ d.T, _product(p["C"], d)
         d = errors(self._members(of_member, states, ranges), found % MEMBERS)
-        grad_w = np.zeros_like(of_member)
+        grad_w, d_members = np.zeros_like(of_member), np.empty_like(d_sorted)
         for k, s, e in ranges:
-            np.matmul(states[:, s:e], d[:, s:e].T, out=grad_w[k])
-            d_sorted[:, s:e] += p["W"][k] @ d[:, s:e]
-        d_states = np.empty_like(d_sorted)
-        d_states[:, order] = d_sorted
-
-        # Rows of `d_inputs`: reset, update and new gate by their words; `d_new` by the state.
-        d_inputs, d_news = np.empty((3 * n, len(flat)), h.dtype), np.empty((n, len(flat)), h.dtype)
-        dh = np.zeros_like(h)
+            own = d[:, s:e]
+            np.matmul(states[:, s:e], own.T, out=grad_w[k])
+            _product(p["W"][k], own, d_members[:, s:e])
+        d_sorted += d_members
+        places = np.empty_like(order)
+        places[order] = every
+        d_states = _columns(d_sorted, places)
+
+        # Rows of `d_inputs`: reset, update and new gate by their words; `d_new` by the state. A block for each step.
+        d_inputs, d_news = np.empty((steps, 3 * n, lanes), h.dtype), np.empty((steps, n, lanes), h.dtype)
+        dh, kept, factor = np.zeros_like(h), np.empty_like(h), np.empty_like(h)
+        one, of_gates, of_new = h.dtype.type(1), p["U"][:, :2 * n], p["U"][:, 2 * n:]
         for t in range(steps - 1, -1, -1):
-            (r, z, new, g), hp, at = parts[t], before[t], slice(t * lanes, (t + 1) * lanes)
-            d_n, d_r, d_z = d_inputs[2 * n:, at], d_inputs[:n, at], d_inputs[n:2 * n, at]
-            np.multiply(dh * z, 1 - new * new, out=d_n)
-            np.multiply(d_n, r, out=d_news[:, at])
-            np.multiply(d_news[:, at], g * (1 - r), out=d_r)
-            np.multiply(dh * (new - hp), z * (1 - z), out=d_z)
-            dh = dh - dh * z
-            dh += p["U"][:, :2 * n] @ d_inputs[:2 * n, at]
-            dh += p["U"][:, 2 * n:] @ d_news[:, at]
-            dh += d_states[:, at]
-            dh *= going[t]
-        past = np.concatenate(before, 1)
+            (r, z, new, g), hp, d_new = parts[t], before[t], d_news[t]
+            d_r, d_z, d_n = d_inputs[t].reshape(3, n, lanes)
+            np.multiply(new, new, out=factor)
+            np.subtract(one, factor, out=factor)
+            np.multiply(dh, z, out=kept)
+            np.multiply(kept, factor, out=d_n)
+            np.multiply(d_n, r, out=d_new)
+            np.subtract(one, r, out=factor)
+            factor *= g
+            np.multiply(d_new, factor, out=d_r)
+            np.subtract(new, hp, out=d_z)
+            d_z *= dh
+            np.subtract(one, z, out=factor)
+            factor *= z
+            d_z *= factor
+            dh -= kept
+            dh += of_gates @ d_inputs[t, :2 * n]
+            dh += of_new @ d_new
+            dh += d_states[:, t * lanes:(t + 1) * lanes]
+            if breaks[t]:
+                dh *= going[t]
+        d_inputs, d_news = (x.transpose(1, 0, 2).reshape(-1, len(flat)) for x in (d_inputs, d_news))
         grads = {
             "E": np.zeros_like(p["E"]), "U": np.concatenate((past @ d_inputs[:2 * n].T, past @ d_news.T), 1), "b": d_inputs.sum(1),
             "C": grad_c[:-1], "c": grad_c[-1], "W": grad_w[:, :-1], "w": grad_w[:, -1],
         }
         cuts = np.flatnonzero(np.diff(found, prepend=-1))
-        grads["E"][found[cuts]] = np.add.reduceat(d_inputs.take(order, 1), cuts, axis=1).T
+        grads["E"][found[cuts]] = np.add.reduceat(_columns(d_inputs, order), cuts, axis=1).T
         return loss, grads, h.T
 
     def train(self, texts: list[np.ndarray], lanes: int | None = None, window: int = 16, rate: float = 0.1) -> "Gru":

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillstream.llm.gru import LN10, Gru
 from tillstream.llm.language_id import is_held_out
 from tillstream.llm.tables import stored
-from tillstream.llm.words import words_of
+from tillstream.llm.words import words_of_all
 
 END = b"\n"  # a token after each text; no word holds it
 HIDDEN = 16
@@ -42,25 +41,30 @@ def _training(rows: DataFrame) -> DataFrame:
 
 
 def token_counts(texts: DataFrame, most: int = 200_000) -> DataFrame:
-    """`token, c` over all rows of `text`. A task sends its counts on whenever it has `most` distinct tokens."""
+    """`token, c` over all rows of `text`. A task sums its counts up whenever it holds `most` of them, and sends them on if
+    half as many are left."""
     schema = pa.schema([("token", pa.binary()), ("c", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def sent():
-            made = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], schema=schema)
-            seen.clear()
-            return made
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by("token", use_threads=False).aggregate([("c", "sum")]).rename_columns(schema.names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(words_of(text.as_py(), lower=True))
-                seen[END] += 1
-                if len(seen) >= most:
-                    yield sent()
-        if seen:
-            yield sent()
+            for a, b in _parts(batch.column(0)):
+                words, _ = words_of_all(batch.column(0).slice(a, b - a))
+                found = pc.value_counts(words)
+                held.append(pa.table([found.field("values"), found.field("counts")], schema=schema))
+                held.append(pa.table([pa.array([END], pa.binary()), pa.array([b - a], pa.int64())], schema=schema))
+                size += len(found) + 1
+                if size >= most:
+                    held = [summed(held)]
+                    size = len(held[0])
+                    if size >= most / 2:
+                        yield from held[0].to_batches()
+                        held, size = [], 0
+        if held:
+            yield from summed(held).to_batches()
 
     return texts.select("text").mapInArrow(run, "token binary, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -89,9 +93,20 @@ class Words:
         own[0] = self.total - own.sum()
         return own
 
-    def numbers(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
-        tokens = words_of(text, lower=True) + [END]
-        return tokens, np.fromiter(map(self.ids.get, tokens, repeat(0)), np.int32, len(tokens))
+    @cached_property
+    def listed(self) -> pa.Array:
+        """The tokens by their places."""
+        return pa.array(sorted(self.ids, key=self.ids.get), pa.binary())
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Places of all tokens of the texts in order, 0 for those that are not frequent; the number of each text's
+        tokens; and the tokens of place 0."""
+        words, lens = words_of_all(texts)
+        found = pc.index_in(words, self.listed).fill_null(-1).to_numpy() + 1
+        ends = np.cumsum(lens)
+        found = np.insert(found, ends, self.ids.get(END, 0))
+        at = np.insert(np.arange(len(words)), ends, len(words))[found == 0]
+        return found, lens + 1, pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(at))
 
 
 def frequent_words(counts: DataFrame, frequent: int = FREQUENT, vocabulary: int = VOCABULARY) -> Words:
@@ -120,6 +135,12 @@ def _parts(column: pa.Array) -> Iterator[tuple[int, int]]:
     yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
 
 
+def _bytes_of(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of `values` up to each of `ends` as bytes."""
+    offsets = np.append(0, ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def coded(rows: DataFrame, words: Words) -> DataFrame:
     """For each text what the tasks can tell by themselves: its words as outputs of the recurrent model in `numbers`, in
     the least type that holds them, its sums of the word model, and its tokens that are not frequent as `rare`."""
@@ -138,22 +159,20 @@ def coded(rows: DataFrame, words: Words) -> DataFrame:
         for batch in batches:
             for a, b in _parts(batch.column(3)):
                 part = batch.slice(a, b - a)
-                out = [[] for _ in range(7)]
-                for text in part.column(3):
-                    tokens, found = own.numbers(text.as_py())
-                    rare = np.flatnonzero(found == 0)
-                    other = found > own.known
-                    values = logs[found]
-                    values[rare] = 0
-                    found[other] = 0
-                    for column, value in zip(out, (
-                        len(found), len(found) - len(rare), int(other.sum()) + len(rare), float(values.sum()),
-                        float(values[other].sum()), found.astype(number).tobytes(), [tokens[k] for k in rare.tolist()],
-                    )):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *[pa.array(c, f.type) for c, f in zip(out, list(schema)[3:])]], schema=schema
-                )
+                found, lens, rare = own.numbers(part.column(3))
+                ends, none, other = np.cumsum(lens), found == 0, found > own.known
+                n_rare, n_other = (np.diff(np.cumsum(which)[ends - 1], prepend=0) for which in (none, other))
+                values = logs[found]
+                values[none] = 0
+                sums = [[float(x.sum()) for x in np.split(v, cuts)] for v, cuts in (
+                    (values, ends[:-1]), (values[other], np.cumsum(n_other)[:-1]),
+                )]
+                found[other] = 0
+                yield pa.RecordBatch.from_arrays([
+                    *part.columns[:3], *[pa.array(c, pa.int64()) for c in (lens, lens - n_rare, n_other + n_rare)],
+                    *[pa.array(c, pa.float64()) for c in sums], _bytes_of(found.astype(number), ends),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_rare)), pa.int32()), rare),
+                ], schema=schema)
 
     ddl = "id bigint, d1 bigint, held_out boolean, " + ", ".join([*[f"{c} bigint" for c in names], *[f"{c} double" for c in sums]])
     return rows.select("id", "d1", "held_out", "text").mapInArrow(run, ddl + ", numbers binary, rare array<binary>")

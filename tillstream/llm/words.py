@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -16,6 +18,15 @@ def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     return (data.translate(_LOWER) if lower else data).split()
 
 
+def words_of_all(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of `words_of` for a whole array: all of them in order, and the number of each text's."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = lists.flatten().cast(pa.binary())
+    full = pc.not_equal(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
+    owners = pc.list_parent_indices(lists).filter(full).to_numpy()
+    return words.filter(full), np.bincount(owners, minlength=len(texts))
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[tuple], tuple]], schema: pa.Schema, ddl: str) -> DataFrame:
     """A row for each row, through Arrow. `make` is called once in each task and returns the row function.
 
